@@ -61,15 +61,14 @@ def cumulative(table: DataFrame, group: list[str], order: list[str], share: str)
     )
 
 
-def sample_action(rows: DataFrame, policy: DataFrame, draw: Column, out: str = "action") -> DataFrame:
-    """One action per input row by inverting the state's cumulative policy at ``draw``."""
+def sample_action(rows: DataFrame, policy: DataFrame, draw: Column, out: str = "action", state: str = "state") -> DataFrame:
+    """One action per input row by inverting the cumulative policy of its ``state`` column at ``draw``."""
     intervals = cumulative(policy.filter(F.col("policy") > 0), ["state"], ["action"], "policy").select(
-        F.col("state").alias("_state"), F.col("action").alias("_picked"), "lo", "hi"
+        F.col("state").alias("_of"), F.col("action").alias("_picked"), "lo", "hi"
     )
     drawn = rows.withColumn("_draw", draw)
-    hit = (F.col("state") == F.col("_state")) & (F.col("_draw") >= F.col("lo")) & (F.col("_draw") < F.col("hi"))
-    picked = drawn.join(intervals, hit, "inner").withColumn(out, F.col("_picked"))
-    return picked.drop("_state", "_picked", "lo", "hi", "_draw")
+    hit = (F.col(state) == F.col("_of")) & (F.col("_draw") >= F.col("lo")) & (F.col("_draw") < F.col("hi"))
+    return drawn.join(intervals, hit).withColumn(out, F.col("_picked")).drop("_of", "_picked", "lo", "hi", "_draw")
 
 
 def greedy_draw(table: DataFrame, value: str, group: list[str], item: str, seed: int, tie: float = TIE) -> DataFrame:

@@ -84,6 +84,7 @@ def linear_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.read_linear_steps(spark, f"{sf_dir}/embeddings.parquet")
 
 
+@lambda build: written_once("states", build)
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.state_space(transitions(spark, sf_dir))
 
@@ -92,9 +93,11 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.action_space(transitions(spark, sf_dir))
 
 
+@lambda build: written_once("target-policy", build)
 def target_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.preferring_policy(states(spark, sf_dir), EVENT_ACTIONS)
 
 
+@lambda build: written_once("uniform-policy", build)
 def uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.uniform_policy(states(spark, sf_dir), EVENT_ACTIONS)

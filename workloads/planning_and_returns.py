@@ -148,7 +148,7 @@ ORACLES["c7_linear_system_right"] = statement(
 
 @query("c8_solve_policy_value")
 def c8(spark, sf_dir):
-    return planning.solve_policy_value(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, 1e-3)[0]
+    return planning.solve_policy_value(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, 1e-6)[0]
 
 
 @query("c9_policy_iteration")
