@@ -23,10 +23,13 @@ def sweep(
 ) -> DataFrame:
     """One sweep per rate over the folded statistics."""
     statistics = settle(statistics, "statistics").persist(StorageLevel.MEMORY_AND_DISK)
+    table = settle(table, "start")
+    small = fits_broadcast(table.count())
     upcoming = iter(rates)
 
     def step(current: DataFrame) -> DataFrame:
-        return S.move_towards(current, S.mean_targets(statistics, lookup(current), keys), keys, value, next(upcoming))
+        targets = S.mean_targets(statistics, lookup(current), keys)
+        return S.move_towards(current, marked(targets, small), keys, value, next(upcoming))
 
     try:
         # a sweep reads the table twice (lookup and own value), so each one is written

@@ -31,7 +31,6 @@ def marked(table: DataFrame, small: bool) -> DataFrame:
 
 def repeat(table: DataFrame, step: Callable[[DataFrame], DataFrame], rounds: int, every: int = 4) -> DataFrame:
     """A fixed number of rounds; the table is written every few rounds so that plans stay short."""
-    table = settle(table, "round")
     small = fits_broadcast(table.count())
     for i in range(1, rounds + 1):
         table = step(marked(table, small))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from backsight.functions.draws import uniform as draw
 from backsight.operators import backups as S
 from backsight.operators import models as M
+from backsight.operators import online
 from backsight.plans import learning, planning
 
 from . import common as C
@@ -339,3 +340,28 @@ def e11(spark, sf_dir):
         evaluate, zero_q(spark, sf_dir), C.uniform(spark, sf_dir), [0.2, 0.0], max_rounds=3
     )
     return q.join(policy, ["state", "action"])
+
+
+# --- learning one step at a time, per segment ---------------------------------------------------------------------
+
+RATE = (C.LR_BASE, C.LR_PERIOD, C.LR_POWER)
+
+
+def _online(name: str, **options):
+    @query(f"e12_online_{name}")
+    def run(spark, sf_dir):
+        policy = C.target_policy(spark, sf_dir) if name in ("expected_sarsa", "tree_backup") else None
+        return online.learn_per_segment(
+            C.transitions(spark, sf_dir), name, GAMMA, RATE, len(EVENT_ACTIONS), policy, seed=SEED, **options
+        )
+
+
+_online("td0")
+_online("n_step_td", n=5)
+_online("td_lambda", trace=0.9)
+_online("sarsa")
+_online("expected_sarsa")
+_online("tree_backup", n=3)
+_online("q_learning")
+_online("double_q_learning")
+_online("dyna_q", replays=10)
