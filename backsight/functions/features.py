@@ -1,35 +1,34 @@
-"""Polynomial features of a numeric state and an action, as generated-code array expressions.
+"""Polynomial features of a numeric state and an action, as array expressions and as the same arrays in numpy.
 
-The expressions are spelled out element by element, so Spark compiles them; a row costs no lambda calls.
+State features are all products of two entries of [1, state]; pair features are state features times
+[1, one-hot action without the last].
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
-from functools import reduce
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def elements(vector: Column, width: int) -> list[Column]:
-    return [F.get(vector, F.lit(i)) for i in range(width)]
 
+def _outer(left: Column, right: Column) -> Column:
+    return F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: x * y)))
 
-def state_terms(state: Column, width: int) -> list[Column]:
-    """All products of two entries of [1, state]."""
-    base = [F.lit(1.0), *elements(state, width)]
-    return [x * y for x in base for y in base]
 
+def state_features(state: Column) -> Column:
+    base = F.concat(F.array(F.lit(1.0)), state)
+    return _outer(base, base)
 
-def state_features(state: Column, width: int) -> Column:
-    return F.array(*state_terms(state, width))
 
-
-def pair_features(state: Column, width: int, action: Column, actions: Sequence[int]) -> Column:
-    """State features times [1, one-hot action without the last]."""
-    marks = [F.lit(1.0), *[(action == a).cast("double") for a in list(actions)[:-1]]]
-    return F.array(*[term * mark for term in state_terms(state, width) for mark in marks])
+def pair_features(state: Column, action: Column, actions: Sequence[int]) -> Column:
+    marks = F.array(F.lit(1.0), *[(action == a).cast("double") for a in list(actions)[:-1]])
+    return _outer(state_features(state), marks)
 
 
 def state_size(width: int) -> int:
@@ -40,10 +39,38 @@ def pair_size(width: int, actions: Sequence[int]) -> int:
     return state_size(width) * len(actions)
 
 
-def dot(vector: Column, weights: Sequence[float]) -> Column:
-    """vector . weights for a short literal weight vector."""
-    return reduce(lambda a, b: a + b, [F.get(vector, F.lit(i)) * F.lit(float(w)) for i, w in enumerate(weights)])
-
-
 def literal(weights: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(w)) for w in weights])
+
+
+def dot(left: Column, right: Column) -> Column:
+    return F.aggregate(F.zip_with(left, right, lambda x, y: x * y), F.lit(0.0), lambda a, b: a + b)
+
+
+# the same in numpy, for batches of rows ---------------------------------------------------------------------------
+
+def state_matrix(states: np.ndarray) -> np.ndarray:
+    base = np.hstack([np.ones((len(states), 1)), states])
+    return (base[:, :, None] * base[:, None, :]).reshape(len(states), -1)
+
+
+def action_marks(actions: Sequence[int]) -> np.ndarray:
+    """Row per action: [1, one-hot without the last]."""
+    marks = np.eye(len(actions))[:, :-1]
+    return np.hstack([np.ones((len(actions), 1)), marks])
+
+
+def action_index(values: np.ndarray, actions: Sequence[int]) -> np.ndarray:
+    """Position of each value in the action list."""
+    order = np.argsort(actions)
+    return order[np.searchsorted(np.asarray(actions)[order], values)]
+
+
+def score_matrix(psi: np.ndarray, weights: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """weights . pair features for every row and action, without building the pair features."""
+    return (psi @ weights.reshape(psi.shape[1], -1)) @ marks.T
+
+
+def softmax(scores: np.ndarray) -> np.ndarray:
+    raised = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)

@@ -1,9 +1,12 @@
 """Linear values and softmax policies over logged feature rows, learned by batch gradients.
 
-Weights are a few dozen numbers and enter as literals. A sweep is one scan that ends in one row of sums; only sweeps
-with eligibility traces shuffle. What the next step contributes is attached once, before the sweeps. With traces, the
-sum over steps of error * trace equals the sum over steps of (discounted errors from the step on) * gradient, so the
-trace is one reversed running sum of a scalar and never a running sum of vectors.
+Weights are a few dozen numbers. A sweep is one scan: each task turns its rows into numpy matrices batch by batch and
+emits one vector of sums, and Spark adds the vectors up. Only sweeps that need an episode's total or its later errors
+shuffle, and then scalars next to the raw features, never gradients. What the next step contributes is attached once,
+before the sweeps.
+
+With eligibility traces, the sum over steps of error * trace equals the sum over steps of (discounted errors from the
+step on) * gradient, so the trace is one reversed running sum of a scalar.
 
 Rows: (episode, step_count, features ARRAY<DOUBLE>, action, reward[, propensity]).
 """
@@ -11,8 +14,12 @@ Rows: (episode, step_count, features ARRAY<DOUBLE>, action, reward[, propensity]
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,7 +29,10 @@ from ..storage import settle
 from .policies import TIE
 from .scans import discounted_suffix, with_halo
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KEY = ["episode"]
+COLUMNS = ["episode", "step_count", "features", "action", "reward", "propensity"]
 
 
 def with_next_step(rows: DataFrame) -> DataFrame:
@@ -38,80 +48,100 @@ def with_next_step(rows: DataFrame) -> DataFrame:
     return settle(ahead, "linear-steps")
 
 
-def action_scores(state: Column, width: int, actions: Sequence[int], weights: Sequence[float]) -> Column:
+# --- row operators ----------------------------------------------------------------------------------------------
+
+def action_scores(state: Column, actions: Sequence[int], weights: Sequence[float]) -> Column:
     """Array of weights . features(state, a) over the actions."""
-    return F.array(*[X.dot(X.pair_features(state, width, F.lit(a), actions), weights) for a in actions])
+    return F.array(*[X.dot(X.pair_features(state, F.lit(a), actions), X.literal(weights)) for a in actions])
 
 
 def eps_greedy_array(scores: Column, eps: float, count: int) -> Column:
     best = F.array_max(scores)
     ties = F.size(F.filter(scores, lambda x: x >= best - TIE))
-    return F.transform(
-        scores, lambda x: F.lit(1.0 - eps) * (x >= best - TIE).cast("double") / ties + F.lit(eps / count)
-    )
+    return F.transform(scores, lambda x: F.lit(1.0 - eps) * (x >= best - TIE).cast("double") / ties + F.lit(eps / count))
 
 
-def softmax_array(scores: Column) -> Column:
-    best = F.array_max(scores)
-    raised = F.transform(scores, lambda x: F.exp(x - best))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(raised, lambda x: x / total)
-
-
-def score_rows(
-    rows: DataFrame, width: int, actions: Sequence[int], weights: Sequence[float], eps: float
-) -> DataFrame:
+def score_rows(rows: DataFrame, actions: Sequence[int], weights: Sequence[float], eps: float) -> DataFrame:
     """One row per step and action: its score and epsilon-greedy probability."""
-    scored = rows.withColumn("_scores", action_scores(F.col("features"), width, actions, weights))
+    scored = rows.withColumn("_scores", action_scores(F.col("features"), actions, weights))
     scored = scored.withColumn("_policy", eps_greedy_array(F.col("_scores"), eps, len(actions)))
-    return scored.select(
-        *KEY, "step_count",
-        F.inline(
-            F.array(*[
-                F.struct(
-                    F.lit(a).cast("long").alias("candidate"),
-                    F.get("_scores", F.lit(i)).alias("score"),
-                    F.get("_policy", F.lit(i)).alias("policy"),
-                )
-                for i, a in enumerate(actions)
-            ])
-        ),
-    )
+    candidates = F.array(*[F.lit(a).cast("long") for a in actions])
+    each = F.arrays_zip(candidates.alias("candidate"), F.col("_scores").alias("score"), F.col("_policy").alias("policy"))
+    return scored.select(*KEY, "step_count", F.inline(each).alias("candidate", "score", "policy"))
 
 
-def policy_gradient_rows(rows: DataFrame, width: int, actions: Sequence[int], weights: Sequence[float]) -> DataFrame:
-    """Add ``chances`` (softmax over the actions) and ``gradient`` of log chance of the logged action.
+# --- sums over all rows ------------------------------------------------------------------------------------------
 
-    ``correction`` is the logged action's chance over its propensity, 1 where no propensity is logged.
-    """
-    size = X.pair_size(width, actions)
-    scored = rows.withColumn("_scores", action_scores(F.col("features"), width, actions, weights)).withColumn(
-        "chances", softmax_array(F.col("_scores"))
-    )
-    wide = scored.withColumn("_own", X.pair_features(F.col("features"), width, F.col("action"), actions))
-    for i, a in enumerate(actions):
-        wide = wide.withColumn(f"_f{i}", X.pair_features(F.col("features"), width, F.lit(a), actions))
-    expected = [
-        sum((F.get("chances", F.lit(i)) * F.get(f"_f{i}", F.lit(k)) for i in range(len(actions))), F.lit(0.0))
-        for k in range(size)
-    ]
-    taken = F.get("chances", F.array_position(F.array(*[F.lit(a).cast("long") for a in actions]), F.col("action")).cast("int") - 1)
-    return (
-        wide.withColumn("gradient", F.array(*[F.get("_own", F.lit(k)) - expected[k] for k in range(size)]))
-        .withColumn("correction", F.coalesce(taken / F.col("propensity"), F.lit(1.0)))
-        .drop("_scores", "_own", *[f"_f{i}" for i in range(len(actions))])
+Batch = dict[str, np.ndarray]
+
+
+def _arrays(batch: pa.RecordBatch) -> Batch:
+    """Columns as numpy: vectors as matrices, numbers as arrays (null numbers become NaN)."""
+    found = {}
+    for name, column in zip(batch.schema.names, batch.columns):
+        if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+            found[name] = column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        else:
+            found[name] = column.to_numpy(zero_copy_only=False)
+    return found
+
+
+def summed(rows: DataFrame, kernel: Callable[[Batch], np.ndarray]) -> tuple[np.ndarray, int]:
+    """Sum of the kernel's vector over all batches, and the number of rows. One small row leaves each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, count = None, 0
+        for batch in batches:
+            if batch.num_rows:
+                part = kernel(_arrays(batch))
+                total, count = part if total is None else total + part, count + batch.num_rows
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"n": [count], "sums": [total.tolist()]})
+
+    parts = rows.mapInArrow(run, "n LONG, sums ARRAY<DOUBLE>").select("n", F.posexplode("sums").alias("position", "part"))
+    found = parts.groupBy("position").agg(F.sum("part").alias("total"), F.sum("n").alias("n")).collect()
+    if not found:
+        return np.zeros(0), 0
+    vector = np.zeros(len(found))
+    for row in found:
+        vector[row["position"]] = row["total"]
+    return vector, int(found[0]["n"])
+
+
+def _column(values: np.ndarray) -> pa.Array:
+    """Numbers as a column, a matrix as a column of vectors."""
+    if values.ndim == 1:
+        return pa.array(values)
+    offsets = pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
+
+
+def with_numbers(rows: DataFrame, keep: str, added: str, kernel: Callable[[Batch], Batch]) -> DataFrame:
+    """Columns ``keep`` plus the numbers or vectors the kernel computes per row."""
+    names = [part.split()[0] for part in keep.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            extra = kernel(_arrays(batch)) if batch.num_rows else {part.split()[0]: np.zeros(0) for part in added.split(", ")}
+            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, *map(_column, extra.values())], names=[*names, *extra])
+
+    return rows.mapInArrow(run, f"{keep}, {added}")
+
+
+def _filled(rows: DataFrame) -> DataFrame:
+    """Zeros for the missing next step; ``has_next`` says which."""
+    zeros = F.transform("features", lambda x: F.lit(0.0))
+    return rows.withColumn("has_next", F.col("next_features").isNotNull().cast("double")).withColumn(
+        "next_features", F.coalesce("next_features", zeros)
     )
 
 
-def _mean_vector(rows: DataFrame, factor: Column, vector: str, size: int) -> list[float]:
-    """Mean over all rows of factor * vector, as one aggregation row."""
-    scaled = rows.select(factor.alias("_factor"), vector)
-    sums = scaled.agg(*[F.avg(F.col("_factor") * F.get(vector, F.lit(k))).alias(f"m{k}") for k in range(size)]).first()
-    return [float(sums[f"m{k}"] or 0.0) for k in range(size)]
+STEP = "episode LONG, step_count LONG, features ARRAY<DOUBLE>, action LONG"
 
 
-def _moved(weights: Sequence[float], gradient: Sequence[float], lr: float) -> list[float]:
-    return [w + lr * g for w, g in zip(weights, gradient)]
+def _moved(weights: Sequence[float], gradient: np.ndarray, count: int, lr: float) -> list[float]:
+    return [float(w + lr * g / max(count, 1)) for w, g in zip(weights, gradient if count else np.zeros(len(weights)))]
 
 
 def change_norm(before: Sequence[float], after: Sequence[float]) -> float:
@@ -120,137 +150,181 @@ def change_norm(before: Sequence[float], after: Sequence[float]) -> float:
 
 # --- action values ----------------------------------------------------------------------------------------------
 
-def sarsa_errors(
-    rows: DataFrame, width: int, actions: Sequence[int], weights: Sequence[float], gamma: float,
-    eps: float | None = None, behaviour: Sequence[float] | None = None,
-) -> DataFrame:
-    """Add ``phi`` and ``error`` = r + gamma * next value - value, r alone at the end.
+def _sarsa_error(
+    actions: Sequence[int], weights: Sequence[float], gamma: float, eps: float | None, behaviour: Sequence[float] | None
+) -> Callable[[Batch], np.ndarray]:
+    marks = X.action_marks(actions)
+    w = np.asarray(weights, dtype=float)
+    fixed = w if behaviour is None else np.asarray(behaviour, dtype=float)
 
-    The next value is that of the logged next action, or with ``eps`` the expectation over the epsilon-greedy policy
-    of the ``behaviour`` weights.
-    """
-    if eps is None:
-        ahead = X.dot(X.pair_features(F.col("next_features"), width, F.col("next_action"), actions), weights)
-    else:
-        scores = action_scores(F.col("next_features"), width, actions, weights)
-        chances = eps_greedy_array(action_scores(F.col("next_features"), width, actions, behaviour or weights), eps, len(actions))
-        ahead = F.aggregate(F.zip_with(chances, scores, lambda p, x: p * x), F.lit(0.0), lambda a, b: a + b)
-    with_phi = rows.withColumn("phi", X.pair_features(F.col("features"), width, F.col("action"), actions))
-    following = F.when(F.col("next_features").isNull(), F.lit(0.0)).otherwise(F.lit(gamma) * ahead)
-    return with_phi.withColumn("error", F.col("reward") + following - X.dot(F.col("phi"), weights))
+    def error(batch: Batch) -> np.ndarray:
+        rows = np.arange(len(batch["action"]))
+        own = X.score_matrix(X.state_matrix(batch["features"]), w, marks)[rows, X.action_index(batch["action"], actions)]
+        psi = X.state_matrix(batch["next_features"])
+        ahead = X.score_matrix(psi, w, marks)
+        if eps is None:
+            following = ahead[rows, X.action_index(batch["next_action"], actions)]
+        else:
+            scores = X.score_matrix(psi, fixed, marks)
+            best = scores >= scores.max(axis=1, keepdims=True) - TIE
+            chances = (1 - eps) * best / best.sum(axis=1, keepdims=True) + eps / len(actions)
+            following = (chances * ahead).sum(axis=1)
+        return batch["reward"] + gamma * batch["has_next"] * following - own
+
+    return error
+
+
+def _pair_sums(actions: Sequence[int], factor: Callable[[Batch], np.ndarray]) -> Callable[[Batch], np.ndarray]:
+    """Sum over rows of factor * pair features."""
+    marks = X.action_marks(actions)
+
+    def kernel(batch: Batch) -> np.ndarray:
+        psi = X.state_matrix(batch["features"]) * factor(batch)[:, None]
+        return (psi.T @ marks[X.action_index(batch["action"], actions)]).ravel()
+
+    return kernel
 
 
 def sarsa_sweep(
-    rows: DataFrame, width: int, actions: Sequence[int], weights: Sequence[float], gamma: float, lr: float,
+    rows: DataFrame, actions: Sequence[int], weights: Sequence[float], gamma: float, lr: float,
     trace: float = 0.0, eps: float | None = None, behaviour: Sequence[float] | None = None,
 ) -> list[float]:
-    """One batch step: weights + lr * mean(error * trace vector); ``trace`` = 0 is the one-step method."""
-    errors = sarsa_errors(rows, width, actions, weights, gamma, eps, behaviour)
-    if trace > 0:
-        errors = discounted_suffix(errors.select(*KEY, "step_count", "phi", "error"), KEY, "step_count", "error", gamma * trace, "error_ahead")
-        factor = F.col("error_ahead")
+    """One batch step: weights + lr * mean(error * trace vector); ``trace`` = 0 is the one-step method.
+
+    error = r + gamma * next value - value, r - value at the end. The next value is that of the logged next action, or
+    with ``eps`` the expectation over the epsilon-greedy policy of the ``behaviour`` weights.
+    """
+    error = _sarsa_error(actions, weights, gamma, eps, behaviour)
+    data = _filled(rows).select(
+        *KEY, "step_count", "features", "action", "reward", "next_features", "has_next",
+        F.coalesce("next_action", F.lit(actions[0])).alias("next_action"),
+    )
+    if trace == 0:
+        gradient, count = summed(data, _pair_sums(actions, error))
     else:
-        factor = F.col("error")
-    return _moved(weights, _mean_vector(errors, factor, "phi", len(weights)), lr)
+        errors = with_numbers(data, STEP, "error DOUBLE", lambda batch: {"error": error(batch)})
+        ahead = discounted_suffix(errors, KEY, "step_count", "error", gamma * trace, "ahead")
+        gradient, count = summed(
+            ahead.select("features", "action", "ahead"), _pair_sums(actions, lambda batch: batch["ahead"])
+        )
+    return _moved(weights, gradient, count, lr)
 
 
 # --- policy gradients -------------------------------------------------------------------------------------------
 
-def _discount(gamma: float) -> Column:
-    return F.pow(F.lit(float(gamma)), F.col("step_count").cast("double"))
+def _policy(actions: Sequence[int], weights: Sequence[float], gamma: float, clip: float | None):
+    """Per batch: state features, marks left after subtracting their expectation, and gamma^t times the correction.
+
+    The correction is the logged action's chance over its propensity, 1 where no propensity is logged.
+    """
+    marks = X.action_marks(actions)
+    w = np.asarray(weights, dtype=float)
+
+    def parts(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        psi = X.state_matrix(batch["features"])
+        chances = X.softmax(X.score_matrix(psi, w, marks))
+        own = X.action_index(batch["action"], actions)
+        with np.errstate(invalid="ignore"):
+            ratio = chances[np.arange(len(own)), own] / batch["propensity"].astype(float)
+        correction = np.where(np.isnan(ratio), 1.0, ratio if clip is None else np.minimum(ratio, clip))
+        return psi, marks[own] - chances @ marks, gamma ** batch["step_count"].astype(float) * correction
+
+    return parts
+
 
+def policy_gradient_rows(rows: DataFrame, actions: Sequence[int], weights: Sequence[float]) -> DataFrame:
+    """Per step ``chances`` (softmax over the actions) and ``gradient`` of the log chance of the logged action."""
+    marks = X.action_marks(actions)
+    w = np.asarray(weights, dtype=float)
 
-def _clipped(clip: float | None) -> Column:
-    return F.col("correction") if clip is None else F.least(F.col("correction"), F.lit(float(clip)))
+    def kernel(batch: Batch) -> Batch:
+        psi = X.state_matrix(batch["features"])
+        chances = X.softmax(X.score_matrix(psi, w, marks))
+        residual = marks[X.action_index(batch["action"], actions)] - chances @ marks
+        return {"chances": chances, "gradient": (psi[:, :, None] * residual[:, None, :]).reshape(len(psi), -1)}
+
+    return with_numbers(rows.select(*COLUMNS[:4]), STEP, "chances ARRAY<DOUBLE>, gradient ARRAY<DOUBLE>", kernel)
+
+
+def _with_totals(rows: DataFrame) -> DataFrame:
+    """Attach the episode's whole reward; the totals combine map-side and join back on the episode."""
+    return rows.join(rows.groupBy(*KEY).agg(F.sum("reward").alias("total")), KEY)
 
 
 def reinforce_sweep(
-    rows: DataFrame, width: int, actions: Sequence[int], weights: Sequence[float], gamma: float, lr: float,
+    rows: DataFrame, actions: Sequence[int], weights: Sequence[float], gamma: float, lr: float,
     clip: float | None = None, from_step: bool = False,
 ) -> list[float]:
-    """theta + lr * mean(gamma^t * episode return * gradient).
+    """theta + lr * mean(gamma^t * episode return * gradient); ``from_step`` uses the return from the step on."""
+    slim = rows.select(*COLUMNS)
+    data = discounted_suffix(slim, KEY, "step_count", "reward", gamma, "total") if from_step else _with_totals(slim)
+    parts = _policy(actions, weights, gamma, clip)
 
-    The whole-episode return multiplies a sum over the episode's own steps, so steps are folded per episode first and
-    no row waits for its episode's total. ``from_step`` uses the discounted return from the step on instead.
-    """
-    graded = policy_gradient_rows(rows, width, actions, weights)
-    weight = _discount(gamma) * _clipped(clip)
+    def kernel(batch: Batch) -> np.ndarray:
+        psi, residual, weight = parts(batch)
+        return ((psi * (weight * batch["total"])[:, None]).T @ residual).ravel()
+
+    return _moved(weights, *summed(data, kernel), lr)
+
+
+def _both(actor: np.ndarray, critic: np.ndarray, psi: np.ndarray, residual: np.ndarray) -> np.ndarray:
+    """Sums of actor factor * policy gradient, then of critic factor * state features."""
+    return np.concatenate([((psi * actor[:, None]).T @ residual).ravel(), psi.T @ critic])
+
+
+def _both_moved(weights, values, sums: np.ndarray, count: int, lr: float) -> tuple[list[float], list[float]]:
     size = len(weights)
-    if from_step:
-        scanned = discounted_suffix(graded, KEY, "step_count", "reward", gamma, "_return")
-        return _moved(weights, _mean_vector(scanned, weight * F.col("_return"), "gradient", size), lr)
-    folded = _episode_sums(graded, [(weight, "gradient", size, "g")])
-    means = _weighted_means(folded, [("g", size, F.col("total"))])
-    return _moved(weights, means[0], lr)
+    return _moved(weights, sums[:size], count, lr), _moved(values, sums[size:], count, lr)
 
 
 def baseline_sweep(
-    rows: DataFrame, width: int, actions: Sequence[int], weights: Sequence[float], values: Sequence[float],
-    gamma: float, lr: float, clip: float | None = None,
+    rows: DataFrame, actions: Sequence[int], weights: Sequence[float], values: Sequence[float], gamma: float, lr: float,
+    clip: float | None = None,
 ) -> tuple[list[float], list[float]]:
     """REINFORCE with a linear baseline: error = episode return - value, for both weight vectors."""
-    size, v_size = len(weights), len(values)
-    graded = policy_gradient_rows(rows, width, actions, weights).withColumn("psi", X.state_features(F.col("features"), width))
-    graded = graded.withColumn("_value", X.dot(F.col("psi"), values))
-    weight = _discount(gamma) * _clipped(clip)
-    folded = _episode_sums(
-        graded,
-        [(weight, "gradient", size, "g"), (weight * F.col("_value"), "gradient", size, "h"),
-         (F.lit(1.0), "psi", v_size, "p"), (F.col("_value"), "psi", v_size, "s")],
-    )
-    total = F.col("total")
-    g, h, p, s = _weighted_means(folded, [("g", size, total), ("h", size, F.lit(1.0)), ("p", v_size, total), ("s", v_size, F.lit(1.0))])
-    return _moved(weights, [a - b for a, b in zip(g, h)], lr), _moved(values, [a - b for a, b in zip(p, s)], lr)
-
-
-def _episode_sums(rows: DataFrame, parts: list[tuple[Column, str, int, str]]) -> DataFrame:
-    """Per episode: its return, its length, and sums of factor * vector; combines map-side."""
-    factors = rows.select(
-        *KEY, "reward", *{vector: F.col(vector) for _, vector, _, _ in parts}.values(),
-        *[factor.alias(f"_w{i}") for i, (factor, _, _, _) in enumerate(parts)],
-    )
-    return factors.groupBy(*KEY).agg(
-        F.sum("reward").alias("total"),
-        F.count("*").alias("steps"),
-        *[
-            F.sum(F.col(f"_w{i}") * F.get(vector, F.lit(k))).alias(f"{name}{k}")
-            for i, (_, vector, size, name) in enumerate(parts)
-            for k in range(size)
-        ],
-    )
+    parts = _policy(actions, weights, gamma, clip)
+    v = np.asarray(values, dtype=float)
 
+    def kernel(batch: Batch) -> np.ndarray:
+        psi, residual, weight = parts(batch)
+        error = batch["total"] - psi @ v
+        return _both(weight * error, error, psi, residual)
 
-def _weighted_means(folded: DataFrame, parts: list[tuple[str, int, Column]]) -> list[list[float]]:
-    sums = folded.agg(
-        F.sum("steps").alias("steps"),
-        *[F.sum(factor * F.col(f"{name}{k}")).alias(f"{name}{k}") for name, size, factor in parts for k in range(size)],
-    ).first()
-    steps = sums["steps"] or 1
-    return [[float(sums[f"{name}{k}"] or 0.0) / steps for k in range(size)] for name, size, _ in parts]
+    return _both_moved(weights, values, *summed(_with_totals(rows.select(*COLUMNS)), kernel), lr)
 
 
 def actor_critic_sweep(
-    rows: DataFrame, width: int, actions: Sequence[int], weights: Sequence[float], values: Sequence[float],
-    gamma: float, lr: float, trace: float = 0.0, clip: float | None = None,
+    rows: DataFrame, actions: Sequence[int], weights: Sequence[float], values: Sequence[float], gamma: float, lr: float,
+    trace: float = 0.0, clip: float | None = None,
 ) -> tuple[list[float], list[float]]:
     """One-step errors move both weight vectors; with ``trace`` each step also learns from the errors after it."""
-    graded = policy_gradient_rows(rows, width, actions, weights).withColumn("psi", X.state_features(F.col("features"), width))
-    ahead = X.dot(X.state_features(F.col("next_features"), width), values)
-    following = F.when(F.col("next_features").isNull(), F.lit(0.0)).otherwise(F.lit(gamma) * ahead)
-    errors = graded.withColumn("error", F.col("reward") + following - X.dot(F.col("psi"), values)).withColumn(
-        "actor_error", _discount(gamma) * _clipped(clip) * F.col("error")
-    )
-    for_critic, for_actor = F.col("error"), F.col("actor_error")
-    if trace > 0:
-        slim = errors.select(*KEY, "step_count", "gradient", "psi", "error", "actor_error")
-        scanned = discounted_suffix(slim, KEY, "step_count", "error", gamma * trace, "error_ahead")
-        errors = discounted_suffix(scanned, KEY, "step_count", "actor_error", gamma * trace, "actor_ahead")
-        for_critic, for_actor = F.col("error_ahead"), F.col("actor_ahead")
-    both = errors.select(for_actor.alias("_actor"), for_critic.alias("_critic"), "gradient", "psi")
-    sums = both.agg(
-        *[F.avg(F.col("_actor") * F.get("gradient", F.lit(k))).alias(f"a{k}") for k in range(len(weights))],
-        *[F.avg(F.col("_critic") * F.get("psi", F.lit(k))).alias(f"c{k}") for k in range(len(values))],
-    ).first()
-    actor = [float(sums[f"a{k}"] or 0.0) for k in range(len(weights))]
-    critic = [float(sums[f"c{k}"] or 0.0) for k in range(len(values))]
-    return _moved(weights, actor, lr), _moved(values, critic, lr)
+    parts = _policy(actions, weights, gamma, clip)
+    v = np.asarray(values, dtype=float)
+    data = _filled(rows).select(*COLUMNS, "next_features", "has_next")
+
+    def error(batch: Batch, psi: np.ndarray) -> np.ndarray:
+        return batch["reward"] + gamma * batch["has_next"] * (X.state_matrix(batch["next_features"]) @ v) - psi @ v
+
+    if trace == 0:
+
+        def kernel(batch: Batch) -> np.ndarray:
+            psi, residual, weight = parts(batch)
+            found = error(batch, psi)
+            return _both(weight * found, found, psi, residual)
+
+        return _both_moved(weights, values, *summed(data, kernel), lr)
+
+    def errors(batch: Batch) -> Batch:
+        psi, _, weight = parts(batch)
+        found = error(batch, psi)
+        return {"critic": found, "actor": weight * found}
+
+    numbers = with_numbers(data, f"{STEP}, propensity DOUBLE", "critic DOUBLE, actor DOUBLE", errors)
+    for name in ("critic", "actor"):
+        numbers = discounted_suffix(numbers, KEY, "step_count", name, gamma * trace, f"{name}_ahead")
+
+    def traced(batch: Batch) -> np.ndarray:
+        psi, residual, _ = parts(batch)
+        return _both(batch["actor_ahead"], batch["critic_ahead"], psi, residual)
+
+    return _both_moved(weights, values, *summed(numbers, traced), lr)

@@ -57,14 +57,14 @@ def linear_policy_iteration(
 
 
 def evaluate_linear_sarsa(
-    rows: DataFrame, width: int, actions: Sequence[int], gamma: float, rates: Sequence[float], trace: float = 0.0
+    rows: DataFrame, actions: Sequence[int], gamma: float, rates: Sequence[float], trace: float = 0.0
 ) -> Callable[[list[float], float], list[float]]:
     """Evaluator for the policy iteration: the epsilon-greedy policy of the incoming weights stays fixed."""
 
     def evaluate(weights: list[float], eps: float) -> list[float]:
         fixed = list(weights)
         for rate in rates:
-            weights = L.sarsa_sweep(rows, width, actions, weights, gamma, rate, trace, eps, fixed)
+            weights = L.sarsa_sweep(rows, actions, weights, gamma, rate, trace, eps, fixed)
         return weights
 
     return evaluate

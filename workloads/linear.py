@@ -57,7 +57,7 @@ ALL = [name for name, _ in BLOCKS]
 
 @query("h1_state_features")
 def h1(spark, sf_dir):
-    return exploded(rows(spark, sf_dir), X.state_features(F.col("features"), WIDTH))
+    return exploded(rows(spark, sf_dir), X.state_features(F.col("features")))
 
 
 ORACLES["h1_state_features"] = statement(
@@ -67,7 +67,7 @@ ORACLES["h1_state_features"] = statement(
 
 @query("h2_pair_features")
 def h2(spark, sf_dir):
-    return exploded(rows(spark, sf_dir), X.pair_features(F.col("features"), WIDTH, F.col("action"), ACTIONS))
+    return exploded(rows(spark, sf_dir), X.pair_features(F.col("features"), F.col("action"), ACTIONS))
 
 
 ORACLES["h2_pair_features"] = statement(
@@ -77,7 +77,7 @@ ORACLES["h2_pair_features"] = statement(
 
 @query("h3_linear_scores")
 def h3(spark, sf_dir):
-    return L.score_rows(rows(spark, sf_dir), WIDTH, ACTIONS, THETA, 0.1)
+    return L.score_rows(rows(spark, sf_dir), ACTIONS, THETA, 0.1)
 
 
 SCORES = "SELECT episode, step_count, candidate, sum(value * weight) AS score FROM phi JOIN theta USING (position) GROUP BY ALL"
@@ -92,7 +92,7 @@ ORACLES["h3_linear_scores"] = statement(
 def _sarsa(spark, sf_dir, trace):
     data = prepared(spark, sf_dir)
     weights, _ = P.train(
-        lambda w, lr: L.sarsa_sweep(data, WIDTH, ACTIONS, w, GAMMA, lr, trace), [0.0] * PAIR, [LR, LR]
+        lambda w, lr: L.sarsa_sweep(data, ACTIONS, w, GAMMA, lr, trace), [0.0] * PAIR, [LR, LR]
     )
     return weights_out(spark, weights)
 
@@ -136,7 +136,7 @@ for _name, _trace in (("h4_linear_sarsa", 0.0), ("h5_linear_sarsa_lambda", TRACE
 
 @query("h6_linear_policy_iteration")
 def h6(spark, sf_dir):
-    evaluate = P.evaluate_linear_sarsa(prepared(spark, sf_dir), WIDTH, ACTIONS, GAMMA, [LR, LR])
+    evaluate = P.evaluate_linear_sarsa(prepared(spark, sf_dir), ACTIONS, GAMMA, [LR, LR])
     weights, _ = P.linear_policy_iteration(evaluate, [0.0] * PAIR, [0.5, 0.25, 0.0])
     return weights_out(spark, weights)
 
@@ -144,7 +144,7 @@ def h6(spark, sf_dir):
 @query("b13_weight_change_norms")
 def b13(spark, sf_dir):
     data = prepared(spark, sf_dir)
-    _, changes = P.train(lambda w, lr: L.sarsa_sweep(data, WIDTH, ACTIONS, w, GAMMA, lr), [0.0] * PAIR, [LR, LR])
+    _, changes = P.train(lambda w, lr: L.sarsa_sweep(data, ACTIONS, w, GAMMA, lr), [0.0] * PAIR, [LR, LR])
     return P.history_table(spark, changes)
 
 
@@ -157,13 +157,13 @@ ORACLES["b13_weight_change_norms"] = statement(
 
 @query("h7_softmax_policy")
 def h7_policy(spark, sf_dir):
-    graded = L.policy_gradient_rows(rows(spark, sf_dir), WIDTH, ACTIONS, THETA)
+    graded = L.policy_gradient_rows(rows(spark, sf_dir), ACTIONS, THETA)
     return exploded(graded, "chances").withColumnRenamed("position", "candidate")
 
 
 @query("h7_log_policy_gradient")
 def h7(spark, sf_dir):
-    return exploded(L.policy_gradient_rows(rows(spark, sf_dir), WIDTH, ACTIONS, THETA), "gradient")
+    return exploded(L.policy_gradient_rows(rows(spark, sf_dir), ACTIONS, THETA), "gradient")
 
 
 GRADED = [
@@ -185,12 +185,12 @@ ORACLES["h7_log_policy_gradient"] = statement(
 
 @query("h8_reinforce")
 def h8(spark, sf_dir):
-    return weights_out(spark, L.reinforce_sweep(rows(spark, sf_dir), WIDTH, ACTIONS, THETA, GAMMA, LR))
+    return weights_out(spark, L.reinforce_sweep(rows(spark, sf_dir), ACTIONS, THETA, GAMMA, LR))
 
 
 @query("h8_reinforce_from_step")
 def h8_from(spark, sf_dir):
-    return weights_out(spark, L.reinforce_sweep(rows(spark, sf_dir), WIDTH, ACTIONS, THETA, GAMMA, LR, from_step=True))
+    return weights_out(spark, L.reinforce_sweep(rows(spark, sf_dir), ACTIONS, THETA, GAMMA, LR, from_step=True))
 
 
 TOTALS = ("totals", "SELECT episode, sum(reward) AS total FROM steps GROUP BY episode")
@@ -251,7 +251,7 @@ ONE_STEP = f"reward + {GAMMA} * coalesce(lead(v) OVER (PARTITION BY episode ORDE
 
 @query("h9_reinforce_with_baseline")
 def h9(spark, sf_dir):
-    return _both(spark, *L.baseline_sweep(rows(spark, sf_dir), WIDTH, ACTIONS, THETA, OMEGA, GAMMA, LR))
+    return _both(spark, *L.baseline_sweep(rows(spark, sf_dir), ACTIONS, THETA, OMEGA, GAMMA, LR))
 
 
 ORACLES["h9_reinforce_with_baseline"] = _both_sql(
@@ -262,7 +262,7 @@ ORACLES["h9_reinforce_with_baseline"] = _both_sql(
 
 @query("h10_actor_critic")
 def h10(spark, sf_dir):
-    return _both(spark, *L.actor_critic_sweep(prepared(spark, sf_dir), WIDTH, ACTIONS, THETA, OMEGA, GAMMA, LR))
+    return _both(spark, *L.actor_critic_sweep(prepared(spark, sf_dir), ACTIONS, THETA, OMEGA, GAMMA, LR))
 
 
 ORACLES["h10_actor_critic"] = _both_sql(
@@ -273,7 +273,7 @@ ORACLES["h10_actor_critic"] = _both_sql(
 
 @query("h11_actor_critic_lambda")
 def h11(spark, sf_dir):
-    return _both(spark, *L.actor_critic_sweep(prepared(spark, sf_dir), WIDTH, ACTIONS, THETA, OMEGA, GAMMA, LR, TRACE))
+    return _both(spark, *L.actor_critic_sweep(prepared(spark, sf_dir), ACTIONS, THETA, OMEGA, GAMMA, LR, TRACE))
 
 
 def _ahead(column: str) -> str:
