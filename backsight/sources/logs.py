@@ -19,8 +19,11 @@ def event_type_index(name: str = "event_type") -> Column:
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """Event rows as (segment, ts, event_id, state, action, reward)."""
-    events = spark.read.parquet(path)
+    return event_log(spark.read.parquet(path))
+
+
+def event_log(events: DataFrame) -> DataFrame:
+    """Event rows, batch or stream, as (segment, ts, event_id, state, action, reward)."""
     bucket = F.get_json_object("props", "$.k").cast("long")
     return events.select(
         F.col("user_id").alias("segment"),
