@@ -201,11 +201,13 @@ def move_towards(table: DataFrame, targets: DataFrame, keys: list[str], value: s
 def lambda_targets(steps: DataFrame, v: DataFrame, gamma: float, trace: float) -> DataFrame:
     """Mean lambda-return per state: v(s) plus the (gamma * trace)-discounted sum of one-step errors from the step on."""
     here = v.select("state", F.col("v").alias("_here"))
-    there = v.select(F.col("state").alias("next_state"), F.col("v").alias("_there"))
+    there = v.select(F.col("state").alias("_to"), F.col("v").alias("_there"))
+    # a last step has no next state; its lookup is ignored, so its key only has to spread over the partitions
+    spread = F.when(F.col("done"), F.xxhash64(*EPISODE, "step_count")).otherwise(F.col("next_state"))
     errors = (
-        steps.select(*EPISODE, "step_count", "state", "reward", "next_state", "done")
+        steps.select(*EPISODE, "step_count", "state", "reward", "done", spread.alias("_to"))
         .join(here, "state", "left")
-        .join(there, "next_state", "left")
+        .join(there, "_to", "left")
         .withColumn("_here", F.coalesce("_here", F.lit(0.0)))
         .withColumn("_there", F.when(F.col("done"), 0.0).otherwise(F.coalesce("_there", F.lit(0.0))))
         .withColumn("_error", F.col("reward") + F.lit(float(gamma)) * F.col("_there") - F.col("_here"))

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.draws import uniform
+from ..storage import settle
 
 TIE = 1e-9  # values closer than this to the maximum share the greedy choice
 
@@ -32,11 +33,11 @@ def greedy_policy(q: DataFrame) -> DataFrame:
     return q.select("state", "action", greedy_share("q", ["state"]).alias("policy"))
 
 
-def eps_greedy_over_all_actions(q: DataFrame, eps: float) -> DataFrame:
+def eps_greedy_over_all_actions(q: DataFrame, eps: float, n_actions: int | None = None) -> DataFrame:
     """Greedy policy mixed with eps / (number of actions anywhere in the table)."""
-    n_actions = q.agg(F.countDistinct("action").cast("double")).scalar()
+    count = q.agg(F.countDistinct("action").cast("double")).scalar() if n_actions is None else F.lit(float(n_actions))
     return greedy_policy(q).select(
-        "state", "action", (F.col("policy") * F.lit(1.0 - eps) + F.lit(float(eps)) / n_actions).alias("policy")
+        "state", "action", (F.col("policy") * F.lit(1.0 - eps) + F.lit(float(eps)) / count).alias("policy")
     )
 
 
@@ -66,6 +67,7 @@ def sample_action(rows: DataFrame, policy: DataFrame, draw: Column, out: str = "
     intervals = cumulative(policy.filter(F.col("policy") > 0), ["state"], ["action"], "policy").select(
         F.col("state").alias("_of"), F.col("action").alias("_picked"), "lo", "hi"
     )
+    intervals = settle(intervals, "choices")  # its written size decides the join, before the rows would be shuffled
     drawn = rows.withColumn("_draw", draw)
     hit = (F.col(state) == F.col("_of")) & (F.col("_draw") >= F.col("lo")) & (F.col("_draw") < F.col("hi"))
     return drawn.join(intervals, hit).withColumn(out, F.col("_picked")).drop("_of", "_picked", "lo", "hi", "_draw")

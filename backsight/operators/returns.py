@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.schedules import learning_rate
+from ..storage import settle
 from .ordering import ROWS_PER_CHUNK, numbered
 from .scans import compose_maps, discounted_suffix, product_suffix, span_for
 
@@ -39,6 +40,7 @@ def weighted_returns(
     odds = target_policy.join(behaviour.withColumnRenamed("policy", "_behaviour"), ["state", "action"]).select(
         "state", "action", (F.col("policy") / F.col("_behaviour")).alias("_odds")
     )
+    odds = settle(odds, "odds")  # its written size decides the join, before the steps would be shuffled
     listed = F.col("_odds").isNotNull()
     step_ratio = F.coalesce(F.least("_odds", F.lit(float(clip))) if clip else F.col("_odds"), F.lit(1.0))
     rows = (

@@ -86,7 +86,7 @@ def simulate(
 def _one_step(rows, outcomes, choices, gamma, key, seed, i):
     known = outcomes.withColumn("_found", F.lit(True))
     moved = sample_outcome(
-        rows.withColumn("state", F.col("state")), known, F.when(F.col("open"), uniform(seed, F.lit("outcome"), *key, F.lit(i)))
+        rows, known, F.when(F.col("open"), uniform(seed, F.lit("outcome"), *key, F.lit(i)))
     )
     went = F.col("open") & F.col("_found").isNotNull()
     goes_on = went & ~F.col("_done")
@@ -119,7 +119,7 @@ def best_by_rollout(
 def score_policy(starts: DataFrame, model: DataFrame, policy: DataFrame, depth: int, count: int, seed: int) -> DataFrame:
     """Undiscounted reward of whole rollouts under the policy: mean and spread per start state."""
     rows = rollout_rows(starts.select(F.col("state").alias("start"), F.lit(-1).cast("long").alias("first")), count)
-    choices = _policy_intervals(policy)
+    choices = settle(_policy_intervals(policy), "choices")
     opening = rows.withColumn("_v", uniform(seed, F.lit("opening"), "start", "rollout"))
     hit = (F.col("start") == F.col("_ps")) & (F.col("_v") >= F.col("lo")) & (F.col("_v") < F.col("hi"))
     rows = opening.join(choices, hit).select("start", F.col("_pa").alias("first"), "rollout")

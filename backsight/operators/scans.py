@@ -59,15 +59,16 @@ def discounted_suffix(
             .select(*keys, pos, "_piece", "_value", "_weight")
             .withColumn("_head", local)
             .filter(F.col(pos) % span == 0)
-            .select(*keys, (F.col("_piece") - 1).alias("_piece"), "_head")
+            .select(*keys, (F.col("_piece") - 1).alias("_head_no"), "_head")
         )
         # an undiscounted sum needs no second split: its heads are one row per 65,536 steps
         next_span = ONE_PIECE if factor == 1.0 else None
-        carried = discounted_suffix(heads, keys, "_piece", "_head", factor**span, "_carry", next_span)
+        carried = discounted_suffix(heads, keys, "_head_no", "_head", factor**span, "_carry", next_span)
         to_border = F.pow(F.lit(factor), (span - F.col(pos) % span).cast("double"))
-        scanned = scanned.join(carried.select(*keys, "_piece", "_carry"), keys + ["_piece"], "left").withColumn(
-            out, F.col(out) + F.coalesce("_carry", F.lit(0.0)) * to_border
-        ).drop("_carry")
+        border = carried.select(*keys, F.col("_head_no").alias("_piece"), F.col("_carry").alias("_border"))
+        scanned = scanned.join(border, keys + ["_piece"], "left").withColumn(
+            out, F.col(out) + F.coalesce("_border", F.lit(0.0)) * to_border
+        ).drop("_border")
     return scanned.drop("_piece", "_value", "_weight")
 
 

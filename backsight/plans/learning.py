@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from ..operators import backups as S
 from ..operators.ordering import ROWS_PER_CHUNK, numbered
 from ..operators.policies import eps_greedy_policy, policy_changes
 from ..storage import settle
-from .loop import fits_broadcast, marked, repeat
+from .loop import BROADCAST, SHUFFLE, TOGETHER, kept, placed, placement_of, repeat
 
 Lookup = Callable[[DataFrame], DataFrame]
 
@@ -22,18 +21,16 @@ def sweep(
     statistics: DataFrame, table: DataFrame, keys: list[str], value: str, lookup: Lookup, rates: Sequence[float]
 ) -> DataFrame:
     """One sweep per rate over the folded statistics."""
-    statistics = settle(statistics, "statistics").persist(StorageLevel.MEMORY_AND_DISK)
-    table = settle(table, "start")
-    small = fits_broadcast(table.count())
+    statistics, placement = kept(statistics, keys)
     upcoming = iter(rates)
 
     def step(current: DataFrame) -> DataFrame:
-        targets = S.mean_targets(statistics, lookup(current), keys)
-        return S.move_towards(current, marked(targets, small), keys, value, next(upcoming))
+        targets = S.mean_targets(statistics, placed(lookup(current), placement), keys)
+        return S.move_towards(current, placed(targets, placement), keys, value, next(upcoming))
 
     try:
-        # a sweep reads the table twice (lookup and own value), so each one is written
-        return settle(repeat(table, step, len(rates), every=1), "swept")
+        # a sweep reads the table twice (lookup and own value), so plans of several sweeps grow fast
+        return settle(repeat(settle(table, "start"), step, len(rates), placement, every=2), "swept")
     finally:
         statistics.unpersist()
 
@@ -49,10 +46,14 @@ def n_step_td(steps: DataFrame, v: DataFrame, gamma: float, n: int, rates: Seque
 def td_lambda(steps: DataFrame, v: DataFrame, gamma: float, trace: float, rates: Sequence[float]) -> DataFrame:
     upcoming = iter(rates)
 
+    v = settle(v, "v")
+    placement = placement_of(steps.count(), v.count())
+
     def step(current: DataFrame) -> DataFrame:
-        return S.move_towards(current, S.lambda_targets(steps, current, gamma, trace), ["state"], "v", next(upcoming))
+        targets = S.lambda_targets(steps, current, gamma, trace)
+        return S.move_towards(current, targets, ["state"], "v", next(upcoming))
 
-    return repeat(v, step, len(rates), every=1)
+    return repeat(v, step, len(rates), BROADCAST if placement != SHUFFLE else SHUFFLE, every=1)
 
 
 PAIR = ["state", "action"]
@@ -91,13 +92,15 @@ def double_q_learning(
 ) -> DataFrame:
     """Two tables; a coin per (step, sweep) says which one learns. Returns (state, action, q) with q their mean."""
     tables = settle(q.select(*PAIR, F.col("q").alias("q1"), F.col("q").alias("q2")), "double")
-    small = fits_broadcast(tables.count())
+    rows = tables.count()
     for first in range(0, len(rates), SWEEPS_PER_PASS):
         block = range(first, min(first + SWEEPS_PER_PASS, len(rates)))
         coins = [uniform(seed, F.lit(i), *key) > 0.5 for i in block]
         statistics = settle(S.double_q_statistics(steps, coins), "statistics")
+        placement = placement_of(statistics.count(), rows)
+        statistics = statistics.coalesce(1) if placement == TOGETHER else statistics
         for bit, i in enumerate(block):
-            tables = S.double_q_sweep(statistics, marked(tables, small), bit, gamma, rates[i])
+            tables = S.double_q_sweep(statistics, placed(tables, placement), bit, gamma, rates[i])
         tables = settle(tables, "double")
     return tables.select(*PAIR, ((F.col("q1") + F.col("q2")) / 2).alias("q"))
 
@@ -143,13 +146,10 @@ def dyna_q(
     experience = numbered_experience(steps, by_pair)
     real = settle(S.next_state_statistics(steps, gamma), "statistics")
     current = settle(q, "q")
-    small = fits_broadcast(current.count())
     for i, rate in enumerate(rates):
         redrawn = S.next_state_statistics(draw_experience(experience, replays, seed + i, by_pair), gamma)
         for statistics in (real, redrawn):
-            targets = S.mean_targets(statistics, S.best_lookup(marked(current, small)), PAIR)
-            current = S.move_towards(marked(current, small), targets, PAIR, "q", rate)
-        current = settle(current, "q")
+            current = sweep(statistics, current, PAIR, "q", S.best_lookup, [rate])
     return current
 
 

@@ -1,8 +1,9 @@
 """Driver loops over small tables: each round is a Spark job, only scalars come back.
 
-The table that moves (v or q) is tiny beside the model it is joined with. Its row count is read once from the written
-table; only when it fits the limit is it marked for broadcast, so the model is not shuffled. Beyond the limit the same
-joins run as shuffle joins.
+The table that moves (v or q) is small beside the model it is joined with. Row counts of the written tables, read once,
+decide how a round runs: a model of at most ``TOGETHER_ROWS`` rows stays in one partition with its table, so that a
+round needs no shuffle and no broadcast; otherwise a table that fits is broadcast and the model is not shuffled; beyond
+that the same joins run as shuffle joins.
 """
 
 from __future__ import annotations
@@ -10,30 +11,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import HISTORY
 from ..storage import settle
 
+TOGETHER_ROWS = 50_000
 BROADCAST_BYTES = 64 * 2**20
 BYTES_PER_ROW = 48
 
+TOGETHER, BROADCAST, SHUFFLE = "together", "broadcast", "shuffle"
 
-def fits_broadcast(rows: int) -> bool:
-    return rows * BYTES_PER_ROW <= BROADCAST_BYTES
 
+def placement_of(model_rows: int, table_rows: int) -> str:
+    if model_rows <= TOGETHER_ROWS:
+        return TOGETHER
+    return BROADCAST if table_rows * BYTES_PER_ROW <= BROADCAST_BYTES else SHUFFLE
 
-def marked(table: DataFrame, small: bool) -> DataFrame:
-    """Mark a table whose row count was checked."""
-    return F.broadcast(table) if small else table
 
+def placed(table: DataFrame, placement: str) -> DataFrame:
+    """The moving table as the checked row counts allow."""
+    if placement == TOGETHER:
+        return table.coalesce(1).hint("shuffle_hash")  # both sides in one partition: a hash join without an exchange
+    return F.broadcast(table) if placement == BROADCAST else table
 
-def repeat(table: DataFrame, step: Callable[[DataFrame], DataFrame], rounds: int, every: int = 4) -> DataFrame:
+
+def kept(model: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
+    """Write the model once (lineage), keep it in memory or on disk for the rounds, and say how rounds should run.
+
+    ``keys`` are those of the moving table, which has at most one row per key of the model.
+    """
+    written = settle(model, "model")
+    rows = written.count()
+    table_rows = rows if rows <= TOGETHER_ROWS else written.select(*keys).distinct().count()
+    placement = placement_of(rows, table_rows)
+    if placement == TOGETHER:
+        written = written.coalesce(1)
+    return written.persist(StorageLevel.MEMORY_AND_DISK), placement
+
+
+def repeat(
+    table: DataFrame, step: Callable[[DataFrame], DataFrame], rounds: int, placement: str, every: int = 4
+) -> DataFrame:
     """A fixed number of rounds; the table is written every few rounds so that plans stay short."""
-    small = fits_broadcast(table.count())
     for i in range(1, rounds + 1):
-        table = step(marked(table, small))
+        table = step(placed(table, placement))
         if i % every == 0 and i < rounds:
             table = settle(table, "round")
     return table
@@ -45,6 +69,7 @@ def until_stable(
     keys: list[str],
     value: str,
     tolerance: float,
+    placement: str,
     max_rounds: int = 1_000,
     every: int = 4,
     extrapolate: bool = True,
@@ -59,16 +84,15 @@ def until_stable(
     spark = table.sparkSession
     history: list[tuple[int, float]] = []
     start = settle(table.select(*keys, value), "round")
-    small = fits_broadcast(start.count())
     done, failures = 0, 0
     while True:
         rounds = min(every, max_rounds - done)
         chain = [start]
         for _ in range(rounds):
-            chain.append(step(marked(chain[-1], small)))
-        wide = chain[0].select(*keys, F.col(value).alias("x0"))
+            chain.append(step(placed(chain[-1], placement)))
+        wide = placed(chain[0], placement).select(*keys, F.col(value).alias("x0"))
         for i, later in enumerate(chain[1:], start=1):
-            wide = wide.join(marked(later.select(*keys, F.col(value).alias(f"x{i}")), small), keys)
+            wide = wide.join(placed(later, placement).select(*keys, F.col(value).alias(f"x{i}")), keys)
         wide = settle(wide, "round")
         done += rounds
         moves = [F.col(f"x{i + 1}") - F.col(f"x{i}") for i in range(rounds)]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +12,7 @@ from ..operators import priorities as PQ
 from ..operators.models import init_q, init_v, state_space
 from ..operators.policies import eps_greedy_over_all_actions, greedy_policy, policy_changes
 from ..storage import settle
-from .loop import repeat, until_stable
-
-
-def kept(model: DataFrame) -> DataFrame:
-    """Write the model once (lineage) and keep it in memory or on disk for the rounds."""
-    return settle(model, "model").persist(StorageLevel.MEMORY_AND_DISK)
+from .loop import kept, placed, repeat, until_stable
 
 
 def evaluate_policy(
@@ -26,16 +20,18 @@ def evaluate_policy(
 ) -> tuple[DataFrame, DataFrame]:
     """Synchronous sweeps until the largest change is below the tolerance."""
     # the policy never changes between sweeps, so it is joined to the model once
-    weighted = kept(_policy_weighted(model, policy))
+    weighted, placement = kept(_policy_weighted(model, policy), ["state"])
     try:
-        return until_stable(v, lambda t: _weighted_sweep(weighted, t, gamma), ["state"], "v", tolerance, max_rounds)
+        return until_stable(
+            v, lambda t: _weighted_sweep(weighted, t, gamma), ["state"], "v", tolerance, placement, max_rounds
+        )
     finally:
         weighted.unpersist()
 
 
 def evaluate_policy_sweeps(model: DataFrame, v: DataFrame, policy: DataFrame, gamma: float, sweeps: int) -> DataFrame:
-    weighted = settle(_policy_weighted(model, policy), "model")
-    return repeat(v, lambda t: _weighted_sweep(weighted, t, gamma), sweeps)
+    weighted, placement = kept(_policy_weighted(model, policy), ["state"])
+    return repeat(v, lambda t: _weighted_sweep(weighted, t, gamma), sweeps, placement)
 
 
 def _policy_weighted(model: DataFrame, policy: DataFrame) -> DataFrame:
@@ -55,15 +51,15 @@ def evaluate_policy_in_blocks(
     model: DataFrame, v: DataFrame, policy: DataFrame, gamma: float, blocks: int, sweeps: int
 ) -> DataFrame:
     """In-place sweeps: blocks of states in order, each block seeing the values of the blocks before it."""
-    weighted = settle(_policy_weighted(model, policy), "model")
+    weighted, placement = kept(_policy_weighted(model, policy), ["state"])
     turn = 0
     for _ in range(sweeps):
         for block in range(blocks):
             part = weighted.filter(F.pmod(F.col("state"), F.lit(blocks)) == block)
-            v = B.merge_values(v, _weighted_sweep(part, v, gamma), ["state"], "v")
+            v = settle(v, "block") if turn % 3 == 0 else v
+            here = placed(v, placement)
+            v = B.merge_values(here, placed(_weighted_sweep(part, here, gamma), placement), ["state"], "v")
             turn += 1
-            if turn % 3 == 0:
-                v = settle(v, "block")
     return v
 
 
@@ -72,71 +68,74 @@ def solve_policy_value(
 ) -> tuple[DataFrame, DataFrame]:
     """Solve (I - gamma P) v = b by Jacobi rounds on the (row, column, coefficient) table."""
     left, right = B.linear_system(model, policy, gamma)
-    left = settle(left, "system")
+    left, placement = kept(left, ["state"])
     diagonal = settle(
         right.join(
             left.filter(F.col("state") == F.col("next_state")).select("state", F.col("coefficient").alias("a_ii")), "state"
         ),
         "diagonal",
     )
-    off_diagonal = left.filter(F.col("state") != F.col("next_state")).persist(StorageLevel.MEMORY_AND_DISK)
-    start = init_v(diagonal)
+    off_diagonal = left.filter(F.col("state") != F.col("next_state"))
+
+    def step(v: DataFrame) -> DataFrame:
+        return B.jacobi_step(off_diagonal, placed(diagonal, placement), v)
+
     try:
-        return until_stable(
-            start, lambda v: B.jacobi_step(off_diagonal, diagonal, v), ["state"], "v", tolerance, max_rounds
-        )
+        return until_stable(init_v(diagonal), step, ["state"], "v", tolerance, placement, max_rounds)
     finally:
-        off_diagonal.unpersist()
+        left.unpersist()
 
 
 def value_iteration(
     model: DataFrame, gamma: float, tolerance: float, max_rounds: int = 1_000
 ) -> tuple[DataFrame, DataFrame]:
-    model = kept(model)
+    model, placement = kept(model, ["state"])
     try:
         return until_stable(
-            init_v(state_space(model)), lambda v: B.optimal_backup(model, v, gamma), ["state"], "v", tolerance, max_rounds
+            init_v(state_space(model)), lambda v: B.optimal_backup(model, v, gamma), ["state"], "v", tolerance, placement,
+            max_rounds,
         )
     finally:
         model.unpersist()
 
 
 def value_iteration_sweeps(model: DataFrame, gamma: float, sweeps: int) -> DataFrame:
-    model = settle(model, "model")
-    return repeat(init_v(state_space(model)), lambda v: B.optimal_backup(model, v, gamma), sweeps)
+    model, placement = kept(model, ["state"])
+    return repeat(init_v(state_space(model)), lambda v: B.optimal_backup(model, v, gamma), sweeps, placement)
 
 
 def q_value_iteration(
     model: DataFrame, gamma: float, tolerance: float, max_rounds: int = 1_000
 ) -> tuple[DataFrame, DataFrame]:
-    model = kept(model)
+    model, placement = kept(model, ["state", "action"])
     start = model.select("state", "action").distinct().withColumn("q", F.lit(0.0))
     try:
         return until_stable(
-            start, lambda q: B.optimal_q_backup(model, q, gamma), ["state", "action"], "q", tolerance, max_rounds
+            start, lambda q: B.optimal_q_backup(model, q, gamma), ["state", "action"], "q", tolerance, placement, max_rounds
         )
     finally:
         model.unpersist()
 
 
 def q_value_iteration_sweeps(model: DataFrame, gamma: float, sweeps: int) -> DataFrame:
-    model = settle(model, "model")
+    model, placement = kept(model, ["state", "action"])
     start = model.select("state", "action").distinct().withColumn("q", F.lit(0.0))
-    return repeat(start, lambda q: B.optimal_q_backup(model, q, gamma), sweeps)
+    return repeat(start, lambda q: B.optimal_q_backup(model, q, gamma), sweeps, placement)
 
 
 def policy_iteration(
     model: DataFrame, policy: DataFrame, gamma: float, tolerance: float, max_rounds: int = 100
 ) -> tuple[DataFrame, DataFrame, int]:
     """Evaluate, improve, stop when no probability changes; returns v, policy and the number of rounds."""
-    model = kept(model)
+    model, placement = kept(model, ["state"])
+    policy = settle(policy, "policy")
     v = init_v(state_space(model))
     rounds = 0
     try:
         for rounds in range(1, max_rounds + 1):
-            v, _ = evaluate_policy(model, v, policy, gamma, tolerance)
-            improved = settle(greedy_policy(B.q_from_v(model, v, gamma)), "policy")
-            unchanged = policy_changes(policy, improved).isEmpty()
+            v, _ = evaluate_policy(model, v, placed(policy, placement), gamma, tolerance)
+            improved = settle(greedy_policy(B.q_from_v(model, placed(v, placement), gamma)), "policy")
+            unchanged = policy_changes(placed(policy, placement), placed(improved, placement)).isEmpty()
             policy = improved
             if unchanged:
                 break
@@ -149,15 +148,19 @@ def visited_value_iteration(
     model: DataFrame, visits: Iterable[DataFrame], gamma: float, eps: float, plateau: int
 ) -> tuple[DataFrame, DataFrame, int]:
     """Back up only the states each logged batch visits; stop after ``plateau`` batches without a policy change."""
-    model = kept(model)
+    model, placement = kept(model, ["state"])
     v = settle(init_v(state_space(model)), "v")
+    n_actions = model.select("action").distinct().count()
     policy, last_change, batch = None, 0, 0
     try:
         for batch, visited in enumerate(visits, start=1):
-            part = model.join(visited.select("state").distinct(), "state", "left_semi")
-            v = settle(B.merge_values(v, B.optimal_backup(part, v, gamma), ["state"], "v"), "v")
-            updated = settle(eps_greedy_over_all_actions(B.q_from_v(model, v, gamma), eps), "policy")
-            if policy is None or not policy_changes(policy, updated).isEmpty():
+            # the visited states are few beside the batch they come from
+            seen = placed(settle(visited.select("state").distinct(), "visited"), placement)
+            fresh = B.optimal_backup(model.join(seen, "state", "left_semi"), placed(v, placement), gamma)
+            v = settle(B.merge_values(placed(v, placement), placed(fresh, placement), ["state"], "v"), "v")
+            q = B.q_from_v(model, placed(v, placement), gamma)
+            updated = settle(eps_greedy_over_all_actions(q, eps, n_actions), "policy")
+            if policy is None or not policy_changes(placed(policy, placement), placed(updated, placement)).isEmpty():
                 last_change = batch
             policy = updated
             if batch - last_change >= plateau:
@@ -171,8 +174,8 @@ def prioritised_value_iteration(
     model: DataFrame, gamma: float, tolerance: float, per_round: int, max_rounds: int = 1_000
 ) -> tuple[DataFrame, int]:
     """Back up the states with the largest pending change first; a change of a state queues its predecessors."""
-    model = kept(model)
-    edges = model.filter(~F.col("done")).select("state", "next_state").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    model, placement = kept(model, ["state"])
+    edges, _ = kept(model.filter(~F.col("done")).select("state", "next_state").distinct(), ["state"])
 
     def backup(popped: DataFrame, v: DataFrame) -> DataFrame:
         return B.optimal_backup(model.join(popped, "state", "left_semi"), v, gamma)
@@ -182,7 +185,8 @@ def prioritised_value_iteration(
         return entries.groupBy("state").agg(F.max("change").alias("priority"))
 
     try:
-        return _by_priority(init_v(state_space(model)), ["state"], "v", backup, pending, tolerance, per_round, max_rounds)
+        start = init_v(state_space(model))
+        return _by_priority(start, ["state"], "v", backup, pending, tolerance, per_round, max_rounds, placement)
     finally:
         edges.unpersist()
         model.unpersist()
@@ -192,12 +196,9 @@ def prioritised_q_iteration(
     model: DataFrame, gamma: float, tolerance: float, per_round: int, max_rounds: int = 1_000
 ) -> tuple[DataFrame, int]:
     """The same on (state, action) pairs: a popped pair is set to its expected target."""
-    model = kept(model)
     keys = ["state", "action"]
-    edges = (
-        model.filter(~F.col("done")).groupBy(*keys, "next_state").agg(F.sum("probability").alias("share"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    model, placement = kept(model, keys)
+    edges, _ = kept(model.filter(~F.col("done")).groupBy(*keys, "next_state").agg(F.sum("probability").alias("share")), keys)
 
     def backup(popped: DataFrame, q: DataFrame) -> DataFrame:
         return B.q_from_v(model.join(popped, keys, "left_semi"), B.best_value(q), gamma)
@@ -211,7 +212,7 @@ def prioritised_q_iteration(
 
     try:
         start = model.select(*keys).distinct().withColumn("q", F.lit(0.0))
-        return _by_priority(start, keys, "q", backup, pending, tolerance, per_round, max_rounds)
+        return _by_priority(start, keys, "q", backup, pending, tolerance, per_round, max_rounds, placement)
     finally:
         edges.unpersist()
         model.unpersist()
@@ -226,6 +227,7 @@ def _by_priority(
     tolerance: float,
     per_round: int,
     max_rounds: int,
+    placement: str,
 ) -> tuple[DataFrame, int]:
     """Rounds over one table (keys, value, priority): pop the largest, back them up, queue whom the change concerns.
 
@@ -236,16 +238,18 @@ def _by_priority(
     rounds = 0
     while rounds < max_rounds and not board.filter(F.col("priority").isNotNull()).isEmpty():
         rounds += 1
-        queue = board.filter(F.col("priority").isNotNull()).select(*keys, "priority")
-        popped, _ = PQ.pop(queue, keys, per_round)
-        fresh = backup(popped.select(*keys), board.select(*keys, value)).withColumnRenamed(value, "_fresh")
+        here = placed(board, placement)
+        queue = here.filter(F.col("priority").isNotNull()).select(*keys, "priority")
+        popped = placed(PQ.pop(queue, keys, per_round)[0].select(*keys), placement)
+        fresh = placed(backup(popped, here.select(*keys, value)), placement).withColumnRenamed(value, "_fresh")
         backed = settle(
-            board.join(popped.select(*keys, F.lit(True).alias("_popped")), keys, "left").join(fresh, keys, "left"), "backed"
+            here.join(popped.withColumn("_popped", F.lit(True)), keys, "left").join(fresh, keys, "left"), "backed"
         )
-        moved = backed.withColumn("change", F.abs(F.col("_fresh") - F.col(value))).filter(F.col("change") >= tolerance)
+        there = placed(backed, placement)
+        moved = there.withColumn("change", F.abs(F.col("_fresh") - F.col(value))).filter(F.col("change") >= tolerance)
         entries = pending(moved.select(*keys, "change")).filter(F.col("priority") >= tolerance)
         board = settle(
-            backed.join(entries.withColumnRenamed("priority", "_entry"), keys, "left").select(
+            there.join(placed(entries.withColumnRenamed("priority", "_entry"), placement), keys, "left").select(
                 *keys,
                 F.coalesce("_fresh", value).alias(value),
                 F.greatest(F.when(F.col("_popped").isNull(), F.col("priority")), F.col("_entry")).alias("priority"),
