@@ -22,9 +22,9 @@ def close(found, expected, tolerance):
 
 def test_plain_grid_evaluation(spark):
     model = plain_grid(spark)
-    v, history = planning.evaluate_policy(model, M.init_v(M.state_space(model)), uniform(spark, model), 1.0, 1e-6)
-    close(as_dict(v, "state"), PLAIN_GRID_UNIFORM_V, 1e-3)
-    assert history.orderBy("iteration").collect()[-1]["max_delta"] < 1e-6
+    v, history = planning.evaluate_policy(model, M.init_v(M.state_space(model)), uniform(spark, model), 1.0, 1e-4)
+    close(as_dict(v, "state"), PLAIN_GRID_UNIFORM_V, 1e-2)
+    assert history.orderBy("iteration").collect()[-1]["max_delta"] < 1e-4
 
 
 def test_slip_grid_multiset_and_check(spark):
@@ -41,24 +41,31 @@ def test_evaluation_methods_agree(spark):
     model = slip_grid(spark)
     policy = uniform(spark, model)
     start = M.init_v(M.state_space(model))
-    sync, _ = planning.evaluate_policy(model, start, policy, GAMMA, 1e-8)
-    solved, _ = planning.solve_policy_value(model, policy, GAMMA, 1e-8)
-    blocks = planning.evaluate_policy_in_blocks(model, start, policy, GAMMA, 4, 12)
+    sync, _ = planning.evaluate_policy(model, start, policy, GAMMA, 1e-6)
+    solved, _ = planning.solve_policy_value(model, policy, GAMMA, 1e-6)
     for v in (sync, solved):
-        close(as_dict(v, "state"), SLIP_GRID_UNIFORM_V, 1e-5)
-    close(as_dict(blocks, "state"), SLIP_GRID_UNIFORM_V, 2e-2)
-    plain, plain_history = planning.until_stable(
-        start, lambda v: B.expected_backup(model, v, policy, GAMMA), ["state"], "v", 1e-2, "broadcast", extrapolate=False
+        close(as_dict(v, "state"), SLIP_GRID_UNIFORM_V, 1e-4)
+    blocks = planning.evaluate_policy_in_blocks(model, sync, policy, GAMMA, 4, 1)
+    close(as_dict(blocks, "state"), SLIP_GRID_UNIFORM_V, 1e-4)
+
+
+def test_blocks_see_the_blocks_before_them(spark):
+    model = spark.createDataFrame(
+        [(0, 0, 1.0, None, 1.0, True), (1, 0, 1.0, 0, 0.0, False), (2, 0, 1.0, 1, 0.0, False)],
+        "state LONG, action LONG, probability DOUBLE, next_state LONG, reward DOUBLE, done BOOLEAN",
     )
-    close(as_dict(plain, "state"), SLIP_GRID_UNIFORM_V, 0.1)
+    v = planning.evaluate_policy_in_blocks(model, M.init_v(M.state_space(model)), uniform(spark, model), 0.5, 3, 1)
+    assert as_dict(v, "state") == {0: 1.0, 1: 0.5, 2: 0.25}
+    together = planning.evaluate_policy_sweeps(model, M.init_v(M.state_space(model)), uniform(spark, model), 0.5, 1)
+    assert as_dict(together, "state") == {0: 1.0, 1: 0.0, 2: 0.0}
 
 
 def test_optimal_methods_agree(spark):
     model = slip_grid(spark)
-    v, _ = planning.value_iteration(model, GAMMA, 1e-7)
-    close(as_dict(v, "state"), SLIP_GRID_OPTIMAL_V, 1e-5)
-    q, _ = planning.q_value_iteration(model, GAMMA, 1e-7)
-    close(as_dict(B.best_value(q), "state"), SLIP_GRID_OPTIMAL_V, 1e-5)
+    v, _ = planning.value_iteration(model, GAMMA, 1e-6)
+    close(as_dict(v, "state"), SLIP_GRID_OPTIMAL_V, 1e-4)
+    q, _ = planning.q_value_iteration(model, GAMMA, 1e-4)
+    close(as_dict(B.best_value(q), "state"), SLIP_GRID_OPTIMAL_V, 2e-3)
     policy = P.greedy_policy(B.q_from_v(model, v, GAMMA))
     chosen = policy.filter("policy > 0").groupBy("state").agg(F.collect_set("action").alias("a")).collect()
     assert {r.state: set(r.a) for r in chosen if r.state in SLIP_GRID_GREEDY} == SLIP_GRID_GREEDY
@@ -67,17 +74,25 @@ def test_optimal_methods_agree(spark):
 
 def test_policy_iteration(spark):
     model = slip_grid(spark)
-    v, policy, rounds = planning.policy_iteration(model, uniform(spark, model), GAMMA, 1e-6)
-    close(as_dict(v, "state"), SLIP_GRID_OPTIMAL_V, 1e-4)
+    v, policy, rounds = planning.policy_iteration(model, uniform(spark, model), GAMMA, 1e-3)
+    close(as_dict(v, "state"), SLIP_GRID_OPTIMAL_V, 2e-2)
     assert rounds < 20
 
 
+def chain(spark):
+    """0 <- 1 <- 2 <- 3 with a worse way out everywhere; v = 1, 0.5, 0.25, 0.125 at gamma 0.5."""
+    rows = [(0, 0, 1.0, None, 1.0, True), (0, 1, 1.0, None, 0.0, True)]
+    for s in (1, 2, 3):
+        rows += [(s, 0, 1.0, s - 1, 0.0, False), (s, 1, 0.5, None, 0.1, True), (s, 1, 0.5, s, 0.0, False)]
+    return spark.createDataFrame(rows, "state LONG, action LONG, probability DOUBLE, next_state LONG, reward DOUBLE, done BOOLEAN")
+
+
 def test_prioritised_methods_reach_the_fixed_point(spark):
-    model = slip_grid(spark)
-    v, _ = planning.prioritised_value_iteration(model, GAMMA, 1e-2, per_round=8)
-    close(as_dict(v, "state"), SLIP_GRID_OPTIMAL_V, 0.12)
-    q, _ = planning.prioritised_q_iteration(model, GAMMA, 1e-2, per_round=64)
-    close(as_dict(B.best_value(q), "state"), SLIP_GRID_OPTIMAL_V, 0.2)
+    model = chain(spark)
+    v, rounds = planning.prioritised_value_iteration(model, 0.5, 1e-9, per_round=2)
+    assert as_dict(v, "state") == pytest.approx({0: 1.0, 1: 0.5, 2: 0.25, 3: 0.125}) and rounds >= 4
+    q, _ = planning.prioritised_q_iteration(model, 0.5, 1e-4, per_round=8)
+    assert as_dict(B.best_value(q), "state") == pytest.approx({0: 1.0, 1: 0.5, 2: 0.25, 3: 0.125}, abs=1e-3)
 
 
 def test_visited_states_only(spark):
@@ -87,8 +102,8 @@ def test_visited_states_only(spark):
     v, policy, batches = planning.visited_value_iteration(model, [first], GAMMA, 0.1, plateau=5)
     values = as_dict(v, "state")
     assert batches == 1 and {s for s, x in values.items() if x > 0} == {11, 14}
-    v, _, batches = planning.visited_value_iteration(model, [every] * 8, GAMMA, 0.1, plateau=2)
-    assert 3 <= batches <= 8
+    v, _, batches = planning.visited_value_iteration(model, [every] * 6, GAMMA, 0.1, plateau=2)
+    assert 3 <= batches <= 6
     assert {round(r.s, 9) for r in policy.groupBy("state").agg(F.sum("policy").alias("s")).collect()} == {1.0}
 
 
