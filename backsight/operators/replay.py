@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import pickle
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
@@ -60,20 +60,26 @@ def replay(
         frames = [head] if emitted is None or emitted.empty else [head, emitted.assign(**{key: ordered[key].iloc[0]})]
         return pd.concat(frames, ignore_index=True).reindex(columns=[key, "_state", *names])
 
-    def finish(saved: pd.DataFrame) -> pd.DataFrame:
-        return revived(saved).result().assign(**{key: saved[key].iloc[0]}).reindex(columns=[key, *names])
+    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for i in range(len(frame)):
+                final = revived(frame.iloc[i : i + 1]).result()
+                yield final.assign(**{key: frame[key].iloc[i]}).reindex(columns=[key, *names])
 
     slices = rows.withColumn("_round", F.floor(F.col(position) / rows_per_round).cast("long"))
     last = slices.agg(F.max("_round")).first()[0] or 0
     if last > 0:  # each round reads only its own part of the written table
         slices = settle(slices, "slices", ["_round"])
     states = spark.createDataFrame([], state_schema)
+    # the work is in Python, not in bytes: keep the keys spread over all cores even where the data is small
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     emitted = None
     for i in range(last + 1):
         part = slices.filter(F.col("_round") == i).drop("_round") if last > 0 else slices.drop("_round")
-        done = settle(part.groupBy(key).cogroup(states.groupBy(key)).applyInPandas(run, schema), "replayed")
+        spread = part.repartition(tasks, key)
+        done = settle(spread.groupBy(key).cogroup(states.groupBy(key)).applyInPandas(run, schema), "replayed")
         states = done.filter(F.col("_state").isNotNull()).select(key, "_state")
         fresh = done.filter(F.col("_state").isNull()).drop("_state")
         emitted = fresh if emitted is None else emitted.unionByName(fresh)
-    results = states.groupBy(key).applyInPandas(finish, f"{key} LONG, {output}")
+    results = states.mapInPandas(finish, f"{key} LONG, {output}")
     return emitted.unionByName(results)

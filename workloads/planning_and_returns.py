@@ -178,7 +178,24 @@ def c12(spark, sf_dir):
     steps = C.transitions(spark, sf_dir)
     days = [F.dayofmonth("ts") == day for day in range(1, 7)]
     visits = [steps.filter(day) for day in days] + [steps]
-    return planning.visited_value_iteration(C.model(spark, sf_dir), visits, GAMMA, 0.1, plateau=4)[0]
+    return planning.visited_value_iteration(C.model(spark, sf_dir), visits, GAMMA, 0.1, plateau=8)[0]
+
+
+def _visit_blocks() -> list[tuple[str, str]]:
+    blocks = []
+    for i in range(1, 8):
+        day = f"WHERE day(ts) = {i}" if i < 7 else ""
+        fresh = OPTIMAL_V.format(prev=f"v{i - 1}", g=GAMMA)
+        blocks.append(
+            (f"v{i}", f"SELECT o.state, CASE WHEN s.state IS NULL THEN o.v ELSE n.v END AS v FROM v{i - 1} o JOIN ({fresh}) n USING (state) "
+                      f"LEFT JOIN (SELECT DISTINCT state FROM transitions {day}) s USING (state)")
+        )
+    return blocks
+
+
+ORACLES["c12_visited_value_iteration"] = statement(
+    f"SELECT state, {r('v', 'v')} FROM v7", "transitions", "model", "v0", extra=_visit_blocks()
+)
 
 
 @query("c13_prioritised_value_iteration")

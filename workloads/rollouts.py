@@ -48,7 +48,7 @@ def g2(spark, sf_dir):
     return G.simulate(rows, C.model(spark, sf_dir), C.target_policy(spark, sf_dir), GAMMA, 2, SEED, two_sweeps(spark, sf_dir))
 
 
-def _step(i: int) -> list[tuple[str, str]]:
+def _step(i: int, gamma: float = GAMMA) -> list[tuple[str, str]]:
     """Rollout step i: outcome, then the next action where the rollout goes on."""
     outcome = uniform_draw(SEED, "'outcome'", "start", "first", "rollout", str(i))
     chosen = uniform_draw(SEED, "'action'", "start", "first", "rollout", str(i))
@@ -57,7 +57,7 @@ def _step(i: int) -> list[tuple[str, str]]:
             f"moved{i}",
             f"SELECT s.start, s.first, s.rollout, s.total + CASE WHEN s.open THEN s.factor * o.reward ELSE 0 END AS total, "
             f"CASE WHEN s.open AND NOT o.done THEN o.next_state ELSE s.state END AS state, s.action, "
-            f"CASE WHEN s.open AND NOT o.done THEN s.factor * {GAMMA} ELSE s.factor END AS factor, "
+            f"CASE WHEN s.open AND NOT o.done THEN s.factor * {gamma} ELSE s.factor END AS factor, "
             f"CASE WHEN s.open THEN NOT o.done ELSE false END AS open, {chosen} AS pick "
             f"FROM (SELECT *, {outcome} AS u FROM step{i}) s LEFT JOIN outcomes o "
             "ON s.open AND s.state = o.state AND s.action = o.action AND s.u >= o.lo AND s.u < o.hi",
@@ -94,6 +94,22 @@ def g3(spark, sf_dir):
     return means.join(best.withColumnRenamed("first", "best"), "start")
 
 
+ORACLES["g3_best_by_rollout"] = statement(
+    f"SELECT start, first, {r('value', 'value')}, first_value(first) OVER (PARTITION BY start ORDER BY value DESC, first) AS best FROM "
+    "(SELECT s.start, s.first, avg(s.total + CASE WHEN s.open THEN s.factor * q.q ELSE 0 END) AS value "
+    "FROM step4 s LEFT JOIN q ON s.state = q.state AND s.action = q.action GROUP BY s.start, s.first)",
+    "model", "v0", "target",
+    extra=Q_BLOCKS
+    + [
+        ("outcomes", OUTCOMES),
+        ("intervals", INTERVALS.format(policy="target")),
+        ("step0", "SELECT state AS start, action AS first, i AS rollout, 0.0::DOUBLE AS total, state, action, 1.0::DOUBLE AS factor, "
+                  "true AS open FROM (SELECT DISTINCT state, action FROM model), range(100) t(i)"),
+    ]
+    + [block for i in range(4) for block in _step(i)],
+)
+
+
 @query("g4_tree_search")
 def g4(spark, sf_dir):
     table, _ = G.tree_search(
@@ -105,3 +121,17 @@ def g4(spark, sf_dir):
 @query("g5_score_policy")
 def g5(spark, sf_dir):
     return G.score_policy(C.states(spark, sf_dir), C.model(spark, sf_dir), C.target_policy(spark, sf_dir), 5, 100, SEED)
+
+
+ORACLES["g5_score_policy"] = statement(
+    f"SELECT start, {r('avg(total)', 'mean_reward')}, {r('stddev_samp(total)', 'spread')}, count(*)::BIGINT AS rollouts FROM step5 GROUP BY start",
+    "model", "target",
+    extra=[
+        ("outcomes", OUTCOMES),
+        ("intervals", INTERVALS.format(policy="target")),
+        ("opened", f"SELECT state AS start, i AS rollout, {uniform_draw(SEED, chr(39) + 'opening' + chr(39), 'state', 'i')} AS u FROM states, range(100) t(i)"),
+        ("step0", "SELECT o.start, i.action AS first, o.rollout, 0.0::DOUBLE AS total, o.start AS state, i.action, 1.0::DOUBLE AS factor, "
+                  "true AS open FROM opened o JOIN intervals i ON o.start = i.state AND o.u >= i.lo AND o.u < i.hi"),
+    ]
+    + [block for i in range(5) for block in _step(i, 1.0)],
+)
