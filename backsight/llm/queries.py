@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, simhash
+from backsight.llm import decontaminate, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +57,32 @@ FROM doc_words LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
 
+@query
+def op3_substring_dedup(spark, sf_dir):
+    found = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+ORACLES["op3_substring_dedup"] = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS words
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc_words WHERE len(w) >= 50 AND doc_id IS NOT NULL)),
+first_in AS (SELECT words, min(doc_id) AS least FROM windows GROUP BY words),
+gone AS (
+  SELECT DISTINCT r, p FROM (
+    SELECT r, unnest(range(i, i + 50)) AS p FROM windows JOIN first_in USING (words) WHERE doc_id > least)),
+kept AS (
+  SELECT r, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS words
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc_words) ANTI JOIN gone USING (r, p)
+  GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM doc_words LEFT JOIN kept USING (r)
+"""
+
+
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
