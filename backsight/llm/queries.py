@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, simhash, substrings, topk
+from backsight.llm import decontaminate, simhash, substrings, tokens, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,16 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_token_files(spark, sf_dir):
+    written = tokens.write_ids(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return tokens.checked(tokens.read_ids(written))
