@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, simhash, substrings, tokens, topk
+from backsight.llm import decontaminate, simhash, substrings, tokens, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,22 @@ def tokenizer_path(name: str) -> str:
 def op5_token_files(spark, sf_dir):
     written = tokens.write_ids(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return tokens.checked(tokens.read_ids(written))
+
+
+@query
+def op7_warc(spark, sf_dir):
+    index = warc.normalise(warc.write_archives(table(spark, sf_dir, "pages")))
+    return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op7_warc"] = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+first_of AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM payloads LEFT JOIN first_of USING (payload_digest)
+"""
