@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, simhash, substrings, tokens, topk, warc
+from backsight.llm import decontaminate, language, simhash, substrings, tokens, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,8 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
 FROM payloads LEFT JOIN first_of USING (payload_digest)
 """
+
+
+@query
+def op8_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))

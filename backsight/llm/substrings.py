@@ -6,8 +6,8 @@ runs of ``run`` words; equal windows have equal representatives, and neighbourin
 word in fourteen is counted. A task counts, for each of its documents, each representative once, in two rows of cells;
 the cells of all tasks are merged by block, and a cell only has to tell 'two or more' apart. Estimates are never too low.
 Second pass: windows whose representative is estimated in two documents or more get a 128-bit digest of their words and
-are grouped exactly: the smallest and largest document of each digest, pre-aggregated before the shuffle. Digests in two
-documents are joined back to the windows, and the words that the found windows cover are removed from the text.
+are grouped exactly, once within tasks and once by a shuffle of what is left: all but the smallest document of a digest
+lose the words that its window covers.
 
 The merged sketch is broadcast: 2 x 2**``most_bits`` bits at most (64 MB for 28). With more text than that serves, more
 cells are full and more windows go into the exact pass; the result is the same.
@@ -120,17 +120,37 @@ def sketch(docs: DataFrame, bits: int, window: int, run: int, text: str = "text"
     return full.reshape(2, -1)
 
 
-def candidates(docs: DataFrame, full: np.ndarray, bits: int, window: int, run: int, doc: str, text: str) -> DataFrame:
-    """(doc_id, mark, at, d1, d2): windows estimated in two documents or more, by first word, with the digest of their words.
+_FIELDS = ("d1", "d2", "doc_id", "mark", "at", "done")
 
-    ``mark`` is the hash of the whole text, which tells rows with the same id apart.
+
+def candidates(docs: DataFrame, full: np.ndarray, bits: int, window: int, run: int, doc: str, text: str, together: int = 1 << 20) -> DataFrame:
+    """Windows estimated in two documents or more: the digest of their words, document, first word.
+
+    ``mark`` is the hash of the whole text, which tells rows with the same id apart. A task compares the windows it
+    finds, ``together`` at a time: all but those of the smallest document are ``done``, whatever other tasks hold, so
+    of a passage in very many documents a task sends few rows on to the exact pass that meet in one place.
     """
     shared = SparkContext._active_spark_context.broadcast(full)
-    rows = docs.where(F.col(doc).isNotNull()).select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.where(F.col(doc).isNotNull()).select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+    def resolved(held: list[tuple]) -> pa.RecordBatch:
+        d1, d2, ids, marks, at = (np.concatenate([h[k] for h in held]) for k in range(5))
+        order = np.lexsort((ids, d1))
+        d1, d2, ids, marks, at = d1[order], d2[order], ids[order], marks[order], at[order]
+        fresh = np.concatenate(([True], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])))
+        least = ids[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+        done = ids > least
+        # What is done needs no company; its own hash spreads it.
+        with np.errstate(over="ignore"):
+            spread = mixed(ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64)).view(np.int64)
+        columns = (np.where(done, spread, d1), np.where(done, 0, d2), ids, marks, at, done)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], list(_FIELDS))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
+            keys = batch.column(0).to_numpy()
             for a, b in chunks(offsets):
                 padded, starts, ends, first = words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 row, position, least = _representatives(padded, starts, ends, first, window, run)
@@ -147,10 +167,45 @@ def candidates(docs: DataFrame, full: np.ndarray, bits: int, window: int, run: i
                 marks = np.zeros(b - a, np.uint64)
                 for k in np.unique(row):
                     marks[k] = xxhash.xxh64_intdigest(data[offsets[a + k] : offsets[a + k + 1]].tobytes(), 42)
-                columns = [batch.column(0).take(pa.array(a + row)), pa.array(marks[row].view(np.int64)), pa.array(at.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(digests[:, 0]), pa.array(digests[:, 1])], ["doc_id", "mark", "at", "d1", "d2"])
-
-    return rows.mapInArrow(find, f"doc_id {dict(rows.dtypes)['doc_id']}, mark long, at int, d1 long, d2 long")
+                held.append((digests[:, 0], digests[:, 1], keys[a + row], marks[row].view(np.int64), at.astype(np.int32)))
+                if sum(len(h[0]) for h in held) >= together:
+                    yield resolved(held)
+                    held = []
+        if held:
+            yield resolved(held)
+
+    return rows.mapInArrow(find, "d1 long, d2 long, doc_id long, mark long, at int, done boolean")
+
+
+def _grouped(ids: np.ndarray, marks: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """(doc_id, mark, ats), a row for each text."""
+    order = np.lexsort((at, marks, ids))
+    ids, marks, at = ids[order], marks[order], at[order]
+    first = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])))[: len(ids)])
+    ats = pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(ids)])).astype(np.int32)), pa.array(at))
+    return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(marks[first]), ats], ["doc_id", "mark", "ats"])
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by digest and document: a digest's first row has the smallest document."""
+    last, held, size = (None, None, None), [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        d1, d2, ids, marks, at = (batch.column(k).to_numpy() for k in range(5))
+        done = batch.column(5).to_numpy(zero_copy_only=False)
+        fresh = np.concatenate(([(d1[0], d2[0]) != last[:2]], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])))
+        group = np.cumsum(fresh)
+        least = np.concatenate(([ids[0] if last[2] is None else last[2]], ids[fresh]))[group]
+        last = (d1[-1], d2[-1], least[-1])
+        gone = done | (ids > least)
+        held.append((ids[gone], marks[gone], at[gone]))
+        size += int(gone.sum())
+        if size >= 1 << 20:
+            yield _grouped(*(np.concatenate([h[k] for h in held]) for k in range(3)))
+            held, size = [], 0
+    if size:
+        yield _grouped(*(np.concatenate([h[k] for h in held]) for k in range(3)))
 
 
 def _digests(padded, starts, ends, row, position, first, window) -> np.ndarray:
@@ -174,10 +229,9 @@ def repeated(docs: DataFrame, window: int = WINDOW, run: int = RUN, doc: str = "
     bits = min(most_bits, max(_BLOCK_BITS, math.ceil(math.log2(size / 20 + 1))))
     full = sketch(docs, bits, window, run, text)
     found = candidates(docs, full, bits, window, run, doc, text)
-    found, _ = write(found, "window-candidates")
-    spread = found.groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    again = found.join(spread.select("d1", "d2", "least"), ["d1", "d2"]).where("doc_id > least")
-    return again.groupBy("doc_id", "mark").agg(F.collect_set("at").alias("ats"))
+    found = found.repartition("d1", "d2").sortWithinPartitions("d1", "d2", "doc_id")
+    found = found.mapInArrow(_judge, "doc_id long, mark long, ats array<int>")
+    return found.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("ats")).alias("ats"))
 
 
 def _kept_words(words: list[bytes], ats: list[int] | None, window: int) -> list[bytes]:
@@ -200,7 +254,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, doc:
 def deduplicate(docs: DataFrame, window: int = WINDOW, run: int = RUN, doc: str = "doc_id", text: str = "text", most_bits: int = 28) -> DataFrame:
     """The rows of ``docs`` as ``row``, and kept (the kept words by one space, null where all are kept), n_words, n_removed, kept_sha256."""
     marks = repeated(docs, window, run, doc, text, most_bits)
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text")).join(marks, ["doc_id", "mark"], "left").select("row", "text", "ats")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
