@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, language, simhash, substrings, tokens, topk, warc
+from backsight.llm import decontaminate, language, quality, simhash, substrings, tokens, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,10 @@ FROM payloads LEFT JOIN first_of USING (payload_digest)
 @query
 def op8_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality.score(docs, quality.train(docs, labels))
+    return found.select("row.doc_id", "n_words", "p_low_quality", "p_toxic", "rejected")
