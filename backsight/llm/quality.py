@@ -41,7 +41,7 @@ _CAPITAL, _SMALL = (np.isin(np.arange(256), range(a, a + 26)) for a in (0x41, 0x
 
 MEASURES = ("symbols", "capitals", "repeats", "bars", "variety", "insults")
 QUALITY = ("symbols", "capitals", "repeats", "bars", "variety", "annotation")
-TOXIC = ("some insults", "many insults", "different insults", "annotation")
+TOXIC = ("insults", "many insults", "annotation")
 
 
 def _hash_of(words: list[str]) -> np.ndarray:
@@ -80,13 +80,9 @@ class Texts:
         self.word_row = np.repeat(np.arange(self.rows), np.diff(first))
         self.word_hash = run_hashes_of(low, starts, ends)
         insult = np.isin(self.word_hash, _hash_of(INSULTS))
-        hits, kinds = np.bincount(self.word_row[insult], minlength=self.rows), np.zeros(self.rows, np.int64)
-        if insult.any():
-            found = np.unique(np.stack([self.word_row[insult].astype(np.uint64), self.word_hash[insult]], axis=1), axis=0)[:, 0]
-            kinds = np.bincount(found.astype(np.int64), minlength=self.rows)
+        hits = np.bincount(self.word_row[insult], minlength=self.rows)
         variety = np.bincount(pairs, minlength=self.rows) / most
         self.measures = np.stack([share(symbols), share(capitals), share(repeats), share(bars), variety, hits], axis=1)
-        self.kinds = kinds
 
     @staticmethod
     def _in(table: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -104,9 +100,8 @@ class Texts:
             vote(repeats > 0.15, repeats < 0.05),
             vote(bars > 0.1, np.zeros(len(bars), bool)),
             vote((variety < 0.2) & (self.n >= 30), (variety > 0.6) & (self.n >= 30)),
-            vote(hits >= 1, np.zeros(len(hits), bool)),
-            vote(hits >= 3, np.zeros(len(hits), bool)),
-            vote(self.kinds >= 2, np.zeros(len(hits), bool)),
+            vote(hits >= 1, hits == 0),
+            vote(hits >= 3, hits == 1),
         ]
         return np.where(some[:, None], np.stack(out, axis=1), 0).astype(np.int8)
 
@@ -166,7 +161,8 @@ def votes(docs: DataFrame, labels: DataFrame | None, doc: str = "doc_id", text:
 def estimate(patterns: dict[str, int], rounds: int = 200) -> tuple[dict[str, float], np.ndarray]:
     """Posterior P(reject) of each vote pattern, and each labeller's accuracy as [class keep or reject, labeller].
 
-    An abstaining labeller says nothing, so heuristics that abstain together do not outvote the one that speaks.
+    An abstaining labeller says nothing, so heuristics that abstain together do not outvote the one that speaks. The
+    last labeller, the annotation, is believed to be right, with the weight of half the rows that it votes on.
     """
     voted = {p: n for p, n in patterns.items() if p.strip("-")}
     if not voted:
@@ -175,6 +171,8 @@ def estimate(patterns: dict[str, int], rounds: int = 200) -> tuple[dict[str, flo
     count = np.array([voted[p] for p in names], float)
     reject, keep = (np.array([[c == v for c in p] for p in names], float) for v in "rk")
     right = np.stack([np.full(reject.shape[1], 0.95), np.full(reject.shape[1], 0.7)])
+    belief, weight = right.copy(), np.ones(reject.shape[1])
+    belief[:, -1], weight[-1] = 0.998, 1 + 0.5 * float(count @ (reject + keep)[:, -1])
     prior = 0.1
     for _ in range(rounds):
         good = keep @ np.log(right[0]) + reject @ np.log(1 - right[0]) + np.log(1 - prior)
@@ -182,7 +180,7 @@ def estimate(patterns: dict[str, int], rounds: int = 200) -> tuple[dict[str, flo
         bad = 1 / (1 + np.exp(np.clip(good - bad, -500, 500)))
         weights = np.stack([count * (1 - bad), count * bad])
         agree, differ = np.stack([weights[0] @ keep, weights[1] @ reject]), np.stack([weights[0] @ reject, weights[1] @ keep])
-        right = (agree + np.array([[0.95], [0.7]])) / (agree + differ + 1)
+        right = (agree + belief * weight) / (agree + differ + weight)
         prior = (weights[1].sum() + 0.1) / (count.sum() + 1)
     return dict(zip(names, bad.tolist(), strict=True)), right
 
@@ -209,28 +207,41 @@ class Scorer:
         return rows[hit], at[hit]
 
 
-def _regression(rows: np.ndarray, at: np.ndarray, n: int, width: int, target: np.ndarray, shrink: float = 0.3, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on sparse 0/1 features with soft targets: accelerated gradient steps on all rows."""
-    weights, bias = np.zeros(width), float(np.log((target.sum() + 0.5) / (n - target.sum() + 0.5)))
-    if not width:
-        return weights, bias
-    per_row = np.bincount(rows, minlength=n)
-    # One step size per feature: its curvature is at most a quarter of the row sizes that it meets, summed.
-    curve = 0.25 * np.bincount(at, per_row[rows] + 1.0, minlength=width) + shrink
-    flat = 0.25 * float((per_row + 1).sum()) + 1e-9
-    look_w, look_b, old_w, old_b, t = weights.copy(), bias, weights.copy(), bias, 1.0
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, look_w[at], minlength=n) + look_b, -500, 500)))
-        error = target - p
-        new_w = look_w + (np.bincount(at, error[rows], minlength=width) - shrink * look_w) / curve
-        new_b = look_b + float(error.sum()) / flat
-        t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        look_w, look_b = new_w + (t - 1) / t_next * (new_w - old_w), new_b + (t - 1) / t_next * (new_b - old_b)
-        old_w, old_b, t = new_w, new_b, t_next
-    return old_w, old_b
-
+def _regression(rows: np.ndarray, at: np.ndarray, n: int, width: int, target: np.ndarray, shrink: float = 0.1, rounds: int = 25) -> tuple[np.ndarray, float]:
+    """Logistic regression on sparse 0/1 features with soft targets: Newton steps, each solved by conjugate gradients.
 
-def train(docs: DataFrame, labels: DataFrame | None, doc: str = "doc_id", text: str = "text", most_rows: int = 20_000, most_features: int = 20_000) -> Scorer:
+    The last number of a solution is the bias, which is hardly shrunk.
+    """
+    rows, at = np.concatenate((rows, np.arange(n))), np.concatenate((at, np.full(n, width)))
+    penalty = np.full(width + 1, shrink)
+    penalty[-1] = 1e-6
+    times = lambda x: np.bincount(rows, x[at], minlength=n)
+    back = lambda y: np.bincount(at, y[rows], minlength=width + 1)
+    solution = np.zeros(width + 1)
+    solution[-1] = np.log((target.sum() + 0.5) / (n - target.sum() + 0.5))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(times(solution), -500, 500)))
+        curve = np.maximum(p * (1 - p), 1e-6)
+        left = back(target - p) - penalty * solution
+        scale = 1 / (back(curve) + penalty)
+        step, direction = np.zeros(width + 1), scale * left
+        energy = start = float(left @ (scale * left))
+        for _ in range(40):
+            if energy <= 1e-8 * start or energy <= 1e-14:
+                break
+            image = back(curve * times(direction)) + penalty * direction
+            length = energy / float(direction @ image)
+            step, left = step + length * direction, left - length * image
+            last, energy = energy, float(left @ (scale * left))
+            direction = scale * left + energy / last * direction
+        largest = float(np.abs(step).max())
+        solution = solution + step * min(1.0, 5.0 / max(largest, 1e-12))
+        if largest < 1e-4:
+            break
+    return solution[:-1], float(solution[-1])
+
+
+def train(docs: DataFrame, labels: DataFrame | None, doc: str = "doc_id", text: str = "text", most_rows: int = 30_000, most_features: int = 20_000) -> Scorer:
     """The scorer for ``docs``; ``most_rows`` bounds the sample it is fitted on, ``most_features`` the model."""
     spark = docs.sparkSession
     voted, _ = write(votes(docs, labels, doc, text), "votes")
@@ -271,10 +282,11 @@ def train(docs: DataFrame, labels: DataFrame | None, doc: str = "doc_id", text:
                     out[a + row].append(at)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32())), batch.column(2), batch.column(3)], ["doc_id", "at", "q", "t"])
 
-    made = rows.mapInArrow(present, f"doc_id {dict(rows.dtypes)['doc_id']}, at array<int>, q double, t double").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    at = np.array([x for r in made for x in r["at"]], np.int64)
-    row = np.repeat(np.arange(len(made)), [len(r["at"]) for r in made])
-    fits = [_regression(row, at, len(made), len(hashes), np.array([r[c] for r in made], float)) for c in ("q", "t")]
+    made = rows.mapInArrow(present, f"doc_id {dict(rows.dtypes)['doc_id']}, at array<int>, q double, t double")
+    made = made.dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow().combine_chunks()
+    lists, n = made["at"].combine_chunks(), len(made)
+    row, at = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+    fits = [_regression(row, at, n, len(hashes), made[c].to_numpy()) for c in ("q", "t")]
     return Scorer(hashes, np.stack([w for w, _ in fits], axis=1), np.array([b for _, b in fits]))
 
 

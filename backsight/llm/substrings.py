@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import SparkContext
 from pyspark.sql import DataFrame
@@ -120,15 +121,15 @@ def sketch(docs: DataFrame, bits: int, window: int, run: int, text: str = "text"
     return full.reshape(2, -1)
 
 
-_FIELDS = ("d1", "d2", "doc_id", "mark", "at", "done")
+_FIELDS = "d1 long, d2 long, doc_id long, mark long, at int, done array<int>"
 
 
 def candidates(docs: DataFrame, full: np.ndarray, bits: int, window: int, run: int, doc: str, text: str, together: int = 1 << 20) -> DataFrame:
     """Windows estimated in two documents or more: the digest of their words, document, first word.
 
     ``mark`` is the hash of the whole text, which tells rows with the same id apart. A task compares the windows it
-    finds, ``together`` at a time: all but those of the smallest document are ``done``, whatever other tasks hold, so
-    of a passage in very many documents a task sends few rows on to the exact pass that meet in one place.
+    finds, ``together`` at a time: all but those of the smallest document are decided, whatever other tasks hold, so of
+    a passage in very many documents a task sends few rows on to the exact pass. What is decided goes as one row a text.
     """
     shared = SparkContext._active_spark_context.broadcast(full)
     rows = docs.where(F.col(doc).isNotNull()).select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -139,12 +140,20 @@ def candidates(docs: DataFrame, full: np.ndarray, bits: int, window: int, run: i
         d1, d2, ids, marks, at = d1[order], d2[order], ids[order], marks[order], at[order]
         fresh = np.concatenate(([True], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])))
         least = ids[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
-        done = ids > least
-        # What is done needs no company; its own hash spreads it.
-        with np.errstate(over="ignore"):
-            spread = mixed(ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64)).view(np.int64)
-        columns = (np.where(done, spread, d1), np.where(done, 0, d2), ids, marks, at, done)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], list(_FIELDS))
+        gone = ids > least
+        left = ~gone
+        ids_gone, marks_gone, ats = _by_text(ids[gone], marks[gone], at[gone])
+        none, zero = pa.nulls(int(left.sum()), pa.list_(pa.int32())), np.zeros(len(ids_gone), np.int64)
+        # What is decided needs no company; its text's hash spreads it.
+        columns = [
+            pa.array(np.concatenate((d1[left], mixed(marks_gone.view(np.uint64)).view(np.int64)))),
+            pa.array(np.concatenate((d2[left], zero))),
+            pa.array(np.concatenate((ids[left], ids_gone))),
+            pa.array(np.concatenate((marks[left], marks_gone))),
+            pa.array(np.concatenate((at[left], zero)).astype(np.int32)),
+            pa.concat_arrays([none, ats]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _FIELDS.split(", ")])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -174,38 +183,37 @@ def candidates(docs: DataFrame, full: np.ndarray, bits: int, window: int, run: i
         if held:
             yield resolved(held)
 
-    return rows.mapInArrow(find, "d1 long, d2 long, doc_id long, mark long, at int, done boolean")
+    return rows.mapInArrow(find, _FIELDS)
 
 
-def _grouped(ids: np.ndarray, marks: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    """(doc_id, mark, ats), a row for each text."""
+def _by_text(ids: np.ndarray, marks: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Ids, marks and lists of positions, one of each for every text."""
     order = np.lexsort((at, marks, ids))
     ids, marks, at = ids[order], marks[order], at[order]
     first = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])))[: len(ids)])
-    ats = pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(ids)])).astype(np.int32)), pa.array(at))
-    return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(marks[first]), ats], ["doc_id", "mark", "ats"])
+    edges = np.concatenate((first, [len(ids)])).astype(np.int32)
+    return ids[first], marks[first], pa.ListArray.from_arrays(pa.array(edges), pa.array(at.astype(np.int32)))
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by digest and document: a digest's first row has the smallest document."""
-    last, held, size = (None, None, None), [], 0
+    """(doc_id, mark, at) of the windows that go. Rows are sorted by digest and document: a digest's first row has its smallest document."""
+    last = (None, None, None)
     for batch in batches:
-        if not len(batch):
-            continue
-        d1, d2, ids, marks, at = (batch.column(k).to_numpy() for k in range(5))
-        done = batch.column(5).to_numpy(zero_copy_only=False)
-        fresh = np.concatenate(([(d1[0], d2[0]) != last[:2]], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])))
-        group = np.cumsum(fresh)
-        least = np.concatenate(([ids[0] if last[2] is None else last[2]], ids[fresh]))[group]
-        last = (d1[-1], d2[-1], least[-1])
-        gone = done | (ids > least)
-        held.append((ids[gone], marks[gone], at[gone]))
-        size += int(gone.sum())
-        if size >= 1 << 20:
-            yield _grouped(*(np.concatenate([h[k] for h in held]) for k in range(3)))
-            held, size = [], 0
-    if size:
-        yield _grouped(*(np.concatenate([h[k] for h in held]) for k in range(3)))
+        decided = batch.column(5).is_valid()
+        lists = batch.filter(decided)
+        at = lists.column(5)
+        size = at.value_lengths().to_numpy()
+        parts = [[np.repeat(lists.column(k).to_numpy(), size) for k in (2, 3)] + [at.flatten().to_numpy()]]
+        batch = batch.filter(pc.invert(decided))
+        if len(batch):
+            d1, d2, ids, marks, at = (batch.column(k).to_numpy() for k in range(5))
+            fresh = np.concatenate(([(d1[0], d2[0]) != last[:2]], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])))
+            least = np.concatenate(([ids[0] if last[2] is None else last[2]], ids[fresh]))[np.cumsum(fresh)]
+            last = (d1[-1], d2[-1], least[-1])
+            gone = ids > least
+            parts.append([ids[gone], marks[gone], at[gone]])
+        columns = [np.concatenate([p[k] for p in parts]) for k in range(3)]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32))], ["doc_id", "mark", "at"])
 
 
 def _digests(padded, starts, ends, row, position, first, window) -> np.ndarray:
@@ -230,8 +238,8 @@ def repeated(docs: DataFrame, window: int = WINDOW, run: int = RUN, doc: str = "
     full = sketch(docs, bits, window, run, text)
     found = candidates(docs, full, bits, window, run, doc, text)
     found = found.repartition("d1", "d2").sortWithinPartitions("d1", "d2", "doc_id")
-    found = found.mapInArrow(_judge, "doc_id long, mark long, ats array<int>")
-    return found.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("ats")).alias("ats"))
+    found = found.mapInArrow(_judge, "doc_id long, mark long, at int")
+    return found.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("ats"))
 
 
 def _kept_words(words: list[bytes], ats: list[int] | None, window: int) -> list[bytes]:
