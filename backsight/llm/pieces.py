@@ -1,16 +1,324 @@
-"""Reads the piece table of a SentencePiece model: (id, piece, score, kind), at most a few hundred thousand rows."""
+"""SentencePiece encoding and decoding: a relational lattice over the distinct words, folded by Viterbi.
+
+Texts get a leading word mark and marks for spaces. Between two characters that stand together in no piece no edge can
+pass, so texts are cut there; the parts are the words of the lattice, and each distinct word is encoded once. Substrings
+of at most the longest piece's length are exploded and equi-joined to the piece table; a character that no piece spells
+falls back to its bytes. The edges of a word are grouped and folded in order of their ends with a higher-order aggregate
+that keeps the best score and last edge of every position; a second fold walks back. Distinct words are shuffled once by
+their hash; explode, join and grouping keep that partitioning.
+
+The best path has the greatest sum of piece scores, ties go to the longer last piece. For a model of kind BPE, whose
+scores are the negated ranks of its merges, this is the best segmentation by rank sum, not the order of merges.
+
+The dictionary of encoded words lies in the shared folder; tasks load its ``most_words`` most frequent words as sorted
+hash arrays. Words beyond these are joined to the texts that hold them. The hash is redrawn if two words share one.
+
+Cases: null and empty texts have no ids; the word mark itself in a text decodes to a space, as in the model's own
+library; repeated rows are encoded alone; other columns, whatever their names, are kept in ``row``.
+"""
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import sentencepiece
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from backsight.llm import files
+from backsight.llm.buffers import chunks, mixed, run_hashes, text_bytes
+from backsight.llm.components import write
+
+MARK = "▁"
+BLOCK = 64
+
+
+class Pieces:
+    """The piece table of a model: normal pieces with scores, byte pieces, and which characters stand together."""
+
+    def __init__(self, path: str):
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        size = model.get_piece_size()
+        if size > 1_000_000:
+            raise ValueError("the piece table is broadcast; a million pieces is the bound")
+        names = [model.id_to_piece(i) for i in range(size)]
+        byte = {int(names[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
+        self.bytes = [byte.get(b, model.unk_id()) for b in range(256)]
+        self.normal = [(names[i], i, model.get_score(i)) for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+        self.longest = max((len(p) for p, _, _ in self.normal), default=1)
+        self.fallback = min((s for _, _, s in self.normal), default=0.0) - 10
+        letters = sorted({c for p, _, _ in self.normal for c in p})
+        self.number = np.zeros(0x110000, np.uint16)
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.together = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for p, _, _ in self.normal:
+            at = self.number[[ord(c) for c in p]]
+            self.together[at[:-1], at[1:]] = True
+        normal = {i: p.encode() for p, i, _ in self.normal}
+        back = {i: bytes([b]) for b, i in byte.items()}
+        spelled = [normal.get(i, back.get(i, b"")) for i in range(size)]
+        self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
+        self.spelled_at = np.concatenate(([0], np.cumsum([len(s) for s in spelled])))
+
+    def words(self, data: np.ndarray, offsets: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(code points with marks, word starts, word ends, word hashes, first word of each text and the total)."""
+        codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offsets]
+        codes = np.where(codes == 0x20, np.uint32(ord(MARK)), codes)
+        some = np.diff(chars) > 0
+        codes = np.insert(codes, chars[:-1][some], ord(MARK))
+        begin = chars + np.concatenate(([0], np.cumsum(some)))
+        number = self.number[codes]
+        first = np.ones(len(codes), bool)
+        first[1:] = ~self.together[number[:-1], number[1:]]
+        first[begin[:-1][some]] = True
+        starts = np.flatnonzero(first)
+        ends = np.concatenate((starts[1:], [len(codes)])) if len(starts) else starts
+        hashes = run_hashes(mixed(codes.astype(np.uint64) + np.uint64(1 + (salt << 32))), starts, ends)
+        return codes, starts, ends, hashes, np.searchsorted(starts, begin)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        joined = _gathered(self.spelled, self.spelled_at, ids)[0].tobytes().replace(MARK.encode(), b" ")
+        return joined[1:] if joined[:1] == b" " else joined
+
+
+_LOADED: dict = {}
+
+
+def _pieces(path: str) -> Pieces:
+    if _LOADED.get("path") != path:
+        _LOADED.update(path=path, pieces=Pieces(path))
+    return _LOADED["pieces"]
+
+
+def _gathered(flat: np.ndarray, at: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows ``chosen`` of a ragged array, end to end, and their lengths."""
+    size = at[chosen + 1] - at[chosen]
+    ends = np.cumsum(size)
+    where = np.repeat(at[chosen] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+    return flat[where], size
+
+
+def distinct_words(docs: DataFrame, model: str, text: str = "text", salt: int = 0) -> DataFrame:
+    """(hash, word, n): every word of every text with its number of occurrences; tasks send each word a few times only."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, held = _pieces(model), {}
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(0))
+            for a, b in chunks(offsets):
+                codes, starts, ends, hashes, _ = pieces.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], salt)
+                if not len(starts):
+                    continue
+                order, distinct = pd.factorize(hashes.view(np.int64))
+                count = np.bincount(order)
+                first = np.empty(len(distinct), np.int64)
+                first[order[::-1]] = np.arange(len(order))[::-1]
+                for h, k, n in zip(distinct.tolist(), first.tolist(), count.tolist(), strict=True):
+                    if h in held:
+                        held[h][1] += n
+                    else:
+                        held[h] = [codes[starts[k] : ends[k]].tobytes().decode("utf-32-le"), n]
+                if len(held) > 300_000:
+                    yield _word_batch(held)
+                    held = {}
+        yield _word_batch(held)
+
+    counted = docs.select(F.col(text).cast("string")).mapInArrow(work, "hash long, word string, n long")
+    return counted.groupBy("hash", "word").agg(F.sum("n").alias("n"))
+
+
+def _word_batch(held: dict) -> pa.RecordBatch:
+    values = list(held.values())
+    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([v[0] for v in values], pa.string()), pa.array([v[1] for v in values], pa.int64())], ["hash", "word", "n"])
+
+
+def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """(hash, word, n, edges): the edges (stop, start, score, ids) of each word, in order of their ends."""
+    table = words.sparkSession.createDataFrame([(p, i, float(s)) for p, i, s in pieces.normal], "piece string, id int, score double")
+    span = pieces.longest
+    # Long words are exploded in blocks with an overlap, so that no substring is cut from a long string.
+    blocks = words.select("hash", "word", "n", F.explode(F.sequence(F.lit(0), F.floor((F.length("word") - 1) / BLOCK).cast("int"))).alias("block"))
+    blocks = blocks.select("hash", "word", "n", "block", F.substring("word", F.col("block") * BLOCK + 1, F.lit(BLOCK + span - 1)).alias("part"))
+    starts = blocks.select("hash", "word", "n", "block", "part", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(BLOCK)) - 1)).alias("at"))
+    cuts = starts.select("hash", "word", "n", (F.col("block") * BLOCK + F.col("at")).alias("start"), F.explode(F.expr(f"transform(sequence(1, least({span}, length(part) - at)), k -> struct(k as size, substring(part, at + 1, k) as piece))")).alias("cut"))
+    cuts = cuts.select("hash", "word", "n", "start", "cut.size", "cut.piece")
+    found = cuts.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
+    octets = F.transform(
+        F.filter(F.split(F.regexp_replace(F.hex(F.encode("piece", "UTF-8")), "(..)", "$1 "), " "), lambda x: x != ""),
+        lambda x: F.element_at(F.array(*map(F.lit, pieces.bytes)), F.conv(x, 16, 10).cast("int") + 1),
+    )
+    edge = F.struct(
+        (F.col("start") + F.col("size")).alias("stop"),
+        "start",
+        F.coalesce("score", F.lit(pieces.fallback)).alias("score"),
+        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(octets).alias("ids"),
+    )
+    return found.groupBy("hash", "word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+
+def viterbi(edges: Column) -> Column:
+    """The ids on the best path, as a fold over edges in order of their ends and a fold back."""
+    place = lambda score, start, ids: F.struct(score.alias("score"), start.alias("start"), ids.alias("ids"))
+    begin = place(F.lit(0.0), F.lit(-1), F.array().cast("array<int>"))
+    state = lambda done, stop, best: F.struct(done.alias("done"), stop.alias("stop"), best.alias("best"))
+
+    def step(acc: Column, e: Column) -> Column:
+        done = F.when(e["stop"] > acc["stop"], F.concat(acc["done"], F.array(acc["best"]))).otherwise(acc["done"])
+        score = F.element_at(done, e["start"] + 1)["score"] + e["score"]
+        better = (e["stop"] > acc["stop"]) | (score > acc["best"]["score"])
+        return state(done, e["stop"], F.when(better, place(score, e["start"], e["ids"])).otherwise(acc["best"]))
+
+    empty = F.array().cast("array<struct<score:double,start:int,ids:array<int>>>")
+    best = F.aggregate(edges, state(empty, F.lit(0), begin), step, lambda acc: F.concat(acc["done"], F.array(acc["best"])))
+    walk = F.aggregate(
+        F.reverse(best),
+        F.struct(F.lit(None).cast("int").alias("next"), (F.size(best) - 1).alias("at"), F.array().cast("array<array<int>>").alias("ids")),
+        lambda acc, b: F.when(
+            (acc["at"] > 0) & (acc["next"].isNull() | (acc["next"] == acc["at"])),
+            F.struct(b["start"].alias("next"), (acc["at"] - 1).alias("at"), F.concat(F.array(b["ids"]), acc["ids"]).alias("ids")),
+        ).otherwise(F.struct(acc["next"].alias("next"), (acc["at"] - 1).alias("at"), acc["ids"].alias("ids"))),
+        lambda acc: acc["ids"],
+    )
+    return F.flatten(walk)
+
+
+def dictionary(docs: DataFrame, model: str, text: str = "text") -> tuple[DataFrame, str, int]:
+    """(hash, n, ids) of every distinct word, where it is written, and the salt of its hashes."""
+    for salt in range(100):
+        words = lattice(distinct_words(docs, model, text, salt), _pieces(model)).select("hash", "n", viterbi(F.col("edges")).alias("ids"))
+        made, path = write(words, "encoded-words")
+        if made.groupBy("hash").count().where("count > 1").isEmpty():
+            return made, path, salt
+    raise ValueError("no hash keeps the words apart")
+
+
+class _Dictionary:
+    """The frequent words as sorted hashes and ragged ids."""
+
+    def __init__(self, path: str):
+        system, folder = files.opened(path)
+        listed = [f.path for f in system.get_file_info(files.fs.FileSelector(folder)) if f.path.endswith(".parquet")]
+        keys, sizes, flat = [], [], []
+        for part in listed:
+            table = pq.read_table(part, columns=["hash", "ids"], filesystem=system).combine_chunks()
+            if len(table):
+                ids = table["ids"].combine_chunks()
+                keys.append(table["hash"].to_numpy())
+                sizes.append(ids.value_lengths().to_numpy())
+                flat.append(ids.flatten().to_numpy().astype(np.int32))
+        keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        at = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if sizes else np.zeros(1, np.int64)
+        order = np.argsort(keys)
+        self.keys, self.at = keys[order], np.concatenate(([0], np.cumsum((at[1:] - at[:-1])[order])))
+        self.flat = _gathered(np.concatenate(flat), at, order)[0] if flat else np.zeros(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        order, distinct = pd.factorize(hashes.view(np.int64))
+        place = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+        return np.where(self.keys[place] == distinct, place, -1)[order]
+
+
+def _dictionary(path: str) -> _Dictionary:
+    if _LOADED.get("dictionary_path") != path:
+        _LOADED.update(dictionary_path=path, dictionary=_Dictionary(path))
+    return _LOADED["dictionary"]
+
+
+def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_000_000) -> DataFrame:
+    """The rows of ``docs`` as ``row``, with ids (array<int>), n_tokens and ids_crc32 (of 32-bit little-endian ids)."""
+    words, path, salt = dictionary(docs, model, text)
+    whole = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
+    rare = F.lit(None).cast("map<bigint,array<int>>")
+    if words.count() <= most_words:
+        rows = whole.withColumn("rare", rare)
+    else:
+        common, path = write(words.orderBy(F.desc("n"), "hash").limit(most_words), "common-words")
+        rows = _with_rare(whole, words, path, model, salt)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, known = _pieces(model), _dictionary(path)
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            sizes, parts, sums = [], [], []
+            for a, b in chunks(offsets):
+                _, _, _, hashes, first = pieces.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], salt)
+                place = known.find(hashes)
+                flat, at = known.flat, known.at
+                if (place < 0).any():
+                    place, flat, at = _with_own(batch.column(2).slice(a, b - a).to_pylist(), hashes, first, place, flat, at)
+                ids, size = _gathered(flat, at, place)
+                edge = np.concatenate(([0], np.cumsum(size)))[first]
+                parts.append(ids)
+                sizes.append(np.diff(edge))
+                raw = ids.astype("<u4").tobytes()
+                sums += [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+            size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+            at = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(size.astype(np.int64)), pa.array(sums, pa.int64())], ["row", "ids", "n_tokens", "ids_crc32"])
+
+    return rows.mapInArrow(work, whole.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long").add("ids_crc32", "long"))
+
+
+def _with_own(own: list, hashes: np.ndarray, first: np.ndarray, place: np.ndarray, flat: np.ndarray, at: np.ndarray):
+    """Words that the dictionary lacks are taken from their row's own map."""
+    extra, where = [], {}
+    place = place.copy()
+    row = np.searchsorted(first, np.flatnonzero(place < 0), "right") - 1
+    for k, r in zip(np.flatnonzero(place < 0).tolist(), row.tolist(), strict=True):
+        h = int(hashes[k : k + 1].view(np.int64)[0])
+        if h not in where:
+            where[h] = len(at) - 1 + len(extra)
+            extra.append(dict(own[r])[h])
+        place[k] = where[h]
+    sizes = np.cumsum([len(x) for x in extra])
+    return place, np.concatenate((flat, np.concatenate(extra).astype(np.int32))), np.concatenate((at, at[-1] + sizes))
+
+
+def _with_rare(whole: DataFrame, words: DataFrame, path: str, model: str, salt: int) -> DataFrame:
+    """Each row with a map of its words that the common dictionary lacks, found by a join on the word's hash."""
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, known = _pieces(model), _dictionary(path)
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(0))
+            for a, b in chunks(offsets):
+                _, _, _, hashes, first = pieces.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], salt)
+                rare = np.flatnonzero(known.find(hashes) < 0)
+                row = a + np.searchsorted(first, rare, "right") - 1
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row)), pa.array(hashes[rare].view(np.int64))], ["key", "hash"])
+
+    keyed = whole.withColumn("key", F.sha2("text", 256))
+    pairs = keyed.select("text", "key").mapInArrow(missing, "key string, hash long").distinct()
+    maps = pairs.join(words.select("hash", "ids"), "hash").groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("hash", "ids"))).alias("rare"))
+    return keyed.join(maps, "key", "left").select("row", "text", "rare")
+
+
+def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
+    """The rows of ``encoded`` as ``row``, with the text that their ids spell as ``decoded``."""
+    rows = encoded.select(F.struct("*").alias("row"), F.col(ids).cast("array<int>").alias("ids"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(model)
+        for batch in batches:
+            lists = batch.column(1)
+            out = [pieces.decode(x.values.to_numpy()).decode("utf-8", "replace") if x.is_valid else None for x in lists]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["row", "decoded"])
 
-NORMAL, UNKNOWN, CONTROL, BYTE = "normal", "unknown", "control", "byte"
+    return rows.mapInArrow(work, rows.select("row").schema.add("decoded", "string"))
 
 
-def piece_table(path: str) -> list[tuple[int, str, float, str]]:
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    kinds = ((UNKNOWN, model.is_unknown), (CONTROL, model.is_control), (BYTE, model.is_byte))
-    return [
-        (i, model.id_to_piece(i), model.get_score(i), next((kind for kind, test in kinds if test(i)), NORMAL))
-        for i in range(model.get_piece_size())
-    ]
+def same_text(text: str | Column, decoded: str | Column) -> Column:
+    """Whether a text came back: the word mark itself stands for a space."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" ")) == F.coalesce(decoded, F.lit(""))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, language, quality, simhash, substrings, tokens, topk, warc
+from backsight.llm import decontaminate, language, pieces, quality, simhash, substrings, tokens, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,15 @@ def op6_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = quality.score(docs, quality.train(docs, labels))
     return found.select("row.doc_id", "n_words", "p_low_quality", "p_toxic", "rejected")
+
+
+@query
+def op2_pieces(spark, sf_dir):
+    model = tokenizer_path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    return found.select(
+        F.col("row.row.doc_id").alias("doc_id"),
+        F.col("row.n_tokens").alias("n_tokens"),
+        F.col("row.ids_crc32").alias("ids_crc32"),
+        pieces.same_text(F.col("row.row.text"), F.col("decoded")).alias("round_trip"),
+    )
