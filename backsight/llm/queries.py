@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, language, pieces, quality, simhash, substrings, tokens, topk, warc
+from backsight.llm import decontaminate, language, licences, pieces, quality, simhash, substrings, tokens, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +160,69 @@ def op2_pieces(spark, sf_dir):
         F.col("row.ids_crc32").alias("ids_crc32"),
         pieces.same_text(F.col("row.row.text"), F.col("decoded")).alias("round_trip"),
     )
+
+
+def document_paths(documents: DataFrame) -> DataFrame:
+    """Documents as files of a tree: blocks of 16 in blocks of 16; the first document of a block is its licence file."""
+    block = lambda n: F.expr(f"cast(floor(doc_id / {n}) as string)")
+    path = (
+        F.when(F.col("doc_id") % 4096 == 0, F.concat(block(4096), F.lit("/LICENSE")))
+        .when(F.col("doc_id") % 256 == 0, F.concat_ws("/", block(4096), block(256), F.lit("LICENSE")))
+        .when(F.col("doc_id") % 16 == 0, F.concat_ws("/", block(4096), block(256), block(16), F.lit("LICENSE")))
+        .when(F.col("doc_id").isNotNull(), F.concat_ws("/", block(4096), block(256), block(16), F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    )
+    return documents.select("doc_id", path.alias("path"), "text")
+
+
+@query
+def op4_licences(spark, sf_dir):
+    found = licences.scan(document_paths(table(spark, sf_dir, "documents")))
+    return found.select("path", "own_licence", "own_score", "licence", "licensed_by")
+
+
+_TEMPLATE_ROWS = ", ".join(f"('{name}', '{name}/{k}', '{text}')" for name, texts in sorted(licences.TEMPLATES.items()) for k, text in enumerate(texts))
+ORACLES["op4_licences"] = rf"""
+WITH files AS (
+  SELECT row_number() OVER () AS number, coalesce(text, '') AS text, doc_id,
+         (doc_id // 4096)::VARCHAR AS a, (doc_id // 256)::VARCHAR AS b, (doc_id // 16)::VARCHAR AS c FROM documents),
+placed AS (
+  SELECT number, text, CASE WHEN doc_id % 4096 = 0 THEN a || '/' WHEN doc_id % 256 = 0 THEN a || '/' || b || '/'
+                            ELSE a || '/' || b || '/' || c || '/' END AS directory,
+         CASE WHEN doc_id % 16 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name FROM files),
+raw_segments AS (
+  SELECT number, line FROM (SELECT number, unnest(string_split(text, chr(10))) AS line FROM placed)
+  WHERE regexp_matches(line, '(?i)licen[cs]e|copyright|redistribution|permission is')
+  UNION ALL SELECT number, text FROM placed WHERE name = 'LICENSE'),
+each_segment AS (
+  SELECT DISTINCT number, array_to_string(regexp_extract_all(lower(line), '{licences.WORD}'), ' ') AS segment FROM raw_segments),
+distinct_segments AS (SELECT DISTINCT segment FROM each_segment WHERE segment <> ''),
+terms AS (
+  SELECT segment, term, count(*) AS tf FROM (SELECT segment, unnest(string_split(segment, ' ')) AS term FROM distinct_segments) GROUP BY ALL),
+frequency AS (SELECT term, count(*) AS df FROM terms GROUP BY term),
+total AS (SELECT count(*)::DOUBLE AS n FROM distinct_segments),
+weighted AS (SELECT segment, term, tf * (ln((n + 1) / (df + 1)) + 1) AS w FROM terms JOIN frequency USING (term), total),
+norms AS (SELECT segment, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY segment),
+notices(licence, template, text) AS (VALUES {_TEMPLATE_ROWS}),
+notice_terms AS (
+  SELECT licence, template, term, count(*) AS tf
+  FROM (SELECT licence, template, unnest(regexp_extract_all(lower(text), '{licences.WORD}')) AS term FROM notices) GROUP BY ALL),
+notice_weights AS (
+  SELECT licence, template, term, tf * (ln((n + 1) / (coalesce(df, 0) + 1)) + 1) AS t FROM notice_terms LEFT JOIN frequency USING (term), total),
+notice_norms AS (SELECT template, sqrt(sum(t * t)) AS own FROM notice_weights GROUP BY template),
+scores AS (
+  SELECT segment, licence, round(sum(w * t) / (any_value(norm) * any_value(own)), 6) AS score
+  FROM weighted JOIN notice_weights USING (term) JOIN norms USING (segment) JOIN notice_norms USING (template)
+  GROUP BY segment, licence, template),
+own AS (
+  SELECT number, licence, score FROM each_segment JOIN scores USING (segment) WHERE score >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY number ORDER BY score DESC, licence) = 1),
+given AS (
+  SELECT directory, licence AS given FROM placed JOIN own USING (number) WHERE name = 'LICENSE'
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, licence) = 1),
+inherited AS (
+  SELECT p.number, g.directory, g.given FROM placed p ANTI JOIN own USING (number) JOIN given g ON starts_with(p.directory, g.directory)
+  QUALIFY row_number() OVER (PARTITION BY p.number ORDER BY length(g.directory) DESC) = 1)
+SELECT p.directory || p.name AS path, o.licence AS own_licence, o.score AS own_score,
+       coalesce(o.licence, i.given) AS licence, i.directory AS licensed_by
+FROM placed p LEFT JOIN own o USING (number) LEFT JOIN inherited i USING (number)
+"""
