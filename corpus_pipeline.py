@@ -1,26 +1,65 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread as the next one's input.
+
+All stages but the last return the columns of documents; the last returns the token ids of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate
+from backsight.llm import decontaminate, pieces, quality, simhash, substrings
+from backsight.llm.queries import table, tokenizer_path
 from backsight.storage import settle
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of low quality and toxic ones go."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return simhash.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that an earlier document holds, too, are cut out; n_chars follows the text."""
+    cut = substrings.without_repeats(docs)
+    return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold passages of the benchmark go."""
-    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The piece ids of each document, and whether they decode to its text."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(docs.select("doc_id", "text"), model), model)
+    return found.select(
+        F.col("row.row.doc_id").alias("doc_id"),
+        F.col("row.n_tokens").alias("n_tokens"),
+        F.col("row.ids").alias("ids"),
+        pieces.same_text(F.col("row.row.text"), F.col("decoded")).alias("round_trip"),
+    )
 
 
-STAGES = [("benchmark decontamination", drop_contaminated)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", keep_one_of_each),
+    ("substring dedup", cut_repeats),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece encoding and decoding", encode),
+]
 
-#: Hash fingerprints, learned scorers and Viterbi paths are not expressible in SQL; tests hold the stages against brute force.
+#: Fingerprints, learned scorers and Viterbi paths are not expressible in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
