@@ -93,7 +93,8 @@ def _shares(windows: DataFrame, most_bytes: int) -> Iterator[list[tuple[bytes, l
     count = -(-total // most_bytes)
     for share in range(count):
         part = windows if count == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(count)) == share)
-        yield [(bytes(r[0]), list(r[1])) for r in part.collect()]
+        if found := [(bytes(r[0]), list(r[1])) for r in part.collect()]:
+            yield found
 
 
 _AUTOMATA: dict[int, ahocorasick.Automaton] = {}
