@@ -60,8 +60,8 @@ def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         dark = plain != _SPACE
         lettered[k] = dark.any()
         if lettered[k]:
-            first = np.concatenate(([True], dark[:-1]))
-            plain = np.concatenate((pad, plain[dark | first], end)).astype(np.uint64)
+            after = np.concatenate(([False], dark[:-1]))
+            plain = np.concatenate((pad, plain[dark | after], end[: int(dark[-1])])).astype(np.uint64)
             keys = plain[ORDER - 1 :].copy()
             for step in range(1, ORDER):
                 keys |= plain[ORDER - 1 - step : len(plain) - step] << np.uint64(16 * step)
