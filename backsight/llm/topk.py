@@ -130,7 +130,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, key: str = "vec_id
 
 def _scan(ids: np.ndarray, vectors: list, k: int):
     lengths = np.array([len(v) for v in vectors], int)
-    groups = {int(n): (ids[lengths == n], np.array([vectors[i] for i in np.flatnonzero(lengths == n)], float).reshape(-1, n)) for n in np.unique(lengths)}
+    groups = {int(n): (ids[lengths == n], np.array([vectors[i] for i in np.flatnonzero(lengths == n)], float).reshape(int((lengths == n).sum()), n)) for n in np.unique(lengths)}
     shared = SparkContext._active_spark_context.broadcast(groups)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
