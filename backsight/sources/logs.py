@@ -129,10 +129,10 @@ def _chunk_borders(local: DataFrame, gap_hours: int) -> DataFrame:
     )
 
 
-def read_pulls(spark: SparkSession, path: str, contexts: int = 10, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def read_pulls(spark: SparkSession, path: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Event rows as bandit pulls (context, pull_no, arm, reward), numbered per context in time order."""
     pulls = spark.read.parquet(path).select(
-        (F.col("user_id") % contexts).alias("context"),
+        F.col("user_id").alias("context"),
         event_type_index().alias("arm"),
         (F.col("value") / 100).alias("reward"),
         "ts",

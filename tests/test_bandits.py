@@ -1,10 +1,9 @@
 import math
 import random
 
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
+from backsight.functions.draws import uniform
 from backsight.operators import agents as A
 from backsight.operators import bandits as N
 from golden import as_dict
@@ -55,36 +54,66 @@ def test_curves(pulls, span):
             assert found[0, i].expected_reward == pytest.approx(sum(same) / len(same))
 
 
-@pytest.mark.parametrize("rows_per_round", [1_000_000, 20])
+def plain_chances(rule, estimates, counts):
+    n = len(estimates)
+    if rule.softmax:
+        total = sum(math.exp(e) for e in estimates)
+        return [math.exp(e) / total for e in estimates]
+    scores = list(estimates)
+    if rule.bonus is not None:
+        if 0 in counts:
+            scores = [float(i == counts.index(0)) for i in range(n)]
+        else:
+            scores = [e + rule.bonus * math.sqrt(math.log(sum(counts)) / k) for e, k in zip(estimates, counts, strict=True)]
+    ties = [s >= max(scores) - 1e-9 for s in scores]
+    return [(1 - rule.eps) * t / sum(ties) + rule.eps / n for t in ties]
+
+
+def plain_replay(rows, n_arms, rule, draws):
+    """One pull after the other; without draws every pull counts."""
+    state, kept = {}, []
+    for context, number, arm, reward in sorted(rows, key=lambda r: (r[0], r[1])):
+        estimates, counts, base = state.setdefault(context, ([rule.start] * n_arms, [0] * n_arms, [0.0, 0]))
+        chance = plain_chances(rule, estimates, counts)
+        if draws is not None:
+            below = sum(sum(chance[: i + 1]) <= draws[context, number] for i in range(n_arms))
+            if min(below, n_arms - 1) != arm:
+                continue
+            kept.append((context, number, arm, reward))
+        if rule.softmax:
+            for i in range(n_arms):
+                estimates[i] += rule.rate * (reward - base[0]) * ((i == arm) - chance[i])
+            if rule.mean_baseline:
+                base[1] += 1
+                base[0] += (reward - base[0]) / base[1]
+        else:
+            estimates[arm] += rule.rate * (reward - estimates[arm])
+        counts[arm] += 1
+    return state, kept
+
+
 @pytest.mark.parametrize("mean_baseline", [False, True])
-def test_gradient_bandit_equals_the_loop(pulls, rows_per_round, mean_baseline):
+def test_gradient_bandit_equals_the_loop(pulls, mean_baseline):
     rows, df = pulls
-    found = A.learned_preferences(df, 3, lambda n: A.GradientAgent(n, LR, mean_baseline), rows_per_round)
-    for context in (0, 1, 2):
-        h, seen, mean = np.zeros(3), 0, 0.0
-        for c, _, arm, reward in rows:
-            if c == context:
-                p = np.exp(h) / np.exp(h).sum()
-                h = h + LR * (reward - mean) * ((np.arange(3) == arm) - p)
-                if mean_baseline:
-                    seen += 1
-                    mean += (reward - mean) / seen
-        own = as_dict(found.filter(F.col("context") == context).select("arm", "estimate"), "arm")
-        assert own == pytest.approx(dict(enumerate(h)))
-
-
-@pytest.mark.parametrize("name", ["greedy", "optimistic", "eps_greedy", "ucb", "gradient"])
-def test_replay_evaluation_does_not_depend_on_rounds(pulls, name):
+    rule = A.Rule(rate=LR, softmax=True, mean_baseline=mean_baseline)
+    state, _ = plain_replay(rows, 3, rule, None)
+    found = {(r.context, r.arm): (r.n, r.estimate) for r in A.learned_preferences(df, 3, rule).collect()}
+    assert {k: v[0] for k, v in found.items()} == {(c, i): n for c, s in state.items() for i, n in enumerate(s[1])}
+    assert {k: v[1] for k, v in found.items()} == pytest.approx({(c, i): e for c, s in state.items() for i, e in enumerate(s[0])})
+
+
+@pytest.mark.parametrize("name", sorted(A.RULES))
+def test_replay_evaluation_equals_the_loop(pulls, name):
     rows, df = pulls
-    accepted, arms = A.replay_evaluation(df, 3, A.AGENTS[name], 5)
-    sliced, sliced_arms = A.replay_evaluation(df, 3, A.AGENTS[name], 5, rows_per_round=25)
-    assert sorted(map(tuple, accepted.collect())) == sorted(map(tuple, sliced.collect()))
-    assert sorted(map(tuple, arms.collect())) == sorted(map(tuple, sliced_arms.collect()))
-    # the same replay by hand
-    for context in (0, 1, 2):
-        agent, kept = A.AGENTS[name](3), []
-        for c, i, arm, reward in rows:
-            if c == context and agent.act(np.random.default_rng((5, c, i)).random) == arm:
-                agent.update(arm, reward)
-                kept.append((c, i, arm, reward))
-        assert kept == sorted(tuple(r) for r in accepted.filter(F.col("context") == context).collect())
+    draws = {(r.context, r.pull_no): r.u for r in df.withColumn("u", uniform(5, "context", "pull_no")).collect()}
+    state, kept = plain_replay(rows, 3, A.RULES[name], draws)
+    accepted, arms = A.replay_evaluation(df, 3, A.RULES[name], 5)
+    assert sorted(map(tuple, accepted.collect())) == sorted(kept)
+    found = {(r.context, r.arm): r.estimate for r in arms.collect()}
+    assert found == pytest.approx({(c, i): e for c, s in state.items() for i, e in enumerate(s[0])})
+
+
+def test_bad_pulls_are_refused(spark):
+    bad = spark.createDataFrame([(1, 1, 7, 0.5)], "context LONG, pull_no LONG, arm LONG, reward DOUBLE")
+    with pytest.raises(Exception, match="an arm outside"):
+        A.learned_preferences(bad, 3, A.RULES["greedy"]).collect()

@@ -23,6 +23,13 @@ ESTIMATES = (
 )
 
 
+# the arms of the vocabulary that a context never pulled, too
+EVERY = (
+    "SELECT c.context, c.arm, coalesce(n, 0) AS n, coalesce(estimate, {start}) AS estimate FROM "
+    "(SELECT DISTINCT context, a AS arm FROM pulls, range(5) t(a)) c LEFT JOIN arms USING (context, arm)"
+)
+
+
 @query("f0_pulls")
 def f0(spark, sf_dir):
     return C.pulls(spark, sf_dir)
@@ -49,9 +56,11 @@ def f2(spark, sf_dir):
 
 
 ORACLES["f2_optimistic_choice"] = statement(
-    f"SELECT a.context, a.arm, a.n, {r('a.estimate', 'estimate')}, b.choice FROM arms a JOIN (SELECT context, arm AS choice FROM "
-    "(SELECT *, row_number() OVER (PARTITION BY context ORDER BY estimate DESC) AS k FROM arms) WHERE k = 1) b USING (context)",
-    "pulls", extra=[("arms", ESTIMATES.format(start=N.OPTIMISTIC_START))],
+    f"SELECT a.context, a.arm, a.n, {r('a.estimate', 'estimate')}, b.choice FROM every a JOIN (SELECT context, arm AS choice FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY context ORDER BY u, arm) AS k FROM (SELECT *, "
+    f"{uniform_draw(SEED, 'context', 'arm')} AS u FROM every QUALIFY estimate >= max(estimate) OVER (PARTITION BY context) - 1e-9)) "
+    "WHERE k = 1) b USING (context)",
+    "pulls", extra=[("arms", ESTIMATES.format(start=N.OPTIMISTIC_START)), ("every", EVERY.format(start=N.OPTIMISTIC_START))],
 )
 
 
@@ -89,27 +98,75 @@ def f4(spark, sf_dir):
 
 ORACLES["f4_ucb_scores"] = statement(
     f"SELECT context, arm, n, {r('estimate', 'estimate')}, {r('score', 'score')}, first_value(arm) OVER (PARTITION BY context ORDER BY score DESC, arm) AS choice "
-    "FROM (SELECT *, estimate + 2.0 * sqrt(ln(sum(n) OVER (PARTITION BY context)) / n) AS score FROM arms)",
-    "pulls", extra=[("arms", ESTIMATES.format(start=0))],
+    "FROM (SELECT *, CASE WHEN n = 0 THEN 'infinity'::DOUBLE ELSE estimate + 2.0 * sqrt(ln(sum(n) OVER (PARTITION BY context)) / n) END AS score FROM every)",
+    "pulls", extra=[("arms", ESTIMATES.format(start=0)), ("every", EVERY.format(start=0))],
 )
 
 
 @query("f5_gradient_bandit")
 def f5(spark, sf_dir):
-    learned = A.learned_preferences(C.pulls(spark, sf_dir), len(ARMS), A.AGENTS["gradient"])
+    learned = A.learned_preferences(C.pulls(spark, sf_dir), len(ARMS), A.RULES["gradient"])
     return P.softmax_policy(learned, "estimate", ["context"], "arm").join(learned, ["context", "arm"])
 
 
 def _replayed(name: str):
     @query(f"f6_replay_{name}")
     def run(spark, sf_dir):
-        return A.replay_evaluation(C.pulls(spark, sf_dir), len(ARMS), A.AGENTS[name], SEED)[0]
+        return A.replay_evaluation(C.pulls(spark, sf_dir), len(ARMS), A.RULES[name], SEED)[0]
 
 
-for _name in A.AGENTS:
+for _name in A.RULES:
     _replayed(_name)
 
 
+SOFTMAX = "list_transform(est, lambda x: exp(x - list_max(est)) / list_sum(list_transform(est, lambda y: exp(y - list_max(est)))))"
+
+
+def _chances_sql(rule: A.Rule) -> str:
+    """The chance of each arm from the lists ``est`` and ``n``."""
+    if rule.softmax:
+        return SOFTMAX
+    scores = "est"
+    if rule.bonus is not None:
+        rare = f"list_transform(range(1, 6), lambda i: est[i] + {rule.bonus} * sqrt(ln(list_sum(n)) / n[i]))"
+        scores = f"CASE WHEN list_contains(n, 0) THEN list_transform(range(1, 6), lambda i: (i = list_position(n, 0))::INT::DOUBLE) ELSE {rare} END"
+    best = f"list_transform(range(1, 6), lambda i: ({{s}}[i] >= list_max({{s}}) - 1e-9)::INT::DOUBLE)".replace("{s}", "sc")
+    return f"(SELECT list_transform(g, lambda x: (1 - {rule.eps}) * x / list_sum(g) + {rule.eps} / 5) FROM (SELECT {best} AS g FROM (SELECT {scores} AS sc)))"
+
+
+def _replay_sql(rule: A.Rule, accept: bool) -> list[tuple[str, str]]:
+    """All contexts at once, one pull of each per round; what is learned travels as lists."""
+    chosen = f"least(4, len(list_filter(range(1, 6), lambda i: list_sum(ch[1:i]) <= u)))" if accept else "arm"
+    if rule.softmax:
+        moved = f"list_transform(range(1, 6), lambda i: est[i] + {rule.rate} * reward * ((i = arm + 1)::INT - ch[i]))"
+    else:
+        moved = f"list_transform(range(1, 6), lambda i: CASE WHEN i = arm + 1 THEN est[i] + {rule.rate} * (reward - est[i]) ELSE est[i] END)"
+    return [
+        ("drawn", f"SELECT *, {uniform_draw(SEED, 'context', 'pull_no')} AS u FROM pulls"),
+        (
+            "run",
+            f"SELECT DISTINCT context, 0::BIGINT AS k, [{', '.join([f'{rule.start}::DOUBLE'] * 5)}] AS est, [0, 0, 0, 0, 0]::DOUBLE[] AS n, false AS hit FROM drawn "
+            f"UNION ALL SELECT context, k + 1, CASE WHEN hit THEN {moved} ELSE est END, "
+            "CASE WHEN hit THEN list_transform(range(1, 6), lambda i: n[i] + (i = arm + 1)::INT) ELSE n END, hit "
+            f"FROM (SELECT *, {chosen} = arm AS hit FROM (SELECT r.context, r.k, r.est, r.n, d.arm, d.reward, d.u, {_chances_sql(rule)} AS ch "
+            "FROM run r JOIN drawn d ON d.context = r.context AND d.pull_no = r.k + 1))",
+        ),
+    ]
+
+
+for _name, _rule in A.RULES.items():
+    ORACLES[f"f6_replay_{_name}"] = statement(
+        f"SELECT context, pull_no, arm, {r('reward', 'reward')} FROM pulls JOIN run USING (context) WHERE k = pull_no AND hit",
+        "pulls", extra=_replay_sql(_rule, True),
+    )
+ORACLES["f5_gradient_bandit"] = statement(
+    f"SELECT context, arm, n, {r('estimate', 'estimate')}, {r('policy', 'policy')} FROM "
+    f"(SELECT context, unnest(range(0, 5)) AS arm, unnest(n)::BIGINT AS n, unnest(est) AS estimate, unnest({SOFTMAX}) AS policy FROM run "
+    "QUALIFY k = max(k) OVER (PARTITION BY context))",
+    "pulls", extra=_replay_sql(A.RULES["gradient"], False),
+)
+
+
 @query("f7_reward_curves")
 def f7(spark, sf_dir):
     return N.reward_curves(C.pulls(spark, sf_dir))

@@ -39,7 +39,7 @@ SELECT state, action, n / sum(n) OVER (PARTITION BY state) AS policy
 FROM (SELECT state, action, count(*) AS n FROM transitions GROUP BY ALL)""",
     "v0": "SELECT state, 0.0::DOUBLE AS v FROM states",
     "pulls": """
-SELECT user_id % 10 AS context, row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS pull_no,
+SELECT user_id AS context, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pull_no,
        (CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3
              WHEN 'view' THEN 4 END)::BIGINT AS arm, value / 100 AS reward
 FROM events""",
@@ -67,7 +67,7 @@ def r(expression: str, name: str) -> str:
 
 
 def uniform_draw(seed: int, *key: str) -> str:
-    return f"(('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(key)})), 1, 8))::UBIGINT::DOUBLE / 4294967296::DOUBLE)"
+    return f"(('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(key)})), 1, 13))::UBIGINT::DOUBLE / 4503599627370496::DOUBLE)"
 
 
 def statement(select: str, *needed: str, extra: list[tuple[str, str]] | None = None) -> str:
@@ -84,7 +84,7 @@ def statement(select: str, *needed: str, extra: list[tuple[str, str]] | None = N
         add(name)
     blocks = [(name, CTES[name]) for name in ordered] + (extra or [])
     text = ",\n".join(f"{name} AS MATERIALIZED ({body.strip()})" for name, body in blocks)
-    return f"WITH {text}\n{select.strip()}" if blocks else select.strip()
+    return f"WITH RECURSIVE {text}\n{select.strip()}" if blocks else select.strip()
 
 
 def v_sweeps(step: str, count: int, first: str = "v0") -> list[tuple[str, str]]:
