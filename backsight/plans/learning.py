@@ -12,7 +12,7 @@ from ..operators import backups as S
 from ..operators.ordering import ROWS_PER_CHUNK, numbered
 from ..operators.policies import eps_greedy_policy, policy_changes
 from ..storage import settle
-from .loop import BROADCAST, SHUFFLE, TOGETHER, kept, placed, placement_of, repeat
+from .loop import kept, placed, placement_of, repeat
 
 Lookup = Callable[[DataFrame], DataFrame]
 
@@ -25,7 +25,8 @@ def sweep(
     upcoming = iter(rates)
 
     def step(current: DataFrame) -> DataFrame:
-        targets = S.mean_targets(statistics, placed(lookup(current), placement), keys)
+        # a lookup has its own number of rows; it is not marked, its size decides
+        targets = S.mean_targets(statistics, lookup(current), keys)
         return S.move_towards(current, placed(targets, placement), keys, value, next(upcoming))
 
     try:
@@ -47,13 +48,13 @@ def td_lambda(steps: DataFrame, v: DataFrame, gamma: float, trace: float, rates:
     upcoming = iter(rates)
 
     v = settle(v, "v")
-    placement = placement_of(steps.count(), v.count())
+    placement = placement_of(v.count())
 
     def step(current: DataFrame) -> DataFrame:
         targets = S.lambda_targets(steps, current, gamma, trace)
         return S.move_towards(current, targets, ["state"], "v", next(upcoming))
 
-    return repeat(v, step, len(rates), BROADCAST if placement != SHUFFLE else SHUFFLE, every=1)
+    return repeat(v, step, len(rates), placement, every=1)
 
 
 PAIR = ["state", "action"]
@@ -92,13 +93,11 @@ def double_q_learning(
 ) -> DataFrame:
     """Two tables; a coin per (step, sweep) says which one learns. Returns (state, action, q) with q their mean."""
     tables = settle(q.select(*PAIR, F.col("q").alias("q1"), F.col("q").alias("q2")), "double")
-    rows = tables.count()
+    placement = placement_of(tables.count())
     for first in range(0, len(rates), SWEEPS_PER_PASS):
         block = range(first, min(first + SWEEPS_PER_PASS, len(rates)))
         coins = [uniform(seed, F.lit(i), *key) > 0.5 for i in block]
         statistics = settle(S.double_q_statistics(steps, coins), "statistics")
-        placement = placement_of(statistics.count(), rows)
-        statistics = statistics.coalesce(1) if placement == TOGETHER else statistics
         for bit, i in enumerate(block):
             tables = S.double_q_sweep(statistics, placed(tables, placement), bit, gamma, rates[i])
         tables = settle(tables, "double")
@@ -161,21 +160,20 @@ def generalised_policy_iteration(
     policy: DataFrame,
     eps_schedule: Sequence[float],
     max_rounds: int = 20,
-) -> tuple[DataFrame, DataFrame, list[tuple[float, int]]]:
+) -> tuple[DataFrame, DataFrame, list[tuple[float, int, bool]]]:
     """For each eps: evaluate(q, policy), make the eps-greedy policy, until no probability changes.
 
-    A noisy evaluator may never settle, hence the round limit. Returns q, policy and rounds used per eps.
+    A noisy evaluator may never settle, hence the round limit. Returns q, policy and, per eps, the rounds used and whether
+    the policy settled within them.
     """
     used = []
     for eps in eps_schedule:
-        rounds = 0
-        while rounds < max_rounds:
+        rounds, unchanged = 0, False
+        while rounds < max_rounds and not unchanged:
             rounds += 1
             q = settle(evaluate(q, policy), "q")
             following = settle(eps_greedy_policy(q, eps), "policy")
             unchanged = policy_changes(policy, following).isEmpty()
             policy = following
-            if unchanged:
-                break
-        used.append((eps, rounds))
+        used.append((eps, rounds, unchanged))
     return q, policy, used

@@ -1,9 +1,8 @@
 """Driver loops over small tables: each round is a Spark job, only scalars come back.
 
-The table that moves (v or q) is small beside the model it is joined with. Row counts of the written tables, read once,
-decide how a round runs: a model of at most ``TOGETHER_ROWS`` rows stays in one partition with its table, so that a
-round needs no shuffle and no broadcast; otherwise a table that fits is broadcast and the model is not shuffled; beyond
-that the same joins run as shuffle joins.
+The table that moves (v or q) is small beside the model it is joined with. Its own rows are counted once: if they fit,
+the table is broadcast and the model is not shuffled; beyond that the same joins run as shuffle joins. A loop that does
+not settle within its rounds raises ``NotSettled``.
 """
 
 from __future__ import annotations
@@ -18,37 +17,37 @@ from pyspark.sql import functions as F
 from ..sources.schemas import HISTORY
 from ..storage import settle
 
-TOGETHER_ROWS = 50_000
 BROADCAST_BYTES = 64 * 2**20
 BYTES_PER_ROW = 48
 
-TOGETHER, BROADCAST, SHUFFLE = "together", "broadcast", "shuffle"
+BROADCAST, SHUFFLE = "broadcast", "shuffle"
 
 
-def placement_of(model_rows: int, table_rows: int) -> str:
-    if model_rows <= TOGETHER_ROWS:
-        return TOGETHER
+class NotSettled(RuntimeError):
+    """The rounds allowed were not enough."""
+
+
+def placement_of(table_rows: int) -> str:
     return BROADCAST if table_rows * BYTES_PER_ROW <= BROADCAST_BYTES else SHUFFLE
 
 
 def placed(table: DataFrame, placement: str) -> DataFrame:
-    """The moving table as the checked row counts allow."""
-    if placement == TOGETHER:
-        return table.coalesce(1).hint("shuffle_hash")  # both sides in one partition: a hash join without an exchange
+    """A table whose rows were counted: broadcast or shuffled."""
     return F.broadcast(table) if placement == BROADCAST else table
 
 
+def checked(written: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its own rows allow it."""
+    return placed(written, placement_of(written.count()))
+
+
 def kept(model: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
     """Write the model once (lineage), keep it in memory or on disk for the rounds, and say how rounds should run.
 
-    ``keys`` are those of the moving table, which has at most one row per key of the model.
+    The moving table has one row for each value of ``keys`` in the model; these are counted.
     """
     written = settle(model, "model")
-    rows = written.count()
-    table_rows = rows if rows <= TOGETHER_ROWS else written.select(*keys).distinct().count()
-    placement = placement_of(rows, table_rows)
-    if placement == TOGETHER:
-        written = written.coalesce(1)
+    placement = placement_of(written.select(*keys).distinct().count())
     return written.persist(StorageLevel.MEMORY_AND_DISK), placement
 
 
@@ -78,8 +77,8 @@ def until_stable(
 
     A job runs ``every`` rounds and writes all their tables side by side, one row per key. The check reads them back as
     a handful of sums. The next job starts from the combination of these rounds with the smallest expected change
-    (reduced-rank extrapolation), which saves most rounds; a start that turns out worse is given up. Returns the table
-    and the checks as (iteration, max_delta).
+    (reduced-rank extrapolation), which saves most rounds; after two starts that turned out worse the loop goes on without.
+    Returns the table and the checks as (iteration, max_delta); raises ``NotSettled`` after ``max_rounds``.
     """
     spark = table.sparkSession
     history: list[tuple[int, float]] = []
@@ -100,8 +99,10 @@ def until_stable(
         sums = wide.agg(F.max(F.abs(moves[-1])).alias("delta"), *products).first()
         history.append((done, float(sums["delta"] or 0.0)))
         last = wide.select(*keys, F.col(f"x{rounds}").alias(value))
-        if history[-1][1] < tolerance or done >= max_rounds:
+        if history[-1][1] < tolerance:
             return last, spark.createDataFrame(history, HISTORY)
+        if done >= max_rounds:
+            raise NotSettled(f"{done} rounds, the last change is {history[-1][1]:g}")
         if len(history) > 1 and history[-1][1] > history[-2][1]:
             failures += 1
         start = last

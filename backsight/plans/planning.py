@@ -12,7 +12,7 @@ from ..operators import priorities as PQ
 from ..operators.models import init_q, init_v, state_space
 from ..operators.policies import eps_greedy_over_all_actions, greedy_policy, policy_changes
 from ..storage import settle
-from .loop import kept, placed, repeat, until_stable
+from .loop import NotSettled, checked, kept, placed, repeat, until_stable
 
 
 def evaluate_policy(
@@ -31,7 +31,10 @@ def evaluate_policy(
 
 def evaluate_policy_sweeps(model: DataFrame, v: DataFrame, policy: DataFrame, gamma: float, sweeps: int) -> DataFrame:
     weighted, placement = kept(_policy_weighted(model, policy), ["state"])
-    return repeat(v, lambda t: _weighted_sweep(weighted, t, gamma), sweeps, placement)
+    try:
+        return settle(repeat(v, lambda t: _weighted_sweep(weighted, t, gamma), sweeps, placement), "swept")
+    finally:
+        weighted.unpersist()
 
 
 def _policy_weighted(model: DataFrame, policy: DataFrame) -> DataFrame:
@@ -53,14 +56,17 @@ def evaluate_policy_in_blocks(
     """In-place sweeps: blocks of states in order, each block seeing the values of the blocks before it."""
     weighted, placement = kept(_policy_weighted(model, policy), ["state"])
     turn = 0
-    for _ in range(sweeps):
-        for block in range(blocks):
-            part = weighted.filter(F.pmod(F.col("state"), F.lit(blocks)) == block)
-            v = settle(v, "block") if turn % 3 == 0 else v
-            here = placed(v, placement)
-            v = B.merge_values(here, placed(_weighted_sweep(part, here, gamma), placement), ["state"], "v")
-            turn += 1
-    return v
+    try:
+        for _ in range(sweeps):
+            for block in range(blocks):
+                part = weighted.filter(F.pmod(F.col("state"), F.lit(blocks)) == block)
+                v = settle(v, "block") if turn % 3 == 0 else v
+                here = placed(v, placement)
+                v = B.merge_values(here, placed(_weighted_sweep(part, here, gamma), placement), ["state"], "v")
+                turn += 1
+        return settle(v, "swept")
+    finally:
+        weighted.unpersist()
 
 
 def solve_policy_value(
@@ -101,7 +107,10 @@ def value_iteration(
 
 def value_iteration_sweeps(model: DataFrame, gamma: float, sweeps: int) -> DataFrame:
     model, placement = kept(model, ["state"])
-    return repeat(init_v(state_space(model)), lambda v: B.optimal_backup(model, v, gamma), sweeps, placement)
+    try:
+        return settle(repeat(init_v(state_space(model)), lambda v: B.optimal_backup(model, v, gamma), sweeps, placement), "swept")
+    finally:
+        model.unpersist()
 
 
 def q_value_iteration(
@@ -120,7 +129,10 @@ def q_value_iteration(
 def q_value_iteration_sweeps(model: DataFrame, gamma: float, sweeps: int) -> DataFrame:
     model, placement = kept(model, ["state", "action"])
     start = model.select("state", "action").distinct().withColumn("q", F.lit(0.0))
-    return repeat(start, lambda q: B.optimal_q_backup(model, q, gamma), sweeps, placement)
+    try:
+        return settle(repeat(start, lambda q: B.optimal_q_backup(model, q, gamma), sweeps, placement), "swept")
+    finally:
+        model.unpersist()
 
 
 def policy_iteration(
@@ -133,15 +145,15 @@ def policy_iteration(
     rounds = 0
     try:
         for rounds in range(1, max_rounds + 1):
-            v, _ = evaluate_policy(model, v, placed(policy, placement), gamma, tolerance)
+            v, _ = evaluate_policy(model, v, checked(policy), gamma, tolerance)
             improved = settle(greedy_policy(B.q_from_v(model, placed(v, placement), gamma)), "policy")
-            unchanged = policy_changes(placed(policy, placement), placed(improved, placement)).isEmpty()
+            unchanged = policy_changes(policy, checked(improved)).isEmpty()
             policy = improved
             if unchanged:
-                break
+                return v, policy, rounds
     finally:
         model.unpersist()
-    return v, policy, rounds
+    raise NotSettled(f"the policy still changes after {rounds} rounds")
 
 
 def visited_value_iteration(
@@ -155,12 +167,12 @@ def visited_value_iteration(
     try:
         for batch, visited in enumerate(visits, start=1):
             # the visited states are few beside the batch they come from
-            seen = placed(settle(visited.select("state").distinct(), "visited"), placement)
+            seen = checked(settle(visited.select("state").distinct(), "visited"))
             fresh = B.optimal_backup(model.join(seen, "state", "left_semi"), placed(v, placement), gamma)
             v = settle(B.merge_values(placed(v, placement), placed(fresh, placement), ["state"], "v"), "v")
             q = B.q_from_v(model, placed(v, placement), gamma)
             updated = settle(eps_greedy_over_all_actions(q, eps, n_actions), "policy")
-            if policy is None or not policy_changes(placed(policy, placement), placed(updated, placement)).isEmpty():
+            if policy is None or not policy_changes(policy, checked(updated)).isEmpty():
                 last_change = batch
             policy = updated
             if batch - last_change >= plateau:
@@ -256,4 +268,6 @@ def _by_priority(
             ),
             "board",
         )
+    if not board.filter(F.col("priority").isNotNull()).isEmpty():
+        raise NotSettled(f"the queue is not empty after {rounds} rounds")
     return board.select(*keys, value), rounds

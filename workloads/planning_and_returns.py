@@ -21,6 +21,30 @@ SELECT m.state, sum(u.policy * m.probability * (m.reward + {g} * CASE WHEN m.don
 FROM model m JOIN uniform u USING (state, action) LEFT JOIN {prev} p ON m.next_state = p.state GROUP BY m.state"""
 
 
+TIGHT = 1e-11  # of the last change; the value is then within 2e-10 of the fixed point
+SWEEPS = 700  # of the check SQL: 0.95 ** 700 is 3e-16
+
+
+def fixed_point(name: str, step: str) -> list[tuple[str, str]]:
+    """``name`` (state, v) after many sweeps; ``step`` gives (k, state, v) from the table ``it``."""
+    return [
+        ("it", f"SELECT 0 AS k, state, 0.0::DOUBLE AS v FROM states UNION ALL {step}"),
+        (name, f"SELECT state, v FROM it WHERE k = {SWEEPS}"),
+    ]
+
+
+TARGETS = f"m.probability * (m.reward + {GAMMA} * CASE WHEN m.done THEN 0 ELSE p.v END)"
+NEXT = f"model m JOIN it p ON coalesce(m.next_state, m.state) = p.state WHERE p.k < {SWEEPS}"
+OPTIMAL = fixed_point(
+    "best",
+    f"SELECT k + 1, state, max(q) FROM (SELECT p.k, m.state, m.action, sum({TARGETS}) AS q FROM {NEXT} GROUP BY ALL) GROUP BY k, state",
+)
+EVALUATED = fixed_point(
+    "value",
+    f"SELECT p.k + 1, m.state, sum(u.policy * {TARGETS}) FROM {NEXT.replace(' WHERE', ' JOIN uniform u ON u.state = m.state AND u.action = m.action WHERE')} GROUP BY p.k, m.state",
+)
+
+
 @query("c1_expected_backup")
 def c1(spark, sf_dir):
     model = C.model(spark, sf_dir)
@@ -85,6 +109,11 @@ ORACLES["c4_q_from_v"] = statement(
 
 @query("c5_policy_evaluation")
 def c5(spark, sf_dir):
+    return planning.evaluate_policy(C.model(spark, sf_dir), _zero_v(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, TIGHT)[0]
+
+
+@query("c5_policy_evaluation_sweeps")
+def c5_sweeps(spark, sf_dir):
     model = C.model(spark, sf_dir)
     return planning.evaluate_policy_sweeps(model, _zero_v(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, 5)
 
@@ -93,7 +122,8 @@ def _zero_v(spark, sf_dir):
     return M.init_v(C.states(spark, sf_dir))
 
 
-ORACLES["c5_policy_evaluation"] = statement(
+ORACLES["c5_policy_evaluation"] = statement(f"SELECT state, {r('v', 'v')} FROM value", "model", "states", "uniform", extra=EVALUATED)
+ORACLES["c5_policy_evaluation_sweeps"] = statement(
     f"SELECT state, {r('v', 'v')} FROM v5", "model", "v0", "uniform", extra=v_sweeps(EXPECTED_V, 5)
 )
 
@@ -148,29 +178,53 @@ ORACLES["c7_linear_system_right"] = statement(
 
 @query("c8_solve_policy_value")
 def c8(spark, sf_dir):
-    return planning.solve_policy_value(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, 1e-6)[0]
+    return planning.solve_policy_value(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, TIGHT)[0]
+
+
+ORACLES["c8_solve_policy_value"] = ORACLES["c5_policy_evaluation"]
 
 
 @query("c9_policy_iteration")
 def c9(spark, sf_dir):
-    v, policy, _ = planning.policy_iteration(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, 1e-2)
+    v, policy, _ = planning.policy_iteration(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, TIGHT)
     return policy.join(v, "state")
 
 
+ORACLES["c9_policy_iteration"] = statement(
+    f"SELECT state, action, {r('g / sum(g) OVER (PARTITION BY state)', 'policy')}, {r('v', 'v')} FROM "
+    "(SELECT q.*, b.v, (q.q >= max(q.q) OVER (PARTITION BY q.state) - 1e-9)::INT::DOUBLE AS g FROM q JOIN best b USING (state))",
+    "model", "states", extra=[*OPTIMAL, ("q", Q_FROM.format(prev="best", g=GAMMA))],
+)
+
+
 @query("c10_value_iteration")
 def c10(spark, sf_dir):
+    return planning.value_iteration(C.model(spark, sf_dir), GAMMA, TIGHT)[0]
+
+
+@query("c10_value_iteration_sweeps")
+def c10_sweeps(spark, sf_dir):
     return planning.value_iteration_sweeps(C.model(spark, sf_dir), GAMMA, 5)
 
 
-ORACLES["c10_value_iteration"] = statement(f"SELECT state, {r('v', 'v')} FROM v5", "model", "v0", extra=v_sweeps(OPTIMAL_V, 5))
+ORACLES["c10_value_iteration"] = statement(f"SELECT state, {r('v', 'v')} FROM best", "model", "states", extra=OPTIMAL)
+ORACLES["c10_value_iteration_sweeps"] = statement(f"SELECT state, {r('v', 'v')} FROM v5", "model", "v0", extra=v_sweeps(OPTIMAL_V, 5))
 
 
 @query("c11_q_value_iteration")
 def c11(spark, sf_dir):
+    return planning.q_value_iteration(C.model(spark, sf_dir), GAMMA, TIGHT)[0]
+
+
+@query("c11_q_value_iteration_sweeps")
+def c11_sweeps(spark, sf_dir):
     return planning.q_value_iteration_sweeps(C.model(spark, sf_dir), GAMMA, 4)
 
 
-ORACLES["c11_q_value_iteration"] = statement(f"SELECT state, action, {r('q', 'q')} FROM q4", "model", extra=q_sweeps(4))
+ORACLES["c11_q_value_iteration"] = statement(
+    f"SELECT state, action, {r('q', 'q')} FROM q", "model", "states", extra=[*OPTIMAL, ("q", Q_FROM.format(prev="best", g=GAMMA))]
+)
+ORACLES["c11_q_value_iteration_sweeps"] = statement(f"SELECT state, action, {r('q', 'q')} FROM q4", "model", extra=q_sweeps(4))
 
 
 @query("c12_visited_value_iteration")
