@@ -48,9 +48,17 @@ def dot(left: Column, right: Column) -> Column:
 
 
 # the same in numpy, for batches of rows ---------------------------------------------------------------------------
+#
+# With b = [1, state] the state features are the outer product of b with itself. It is never built: a linear score is
+# the quadratic form b'Wb, and a sum of features over rows is B' diag(f) B.
+
+def base_matrix(states: np.ndarray) -> np.ndarray:
+    return np.hstack([np.ones((len(states), 1)), states])
+
 
 def state_matrix(states: np.ndarray) -> np.ndarray:
-    base = np.hstack([np.ones((len(states), 1)), states])
+    """The features themselves, for callers that return them row by row."""
+    base = base_matrix(states)
     return (base[:, :, None] * base[:, None, :]).reshape(len(states), -1)
 
 
@@ -61,14 +69,36 @@ def action_marks(actions: Sequence[int]) -> np.ndarray:
 
 
 def action_index(values: np.ndarray, actions: Sequence[int]) -> np.ndarray:
-    """Position of each value in the action list."""
+    """Position of each value in the action list; an action that is not in it is an error."""
     order = np.argsort(actions)
-    return order[np.searchsorted(np.asarray(actions)[order], values)]
+    known = np.asarray(actions)[order]
+    place = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    if (known[place] != values).any():
+        raise ValueError(f"an action that is not one of {list(actions)}")
+    return order[place]
+
+
+def values(base: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """weights . state features for every row."""
+    width = base.shape[1]
+    return ((base @ weights.reshape(width, width)) * base).sum(axis=1)
+
+
+def score_matrix(base: np.ndarray, weights: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """weights . pair features for every row and action."""
+    width = base.shape[1]
+    parts = weights.reshape(width, width, -1)
+    return np.stack([((base @ parts[:, :, k]) * base).sum(axis=1) for k in range(parts.shape[2])], axis=1) @ marks.T
+
+
+def state_sums(base: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """Sum over rows of factor * state features."""
+    return (base.T @ (factor[:, None] * base)).ravel()
 
 
-def score_matrix(psi: np.ndarray, weights: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """weights . pair features for every row and action, without building the pair features."""
-    return (psi @ weights.reshape(psi.shape[1], -1)) @ marks.T
+def pair_sums(base: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Sum over rows of state features times the row's factors, one for each mark."""
+    return np.stack([base.T @ (factors[:, k : k + 1] * base) for k in range(factors.shape[1])], axis=-1).ravel()
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:

@@ -32,6 +32,7 @@ from .scans import discounted_suffix, with_halo
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KEY = ["episode"]
+ROWS_AT_ONCE = 512
 COLUMNS = ["episode", "step_count", "features", "action", "reward", "propensity"]
 
 
@@ -50,11 +51,6 @@ def with_next_step(rows: DataFrame) -> DataFrame:
 
 # --- row operators ----------------------------------------------------------------------------------------------
 
-def action_scores(state: Column, actions: Sequence[int], weights: Sequence[float]) -> Column:
-    """Array of weights . features(state, a) over the actions."""
-    return F.array(*[X.dot(X.pair_features(state, F.lit(a), actions), X.literal(weights)) for a in actions])
-
-
 def eps_greedy_array(scores: Column, eps: float, count: int) -> Column:
     best = F.array_max(scores)
     ties = F.size(F.filter(scores, lambda x: x >= best - TIE))
@@ -63,7 +59,9 @@ def eps_greedy_array(scores: Column, eps: float, count: int) -> Column:
 
 def score_rows(rows: DataFrame, actions: Sequence[int], weights: Sequence[float], eps: float) -> DataFrame:
     """One row per step and action: its score and epsilon-greedy probability."""
-    scored = rows.withColumn("_scores", action_scores(F.col("features"), actions, weights))
+    marks, w = X.action_marks(actions), np.asarray(weights, dtype=float)
+    kernel = lambda batch: {"_scores": X.score_matrix(X.base_matrix(batch["features"]), w, marks)}
+    scored = with_numbers(rows.select(*COLUMNS[:4]), STEP, "_scores ARRAY<DOUBLE>", kernel)
     scored = scored.withColumn("_policy", eps_greedy_array(F.col("_scores"), eps, len(actions)))
     candidates = F.array(*[F.lit(a).cast("long") for a in actions])
     each = F.arrays_zip(candidates.alias("candidate"), F.col("_scores").alias("score"), F.col("_policy").alias("policy"))
@@ -76,11 +74,17 @@ Batch = dict[str, np.ndarray]
 
 
 def _arrays(batch: pa.RecordBatch) -> Batch:
-    """Columns as numpy: vectors as matrices, numbers as arrays (null numbers become NaN)."""
+    """Columns as numpy: vectors as matrices, numbers as arrays. Only a propensity may be null, it becomes NaN."""
     found = {}
     for name, column in zip(batch.schema.names, batch.columns):
         if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
-            found[name] = column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            sizes = np.unique(column.value_lengths().to_numpy(zero_copy_only=False))
+            numbers = column.flatten()
+            if len(sizes) != 1 or column.null_count or numbers.null_count:
+                raise ValueError(f"{name}: vectors must have one length and no nulls")
+            found[name] = numbers.to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        elif column.null_count and name != "propensity":
+            raise ValueError(f"{name}: null numbers")
         else:
             found[name] = column.to_numpy(zero_copy_only=False)
     return found
@@ -121,10 +125,12 @@ def with_numbers(rows: DataFrame, keep: str, added: str, kernel: Callable[[Batch
     names = [part.split()[0] for part in keep.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            extra = kernel(_arrays(batch)) if batch.num_rows else {part.split()[0]: np.zeros(0) for part in added.split(", ")}
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, *map(_column, extra.values())], names=[*names, *extra])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                extra = kernel(_arrays(batch))
+                columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+                yield pa.RecordBatch.from_arrays([*columns, *map(_column, extra.values())], names=[*names, *extra])
 
     return rows.mapInArrow(run, f"{keep}, {added}")
 
@@ -159,13 +165,13 @@ def _sarsa_error(
 
     def error(batch: Batch) -> np.ndarray:
         rows = np.arange(len(batch["action"]))
-        own = X.score_matrix(X.state_matrix(batch["features"]), w, marks)[rows, X.action_index(batch["action"], actions)]
-        psi = X.state_matrix(batch["next_features"])
-        ahead = X.score_matrix(psi, w, marks)
+        own = X.score_matrix(X.base_matrix(batch["features"]), w, marks)[rows, X.action_index(batch["action"], actions)]
+        base = X.base_matrix(batch["next_features"])
+        ahead = X.score_matrix(base, w, marks)
         if eps is None:
             following = ahead[rows, X.action_index(batch["next_action"], actions)]
         else:
-            scores = X.score_matrix(psi, fixed, marks)
+            scores = X.score_matrix(base, fixed, marks)
             best = scores >= scores.max(axis=1, keepdims=True) - TIE
             chances = (1 - eps) * best / best.sum(axis=1, keepdims=True) + eps / len(actions)
             following = (chances * ahead).sum(axis=1)
@@ -179,8 +185,8 @@ def _pair_sums(actions: Sequence[int], factor: Callable[[Batch], np.ndarray]) ->
     marks = X.action_marks(actions)
 
     def kernel(batch: Batch) -> np.ndarray:
-        psi = X.state_matrix(batch["features"]) * factor(batch)[:, None]
-        return (psi.T @ marks[X.action_index(batch["action"], actions)]).ravel()
+        own = marks[X.action_index(batch["action"], actions)]
+        return X.pair_sums(X.base_matrix(batch["features"]), factor(batch)[:, None] * own)
 
     return kernel
 
@@ -202,7 +208,8 @@ def sarsa_sweep(
     if trace == 0:
         gradient, count = summed(data, _pair_sums(actions, error))
     else:
-        errors = with_numbers(data, STEP, "error DOUBLE", lambda batch: {"error": error(batch)})
+        # Written once: the running sum reads its input more than once, and the kernel should run once.
+        errors = settle(with_numbers(data, STEP, "error DOUBLE", lambda batch: {"error": error(batch)}), "errors")
         ahead = discounted_suffix(errors, KEY, "step_count", "error", gamma * trace, "ahead")
         gradient, count = summed(
             ahead.select("features", "action", "ahead"), _pair_sums(actions, lambda batch: batch["ahead"])
@@ -213,7 +220,7 @@ def sarsa_sweep(
 # --- policy gradients -------------------------------------------------------------------------------------------
 
 def _policy(actions: Sequence[int], weights: Sequence[float], gamma: float, clip: float | None):
-    """Per batch: state features, marks left after subtracting their expectation, and gamma^t times the correction.
+    """Per batch: [1, state], marks left after subtracting their expectation, and gamma^t times the correction.
 
     The correction is the logged action's chance over its propensity, 1 where no propensity is logged.
     """
@@ -221,13 +228,13 @@ def _policy(actions: Sequence[int], weights: Sequence[float], gamma: float, clip
     w = np.asarray(weights, dtype=float)
 
     def parts(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        psi = X.state_matrix(batch["features"])
-        chances = X.softmax(X.score_matrix(psi, w, marks))
+        base = X.base_matrix(batch["features"])
+        chances = X.softmax(X.score_matrix(base, w, marks))
         own = X.action_index(batch["action"], actions)
         with np.errstate(invalid="ignore"):
             ratio = chances[np.arange(len(own)), own] / batch["propensity"].astype(float)
         correction = np.where(np.isnan(ratio), 1.0, ratio if clip is None else np.minimum(ratio, clip))
-        return psi, marks[own] - chances @ marks, gamma ** batch["step_count"].astype(float) * correction
+        return base, marks[own] - chances @ marks, gamma ** batch["step_count"].astype(float) * correction
 
     return parts
 
@@ -239,7 +246,7 @@ def policy_gradient_rows(rows: DataFrame, actions: Sequence[int], weights: Seque
 
     def kernel(batch: Batch) -> Batch:
         psi = X.state_matrix(batch["features"])
-        chances = X.softmax(X.score_matrix(psi, w, marks))
+        chances = X.softmax(X.score_matrix(X.base_matrix(batch["features"]), w, marks))
         residual = marks[X.action_index(batch["action"], actions)] - chances @ marks
         return {"chances": chances, "gradient": (psi[:, :, None] * residual[:, None, :]).reshape(len(psi), -1)}
 
@@ -261,15 +268,15 @@ def reinforce_sweep(
     parts = _policy(actions, weights, gamma, clip)
 
     def kernel(batch: Batch) -> np.ndarray:
-        psi, residual, weight = parts(batch)
-        return ((psi * (weight * batch["total"])[:, None]).T @ residual).ravel()
+        base, residual, weight = parts(batch)
+        return X.pair_sums(base, (weight * batch["total"])[:, None] * residual)
 
     return _moved(weights, *summed(data, kernel), lr)
 
 
-def _both(actor: np.ndarray, critic: np.ndarray, psi: np.ndarray, residual: np.ndarray) -> np.ndarray:
+def _both(actor: np.ndarray, critic: np.ndarray, base: np.ndarray, residual: np.ndarray) -> np.ndarray:
     """Sums of actor factor * policy gradient, then of critic factor * state features."""
-    return np.concatenate([((psi * actor[:, None]).T @ residual).ravel(), psi.T @ critic])
+    return np.concatenate([X.pair_sums(base, actor[:, None] * residual), X.state_sums(base, critic)])
 
 
 def _both_moved(weights, values, sums: np.ndarray, count: int, lr: float) -> tuple[list[float], list[float]]:
@@ -286,9 +293,9 @@ def baseline_sweep(
     v = np.asarray(values, dtype=float)
 
     def kernel(batch: Batch) -> np.ndarray:
-        psi, residual, weight = parts(batch)
-        error = batch["total"] - psi @ v
-        return _both(weight * error, error, psi, residual)
+        base, residual, weight = parts(batch)
+        error = batch["total"] - X.values(base, v)
+        return _both(weight * error, error, base, residual)
 
     return _both_moved(weights, values, *summed(_with_totals(rows.select(*COLUMNS)), kernel), lr)
 
@@ -302,29 +309,30 @@ def actor_critic_sweep(
     v = np.asarray(values, dtype=float)
     data = _filled(rows).select(*COLUMNS, "next_features", "has_next")
 
-    def error(batch: Batch, psi: np.ndarray) -> np.ndarray:
-        return batch["reward"] + gamma * batch["has_next"] * (X.state_matrix(batch["next_features"]) @ v) - psi @ v
+    def error(batch: Batch, base: np.ndarray) -> np.ndarray:
+        return batch["reward"] + gamma * batch["has_next"] * X.values(X.base_matrix(batch["next_features"]), v) - X.values(base, v)
 
     if trace == 0:
 
         def kernel(batch: Batch) -> np.ndarray:
-            psi, residual, weight = parts(batch)
-            found = error(batch, psi)
-            return _both(weight * found, found, psi, residual)
+            base, residual, weight = parts(batch)
+            found = error(batch, base)
+            return _both(weight * found, found, base, residual)
 
         return _both_moved(weights, values, *summed(data, kernel), lr)
 
     def errors(batch: Batch) -> Batch:
-        psi, _, weight = parts(batch)
-        found = error(batch, psi)
+        base, _, weight = parts(batch)
+        found = error(batch, base)
         return {"critic": found, "actor": weight * found}
 
-    numbers = with_numbers(data, f"{STEP}, propensity DOUBLE", "critic DOUBLE, actor DOUBLE", errors)
+    # Written once: the running sums read their input more than once, and the kernel should run once.
+    numbers = settle(with_numbers(data, f"{STEP}, propensity DOUBLE", "critic DOUBLE, actor DOUBLE", errors), "errors")
     for name in ("critic", "actor"):
         numbers = discounted_suffix(numbers, KEY, "step_count", name, gamma * trace, f"{name}_ahead")
 
     def traced(batch: Batch) -> np.ndarray:
-        psi, residual, _ = parts(batch)
-        return _both(batch["actor_ahead"], batch["critic_ahead"], psi, residual)
+        base, residual, _ = parts(batch)
+        return _both(batch["actor_ahead"], batch["critic_ahead"], base, residual)
 
     return _both_moved(weights, values, *summed(numbers, traced), lr)

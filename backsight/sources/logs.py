@@ -143,15 +143,15 @@ def read_pulls(spark: SparkSession, path: str, rows_per_chunk: int = ROWS_PER_CH
     )
 
 
-def read_linear_steps(spark: SparkSession, path: str, width: int = 4, per_episode: int = 10) -> DataFrame:
-    """Vectors as logged steps: the first ``width`` numbers are the state, the next one the reward."""
+def read_linear_steps(spark: SparkSession, path: str, per_episode: int = 10) -> DataFrame:
+    """Vectors as logged steps: the last number is the reward, all others are the state."""
     vectors = spark.read.parquet(path)
     numbers = F.col("embedding").cast("array<double>")
     return vectors.select(
         F.floor(F.col("vec_id") / per_episode).cast("long").alias("episode"),
         (F.col("vec_id") % per_episode).cast("long").alias("step_count"),
-        F.slice(numbers, 1, width).alias("features"),
+        F.slice(numbers, 1, F.size(numbers) - 1).alias("features"),
         (F.col("label") % 2).cast("long").alias("action"),
-        F.get(numbers, F.lit(width)).alias("reward"),
+        F.element_at(numbers, -1).alias("reward"),
         F.lit(None).cast("double").alias("propensity"),
     )

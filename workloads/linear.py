@@ -12,11 +12,11 @@ from . import common as C
 from .common import GAMMA, ORACLES, query
 from .sqltext import r, statement
 
-WIDTH, ACTIONS = 4, [0, 1]
+WIDTH, ACTIONS = 63, [0, 1]  # the given vectors: 63 numbers of state and the reward
 PAIR, STATE = X.pair_size(WIDTH, ACTIONS), X.state_size(WIDTH)
-THETA = [((7 * k) % 11 - 5) / 10 for k in range(PAIR)]
-OMEGA = [((5 * k) % 7 - 3) / 10 for k in range(STATE)]
-TRACE, LR = 0.75, 1.0
+THETA = [((7 * k) % 11 - 5) / 1000 for k in range(PAIR)]
+OMEGA = [((5 * k) % 7 - 3) / 1000 for k in range(STATE)]
+TRACE, LR = 0.75, 1e-4
 
 
 def rows(spark, sf_dir):
@@ -30,20 +30,29 @@ def exploded(df, column):
     return df.select("episode", "step_count", F.posexplode(column).alias("position", "value"))
 
 
+def by_position(df, column):
+    """Sums over all rows, plain and weighted by the step, for each of the thousands of positions."""
+    each = exploded(df, column).groupBy("position")
+    return each.agg(F.sum("value").alias("value"), F.sum(F.col("value") * (F.col("step_count") + F.col("episode") % 7)).alias("weighted"))
+
+
+BY_POSITION = f"SELECT position, {r('sum({0})', 'value')}, {r('sum({0} * (step_count + episode % 7))', 'weighted')} FROM {{1}} GROUP BY position"
+
+
 def weights_out(spark, weights, name="weight_x10000"):
     """Changes are of the order 1e-4, so weights are reported in units of 1e-4."""
     return P.weight_table(spark, [w * 10_000 for w in weights]).withColumnRenamed("weight", name)
 
 
 BLOCKS = [
-    ("steps", "SELECT vec_id // 10 AS episode, vec_id % 10 AS step_count, (label % 2)::BIGINT AS action, embedding[5]::DOUBLE AS reward, "
-              "[1.0::DOUBLE, embedding[1]::DOUBLE, embedding[2]::DOUBLE, embedding[3]::DOUBLE, embedding[4]::DOUBLE] AS b FROM embeddings"),
-    ("psi", "SELECT episode, step_count, i * 5 + j AS position, b[i + 1] * b[j + 1] AS value FROM steps, range(5) x(i), range(5) y(j)"),
+    ("steps", "SELECT vec_id // 10 AS episode, vec_id % 10 AS step_count, (label % 2)::BIGINT AS action, embedding[-1]::DOUBLE AS reward, "
+              "list_concat([1.0::DOUBLE], list_transform(embedding[1:len(embedding) - 1], lambda x: x::DOUBLE)) AS b FROM embeddings"),
+    ("psi", "SELECT episode, step_count, i * 64 + j AS position, b[i + 1] * b[j + 1] AS value FROM steps, range(64) x(i), range(64) y(j)"),
     ("phi", "SELECT episode, step_count, a AS candidate, position * 2 + k AS position, "
             "value * CASE WHEN k = 0 OR a = 0 THEN 1 ELSE 0 END AS value FROM psi, range(2) u(a), range(2) z(k)"),
-    ("theta", "SELECT k AS position, ((7 * k) % 11 - 5) / 10::DOUBLE AS weight FROM range(50) t(k)"),
-    ("omega", "SELECT k AS position, ((5 * k) % 7 - 3) / 10::DOUBLE AS weight FROM range(25) t(k)"),
-    ("zero", "SELECT k AS position, 0.0::DOUBLE AS weight FROM range(50) t(k)"),
+    ("theta", "SELECT k AS position, ((7 * k) % 11 - 5) / 1000::DOUBLE AS weight FROM range(8192) t(k)"),
+    ("omega", "SELECT k AS position, ((5 * k) % 7 - 3) / 1000::DOUBLE AS weight FROM range(4096) t(k)"),
+    ("zero", "SELECT k AS position, 0.0::DOUBLE AS weight FROM range(8192) t(k)"),
     ("own", "SELECT p.* FROM phi p JOIN steps s ON p.episode = s.episode AND p.step_count = s.step_count AND p.candidate = s.action"),
 ]
 
@@ -57,21 +66,21 @@ ALL = [name for name, _ in BLOCKS]
 
 @query("h1_state_features")
 def h1(spark, sf_dir):
-    return exploded(rows(spark, sf_dir), X.state_features(F.col("features")))
+    return by_position(rows(spark, sf_dir), X.state_features(F.col("features")))
 
 
 ORACLES["h1_state_features"] = statement(
-    f"SELECT episode, step_count, position, {r('value', 'value')} FROM psi", extra=blocks("steps", "psi")
+    BY_POSITION.format("value", "psi"), extra=blocks("steps", "psi")
 )
 
 
 @query("h2_pair_features")
 def h2(spark, sf_dir):
-    return exploded(rows(spark, sf_dir), X.pair_features(F.col("features"), F.col("action"), ACTIONS))
+    return by_position(rows(spark, sf_dir), X.pair_features(F.col("features"), F.col("action"), ACTIONS))
 
 
 ORACLES["h2_pair_features"] = statement(
-    f"SELECT episode, step_count, position, {r('value', 'value')} FROM own", extra=blocks("steps", "psi", "phi", "own")
+    BY_POSITION.format("value", "own"), extra=blocks("steps", "psi", "phi", "own")
 )
 
 
@@ -163,7 +172,7 @@ def h7_policy(spark, sf_dir):
 
 @query("h7_log_policy_gradient")
 def h7(spark, sf_dir):
-    return exploded(L.policy_gradient_rows(rows(spark, sf_dir), ACTIONS, THETA), "gradient")
+    return by_position(L.policy_gradient_rows(rows(spark, sf_dir), ACTIONS, THETA), "gradient")
 
 
 GRADED = [
@@ -179,7 +188,7 @@ ORACLES["h7_softmax_policy"] = statement(
     f"SELECT episode, step_count, candidate, {r('chance', 'value')} FROM chances", extra=BASE
 )
 ORACLES["h7_log_policy_gradient"] = statement(
-    f"SELECT episode, step_count, position, {r('g', 'value')} FROM gradient", extra=BASE
+    BY_POSITION.format("g", "gradient"), extra=BASE
 )
 
 
