@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.schedules import learning_rate
 from ..storage import settle
-from .ordering import ROWS_PER_CHUNK, numbered
+from .ordering import ROWS_PER_CHUNK, join_on, numbered
 from .scans import compose_maps, discounted_suffix, product_suffix, span_for
 
 EPISODE = ["segment", "episode"]
@@ -95,7 +95,7 @@ def blend_all(
     """
     lr = learning_rate(F.col("number") - 1, base, period, power)
     maps = (
-        targets.join(numbers, EPISODE)
+        join_on(targets, numbers, EPISODE)
         .withColumn("_lr", lr)
         .withColumn("shift", F.col("_lr") * F.col("target"))
         .withColumn("scale", 1 - F.col("_lr"))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ordering import join_on
+
 MAX_SPAN = 65_536
 ONE_PIECE = 2**40
 SMALLEST_FACTOR = 1e-150  # powers of the discount stay above this inside one piece
@@ -66,7 +68,7 @@ def discounted_suffix(
         carried = discounted_suffix(heads, keys, "_head_no", "_head", factor**span, "_carry", next_span)
         to_border = F.pow(F.lit(factor), (span - F.col(pos) % span).cast("double"))
         border = carried.select(*keys, F.col("_head_no").alias("_piece"), F.col("_carry").alias("_border"))
-        scanned = scanned.join(border, keys + ["_piece"], "left").withColumn(
+        scanned = join_on(scanned, border, keys + ["_piece"], "left").withColumn(
             out, F.col(out) + F.coalesce("_border", F.lit(0.0)) * to_border
         ).drop("_border")
     return scanned.drop("_piece", "_value", "_weight")
@@ -82,8 +84,7 @@ def product_suffix(df: DataFrame, keys: list[str], pos: str, value: str, out: st
         .select(*keys, (F.col("_piece") - 1).alias("_piece"), F.product("_part").over(later).alias("_carry"))
     )
     return (
-        work.withColumn(out, F.product(value).over(inside))
-        .join(carried, keys + ["_piece"], "left")
+        join_on(work.withColumn(out, F.product(value).over(inside)), carried, keys + ["_piece"], "left")
         .withColumn(out, F.col(out) * F.coalesce("_carry", F.lit(1.0)))
         .drop("_piece", "_carry")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.ordering import ROWS_PER_CHUNK, hot_keys, numbered, with_chunk
+from ..operators.ordering import ROWS_PER_CHUNK, hot_keys, join_on, numbered, with_chunk
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]  # fixed values: index = position
 
@@ -43,10 +43,10 @@ def build_transitions(log: DataFrame, gap_hours: int = 24, rows_per_chunk: int =
     """Cut each segment's ordered log into episodes at gaps and attach the following state.
 
     One shuffle by segment and one sort serve every window. Segments with more than ``rows_per_chunk`` rows are
-    cut into time slots, whose borders are settled from one summary row per slot.
+    cut into ranges of their rows, whose borders are settled from one summary row per range.
     """
-    hot = hot_keys(log, ["segment"], "ts", rows_per_chunk)
-    rows = with_chunk(log, ["segment"], "ts", hot)
+    hot = hot_keys(log, ["segment"], rows_per_chunk)
+    rows = with_chunk(log, ["segment"], ["ts", "event_id"], hot, rows_per_chunk)
     piece = W.partitionBy("segment", "chunk").orderBy("ts", "event_id")
     so_far = piece.rowsBetween(W.unboundedPreceding, W.currentRow)
     inner_start = F.coalesce(_beyond(F.col("ts"), F.lag("ts").over(piece), gap_hours), F.lit(False))
@@ -67,7 +67,7 @@ def build_transitions(log: DataFrame, gap_hours: int = 24, rows_per_chunk: int =
         )
     else:
         placed = (
-            local.join(_chunk_borders(local.filter("is_hot"), gap_hours), ["segment", "chunk"], "left")
+            join_on(local, _chunk_borders(local.filter("is_hot"), gap_hours), ["segment", "chunk"], "left")
             .withColumn("_episodes_before", F.coalesce("_episodes_before", F.lit(0)))
             .withColumn("_first_starts", F.coalesce("_first_starts", F.lit(True)))
             .withColumn("_open_steps", F.coalesce("_open_steps", F.lit(0)))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from backsight.operators import scans
-from backsight.operators.ordering import numbered
+from backsight.operators.ordering import hot_keys, numbered, with_chunk
 from backsight.sources import logs
 from golden import START
 
@@ -79,13 +79,15 @@ def test_halo_sees_across_pieces(spark):
 
 
 def uneven_log(spark):
-    """One segment holds most rows; gaps of all sizes."""
+    """One segment holds most rows, after a stray old one; a null segment is one burst of equal times; gaps of all sizes."""
     rng = random.Random(5)
     rows, event = [], 0
-    for segment, count in ((1, 120), (2, 7), (3, 1)):
+    for segment, count in ((1, 120), (2, 7), (3, 1), (None, 60)):
         at = START
-        for _ in range(count):
-            at += dt.timedelta(hours=rng.choice([0, 1, 2, 5, 24, 25, 60]), microseconds=rng.choice([0, 1]))
+        for i in range(count):
+            if segment is not None:
+                at += dt.timedelta(hours=rng.choice([0, 1, 2, 5, 24, 25, 60]), microseconds=rng.choice([0, 1]))
+            at = dt.datetime(1970, 1, 2) if segment == 1 and i == 0 else max(at, START)
             rows.append((segment, at, event, rng.randrange(4), rng.randrange(2), rng.random()))
             event += 1
     return rows, spark.createDataFrame(rows, "segment LONG, ts TIMESTAMP_NTZ, event_id LONG, state LONG, action LONG, reward DOUBLE")
@@ -119,6 +121,14 @@ def test_transitions_do_not_depend_on_chunks(spark, rows_per_chunk):
 def test_numbers_do_not_depend_on_chunks(spark, keys, rows_per_chunk):
     rows, df = uneven_log(spark)
     found = {r.event_id: r.n for r in numbered(df, keys, ["ts", "event_id"], "n", rows_per_chunk).collect()}
-    for group in ([rows] if not keys else [[r for r in rows if r[0] == s] for s in (1, 2, 3)]):
+    for group in ([rows] if not keys else [[r for r in rows if r[0] == s] for s in (1, 2, 3, None)]):
         for number, row in enumerate(sorted(group, key=lambda r: (r[1], r[2])), start=1):
             assert found[row[2]] == number
+
+
+def test_chunks_stay_near_the_limit(spark):
+    _, df = uneven_log(spark)
+    cut = with_chunk(df, ["segment"], ["ts", "event_id"], hot_keys(df, ["segment"], 20), 20)
+    sizes = {(r.segment, r.chunk): r["count"] for r in cut.groupBy("segment", "chunk").count().collect()}
+    assert sum(sizes.values()) == df.count() and max(sizes.values()) <= 40
+    assert len([k for k in sizes if k[0] is None]) >= 2
