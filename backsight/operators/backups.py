@@ -11,7 +11,9 @@ actions are not a problem, and looking further ahead uses windows over bounded p
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -21,7 +23,9 @@ from .bellman import best_value
 from .models import policy_value
 from .policies import sample_action
 from .returns import EPISODE
-from .scans import discounted_suffix, span_for, with_halo
+from .scans import MAX_SPAN, discounted_suffix, span_for, with_halo
+
+SMALL = 1e-3  # below this discount at most 110 powers differ from zero
 
 
 def fold(rows: DataFrame, keys: list[str], sources: list[str], gain: Column, weight: Column, visits: Column) -> DataFrame:
@@ -54,9 +58,20 @@ def n_step_statistics(steps: DataFrame, gamma: float, n: int) -> DataFrame:
 
 def n_step_targets(steps: DataFrame, gamma: float, n: int) -> DataFrame:
     """Per step: ``partial_return`` over at most n rewards and ``src_state``, the state n steps on."""
-    span = max(span_for(gamma) // 2, n + 1)
-    rows = with_halo(steps.select(*EPISODE, "step_count", "state", "reward"), "step_count", n, span)
+    slim = steps.select(*EPISODE, "step_count", "state", "reward")
     piece = W.partitionBy(*EPISODE, "_piece").orderBy("step_count")
+    if gamma < SMALL:  # powers of the discount vanish within few steps, so a window sum over them would divide by zero
+        terms = min(n, 1 if gamma == 0 else math.ceil(330 / -math.log10(gamma)))
+        ahead = [F.lit(gamma**i) * F.coalesce(F.lead("reward", i).over(piece), F.lit(0.0)) for i in range(terms)]
+        return (
+            with_halo(slim, "step_count", n, max(MAX_SPAN, n + 1))
+            .withColumn("partial_return", reduce(lambda a, b: a + b, ahead))
+            .withColumn("src_state", F.lead("state", n).over(piece))
+            .filter(~F.col("_ghost"))
+            .drop("_piece", "_ghost")
+        )
+    span = max(span_for(gamma) // 2, n + 1)
+    rows = with_halo(slim, "step_count", n, span)
     factor = F.pow(F.lit(float(gamma)), (F.col("step_count") - F.col("_piece") * span).cast("double"))
     return (
         rows.withColumn("_factor", factor)

@@ -143,13 +143,13 @@ class _TreeBackup(_ExpectedSarsa):
             self._learn(lr, waiting, row)
 
     def _learn(self, lr, waiting, leaf):
-        state, action, target, _, _ = waiting.popleft()
-        reach = self.gamma
-        for _, _, _, chance, swapped in waiting:
-            target += reach * swapped
-            reach *= self.gamma * chance
+        state, action, reward, _, _ = waiting.popleft()
+        later = np.array([step[3:] for step in waiting]).reshape(-1, 2)
+        # How much each later step counts, and after them the leaf: products of the chances on the way, discounted.
+        reach = self.gamma * np.cumprod(np.concatenate(([1.0], self.gamma * later[:, 0])))
+        target = reward + float(reach[:-1] @ later[:, 1])
         if leaf is not None:
-            target += reach * self.expectation(int(leaf.next_state), leaf.next_chances)
+            target += reach[-1] * self.expectation(int(leaf.next_state), leaf.next_chances)
         self.move(lr, state, action, target)
 
 
@@ -221,7 +221,10 @@ def with_chances(steps: DataFrame, policy: DataFrame, actions: int) -> DataFrame
         F.array(*[F.coalesce(F.try_element_at("_map", F.lit(a).cast("long")), F.lit(0.0)) for a in range(actions)]).alias("chances"),
     )
     after = rows.select(F.col("state").alias("next_state"), F.col("chances").alias("next_chances"))
-    return steps.join(rows, "state").join(after, "next_state", "left")
+    none = F.array(*[F.lit(0.0)] * actions)  # a state that the policy lacks: no action has a chance
+    return steps.join(rows, "state", "left").join(after, "next_state", "left").withColumns(
+        {"chances": F.coalesce("chances", none), "next_chances": F.coalesce("next_chances", none)}
+    )
 
 
 def learn_per_segment(

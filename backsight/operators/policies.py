@@ -63,14 +63,17 @@ def cumulative(table: DataFrame, group: list[str], order: list[str], share: str)
 
 
 def sample_action(rows: DataFrame, policy: DataFrame, draw: Column, out: str = "action", state: str = "state") -> DataFrame:
-    """One action per input row by inverting the cumulative policy of its ``state`` column at ``draw``."""
+    """One action per input row by inverting the cumulative policy of its ``state`` column at ``draw``.
+
+    A row whose state the policy lacks stays, with a null action.
+    """
     intervals = cumulative(policy.filter(F.col("policy") > 0), ["state"], ["action"], "policy").select(
         F.col("state").alias("_of"), F.col("action").alias("_picked"), "lo", "hi"
     )
     intervals = settle(intervals, "choices")  # its written size decides the join, before the rows would be shuffled
     drawn = rows.withColumn("_draw", draw)
     hit = (F.col(state) == F.col("_of")) & (F.col("_draw") >= F.col("lo")) & (F.col("_draw") < F.col("hi"))
-    return drawn.join(intervals, hit).withColumn(out, F.col("_picked")).drop("_of", "_picked", "lo", "hi", "_draw")
+    return drawn.join(intervals, hit, "left").withColumn(out, F.col("_picked")).drop("_of", "_picked", "lo", "hi", "_draw")
 
 
 def greedy_draw(table: DataFrame, value: str, group: list[str], item: str, seed: int, tie: float = TIE) -> DataFrame:
