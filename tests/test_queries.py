@@ -36,6 +36,13 @@ def test_equals_sql(spark, db, name):
     assert canonical([tuple(r) for r in found.collect()], found.columns) == canonical(result.fetchall(), columns)
 
 
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql())))
+def test_runs_with_a_fixed_schema(spark, name):
+    found = driver.queries()[name](spark, SF)
+    assert found.count() > 0 and len(set(found.columns)) == len(found.columns)
+    assert all(f.dataType.simpleString() != "void" for f in found.schema)
+
+
 def test_entry(spark):
     rows = driver.entry(spark)
     assert rows.columns == ["state", "action", "policy"] and rows.count() > 0
