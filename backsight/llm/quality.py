@@ -25,7 +25,7 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from backsight.llm.buffers import WHITE, chunks, run_hashes, text_bytes, words_of
+from backsight.llm.buffers import BYTE_CODES, WHITE, chunks, mixed, run_hashes, text_bytes, words_of
 from backsight.llm.components import write
 
 #: English insults, as a heuristic; further words are learned from the votes.
@@ -51,8 +51,6 @@ def _hash_of(words: list[str]) -> np.ndarray:
 
 
 def run_hashes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    from backsight.llm.buffers import BYTE_CODES
-
     return run_hashes(BYTE_CODES[data], starts, ends)
 
 
@@ -72,7 +70,7 @@ class Texts:
         hashes = run_hashes_of(padded, starts, ends)
         repeats = np.concatenate(([False], (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])))[: len(hashes)]
         bars = (size == 1) & (padded[starts] == ord("|")) if len(starts) else np.zeros(0, bool)
-        pairs = np.unique(np.stack([row.astype(np.uint64), hashes], axis=1), axis=0)[:, 0].astype(np.int64) if len(row) else row
+        fresh = _first_of_each(row, hashes)
         most = np.maximum(self.n, 1)
         share = lambda marked: np.bincount(row[marked], minlength=self.rows) / most
         low = _LOWER[padded]
@@ -81,7 +79,7 @@ class Texts:
         self.word_hash = run_hashes_of(low, starts, ends)
         insult = np.isin(self.word_hash, _hash_of(INSULTS))
         hits = np.bincount(self.word_row[insult], minlength=self.rows)
-        variety = np.bincount(pairs, minlength=self.rows) / most
+        variety = np.bincount(row[fresh], minlength=self.rows) / most
         self.measures = np.stack([share(symbols), share(capitals), share(repeats), share(bars), variety, hits], axis=1)
 
     @staticmethod
@@ -105,8 +103,8 @@ class Texts:
         ]
         return np.where(some[:, None], np.stack(out, axis=1), 0).astype(np.int8)
 
-    def features(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row, hash) of each distinct feature of each row."""
+    def occurrences(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, hash) of every word and of the binned measures."""
         bins = np.floor(np.minimum(self.measures[:, :4], 0.999) * 10)
         rows, hashes = [self.word_row], [self.word_hash]
         for k in range(4):
@@ -117,13 +115,20 @@ class Texts:
         few = np.flatnonzero((self.measures[:, 4] < 0.2) & (self.n >= 30))
         rows.append(few)
         hashes.append(np.repeat(_hash_of(["variety:low"]), len(few)))
-        rows, hashes = np.concatenate(rows), np.concatenate(hashes)
-        order = np.lexsort((hashes, rows))
-        rows, hashes = rows[order], hashes[order]
-        fresh = np.concatenate(([True], (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])))[: len(rows)]
+        return np.concatenate(rows), np.concatenate(hashes)
+
+    def features(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, hash) of each distinct feature of each row."""
+        rows, hashes = self.occurrences()
+        fresh = _first_of_each(rows, hashes)
         return rows[fresh], hashes[fresh]
 
 
+def _first_of_each(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each pair of row and hash stands first; pairs are told apart by a 64-bit hash of both."""
+    return np.unique(mixed(hashes + mixed(rows.astype(np.uint64) + np.uint64(1))), return_index=True)[1]
+
+
 def _each(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
     data, offsets = text_bytes(column)
     for a, b in chunks(offsets):
@@ -201,10 +206,14 @@ class Scorer:
         return np.where((texts.n > 0)[:, None], out, 0.0)
 
     def find(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        rows, hashes = texts.features()
-        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
-        hit = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
-        return rows[hit], at[hit]
+        """(row, place of the feature) of each distinct feature that the scorer knows."""
+        rows, hashes = texts.occurrences()
+        if not len(self.hashes):
+            return rows[:0], rows[:0]
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == hashes)
+        code = np.unique(rows[hit] * len(self.hashes) + at[hit])
+        return code // len(self.hashes), code % len(self.hashes)
 
 
 def _regression(rows: np.ndarray, at: np.ndarray, n: int, width: int, target: np.ndarray, shrink: float = 0.1, rounds: int = 25) -> tuple[np.ndarray, float]:
@@ -227,7 +236,7 @@ def _regression(rows: np.ndarray, at: np.ndarray, n: int, width: int, target: np
         step, direction = np.zeros(width + 1), scale * left
         energy = start = float(left @ (scale * left))
         for _ in range(40):
-            if energy <= 1e-8 * start or energy <= 1e-14:
+            if energy <= 1e-6 * start or energy <= 1e-14:
                 break
             image = back(curve * times(direction)) + penalty * direction
             length = energy / float(direction @ image)
