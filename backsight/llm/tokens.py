@@ -41,7 +41,7 @@ class Encoder:
     Texts with other white space around a space, or with the text of a special token, are encoded in one piece.
     """
 
-    def __init__(self, path: str, most_known: int = 400_000):
+    def __init__(self, path: str, most_known: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most_known = Tokenizer.from_file(path), most_known
@@ -49,29 +49,84 @@ class Encoder:
             rules = json.load(f)
         before = rules.get("pre_tokenizer") or {}
         self.by_space = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not rules.get("normalizer")
-        whole = [r"(?:\s|^) (?:\s|$)", *(re.escape(t["content"]) for t in rules.get("added_tokens", []))]
-        self.whole = re.compile("|".join(whole))
+        self.special = [t["content"] for t in rules.get("added_tokens", [])]
+        self.before_space = [f"{c} " for c in map(chr, range(0x3001)) if c.isspace()]
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
+        # A byte-level token has one character for each byte.
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.width[i] = len(token)
+
+    def _in_one_piece(self, text: str) -> bool:
+        if any(x in text for x in self.special):
+            return True
+        # Plain searches first: a space after white space is rare.
+        return (text.startswith(" ") or any(x in text for x in self.before_space)) and bool(re.search(r"(?:\s|^) (?:\s|$)", text))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _ids_after_spaces(self, parts: list[str]) -> list[bytes]:
+        """Each part's ids after a space: many are encoded in one text and told apart by the bytes of their tokens."""
+        out: list[bytes] = []
+        for a in range(0, len(parts), 2000):
+            some = parts[a : a + 2000]
+            # Parts that begin or end with white space could join their neighbours.
+            alone = [x for x in some if not x or x[0].isspace() or x[-1].isspace()]
+            known = dict(zip(alone, self._ids([f" {x}" for x in alone]), strict=True))
+            joined = [x for x in some if x not in known]
+            raw = self._ids(["".join(f" {x}" for x in joined)])[0]
+            ends = np.cumsum(self.width[np.frombuffer(raw, "<u4")])
+            stops = np.searchsorted(ends, np.cumsum([len(x.encode()) + 1 for x in joined])) + 1
+            edges = [0, *(4 * stops).tolist()]
+            known.update(zip(joined, (raw[p:q] for p, q in zip(edges[:-1], edges[1:], strict=True)), strict=True))
+            out += [known[x] for x in some]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as 32-bit little-endian numbers."""
-        pieces = [x.split(" ") if self.by_space and not self.whole.search(x) else None for x in texts]
-        first, rest = set(), set()
-        for p in pieces:
-            if p:
-                first.add(p[0])
-                rest.update(p[1:])
         if len(self.rest) + len(self.first) > self.most_known:
             self.first, self.rest = {}, {}
-        for known, some, lead in ((self.first, first, ""), (self.rest, rest, " ")):
-            new = [x for x in some if x not in known]
-            known.update(zip(new, self._ids([lead + x for x in new]), strict=True))
+        pieces = [x.split(" ") if self.by_space and not self._in_one_piece(x) else None for x in texts]
+        found: list[list | None] = []
+        new_first, new = {}, {}
+        for p in pieces:
+            ids = None
+            if p:
+                ids = list(map(self.rest.get, p))
+                ids[0] = self.first.get(p[0])
+                if None in ids:
+                    missing = [k for k, x in enumerate(ids) if x is None]
+                    if missing[0] == 0:
+                        new_first[p[0]] = None
+                        del missing[0]
+                    new.update((p[k], None) for k in missing)
+            found.append(ids)
+        self.first.update(zip(new_first, self._ids(list(new_first)), strict=True))
+        self.rest.update(zip(new, self._ids_after_spaces(list(new)), strict=True))
         whole = iter(self._ids([x for x, p in zip(texts, pieces, strict=True) if p is None]))
-        return [next(whole) if p is None else self.first[p[0]] + b"".join(map(self.rest.__getitem__, p[1:])) for p in pieces]
+        out = []
+        for p, ids in zip(pieces, found, strict=True):
+            if p is None:
+                out.append(next(whole))
+                continue
+            if None in ids:
+                ids = list(map(self.rest.get, p))
+                ids[0] = self.first[p[0]]
+            out.append(b"".join(ids))
+        return out
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker, so that what it knows serves them all."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 class FileWriter:
@@ -163,16 +218,16 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int = END, doc: str = "doc_i
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = out = address = None
+        out = address = None
         for batch in batches:
             if not len(batch):
                 continue
             if out is None:
-                encoder, address = Encoder(tokenizer), files.new_file(folder, ".ids.zst")
+                address = files.new_file(folder, ".ids.zst")
                 out = FileWriter(address)
             for a in range(0, len(batch), 256):
                 part = batch.slice(a, 256)
-                for key, ids in zip(part.column(0).to_pylist(), encoder.encode([x or "" for x in part.column(1).to_pylist()]), strict=True):
+                for key, ids in zip(part.column(0).to_pylist(), encoder(tokenizer).encode([x or "" for x in part.column(1).to_pylist()]), strict=True):
                     out.add(key, ids + last)
         if out is not None:
             out.close()
