@@ -147,58 +147,107 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
     blocks = words.select("hash", "word", "n", F.explode(F.sequence(F.lit(0), F.floor((F.length("word") - 1) / BLOCK).cast("int"))).alias("block"))
     blocks = blocks.select("hash", "word", "n", "block", F.substring("word", F.col("block") * BLOCK + 1, F.lit(BLOCK + span - 1)).alias("part"))
     starts = blocks.select("hash", "word", "n", "block", "part", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(BLOCK)) - 1)).alias("at"))
-    cuts = starts.select("hash", "word", "n", (F.col("block") * BLOCK + F.col("at")).alias("start"), F.explode(F.expr(f"transform(sequence(1, least({span}, length(part) - at)), k -> struct(k as size, substring(part, at + 1, k) as piece))")).alias("cut"))
-    cuts = cuts.select("hash", "word", "n", "start", "cut.size", "cut.piece")
+    sizes = F.explode(F.sequence(F.lit(1), F.least(F.lit(span), F.length("part") - F.col("at"))))
+    cuts = starts.select("hash", "word", "n", "part", "at", (F.col("block") * BLOCK + F.col("at")).alias("start"), sizes.alias("size"))
+    cuts = cuts.select("hash", "word", "n", "start", "size", F.substring("part", F.col("at") + 1, F.col("size")).alias("piece"))
     found = cuts.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
-    octets = F.transform(
-        F.filter(F.split(F.regexp_replace(F.hex(F.encode("piece", "UTF-8")), "(..)", "$1 "), " "), lambda x: x != ""),
-        lambda x: F.element_at(F.array(*map(F.lit, pieces.bytes)), F.conv(x, 16, 10).cast("int") + 1),
-    )
     edge = F.struct(
         (F.col("start") + F.col("size")).alias("stop"),
         "start",
         F.coalesce("score", F.lit(pieces.fallback)).alias("score"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(octets).alias("ids"),
+        # A character that no piece spells: its code point, as a negative number.
+        F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
     )
     return found.groupBy("hash", "word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
-def viterbi(edges: Column) -> Column:
-    """The ids on the best path, as a fold over edges in order of their ends and a fold back."""
-    place = lambda score, start, ids: F.struct(score.alias("score"), start.alias("start"), ids.alias("ids"))
-    begin = place(F.lit(0.0), F.lit(-1), F.array().cast("array<int>"))
-    state = lambda done, stop, best: F.struct(done.alias("done"), stop.alias("stop"), best.alias("best"))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    def step(acc: Column, e: Column) -> Column:
-        done = F.when(e["stop"] > acc["stop"], F.concat(acc["done"], F.array(acc["best"]))).otherwise(acc["done"])
-        score = F.element_at(done, e["start"] + 1)["score"] + e["score"]
-        better = (e["stop"] > acc["stop"]) | (score > acc["best"]["score"])
-        return state(done, e["stop"], F.when(better, place(score, e["start"], e["ids"])).otherwise(acc["best"]))
-
-    empty = F.array().cast("array<struct<score:double,start:int,ids:array<int>>>")
-    best = F.aggregate(edges, state(empty, F.lit(0), begin), step, lambda acc: F.concat(acc["done"], F.array(acc["best"])))
-    walk = F.aggregate(
-        F.reverse(best),
-        F.struct(F.lit(None).cast("int").alias("next"), (F.size(best) - 1).alias("at"), F.array().cast("array<array<int>>").alias("ids")),
-        lambda acc, b: F.when(
-            (acc["at"] > 0) & (acc["next"].isNull() | (acc["next"] == acc["at"])),
-            F.struct(b["start"].alias("next"), (acc["at"] - 1).alias("at"), F.concat(F.array(b["ids"]), acc["ids"]).alias("ids")),
-        ).otherwise(F.struct(acc["next"].alias("next"), (acc["at"] - 1).alias("at"), acc["ids"].alias("ids"))),
-        lambda acc: acc["ids"],
-    )
-    return F.flatten(walk)
 
+def viterbi(edges: Column) -> Column:
+    """The ids on the best path, as a fold over edges in order of their ends and a fold back.
+
+    The state holds what is settled, position by position: scores, and the start and id of the best last edge.
+    """
+    best = lambda score, start, id: F.struct(score.alias("score"), start.alias("start"), id.alias("id"))  # noqa: E731, A002
+    state = lambda scores, backs, stop, now: F.struct(scores.alias("scores"), backs.alias("backs"), stop.alias("stop"), now.alias("now"))
 
-def dictionary(docs: DataFrame, model: str, text: str = "text") -> tuple[DataFrame, str, int]:
+    def step(acc: Column, e: Column) -> Column:
+        def within(s: Column) -> Column:
+            return _let(
+                F.element_at(s["scores"], e["start"] + 1) + e["score"],
+                lambda score: F.when(score > s["now"]["score"], state(s["scores"], s["backs"], e["stop"], best(score, e["start"], e["id"]))).otherwise(
+                    state(s["scores"], s["backs"], e["stop"], best(s["now"]["score"], s["now"]["start"], s["now"]["id"]))
+                ),
+            )
+
+        now = acc["now"]
+        back = F.struct(now["start"].alias("start"), now["id"].alias("id"))
+        opened = state(F.concat(acc["scores"], F.array(now["score"])), F.concat(acc["backs"], F.array(back)), e["stop"], best(F.lit(float("-inf")), F.lit(-1), F.lit(-1)))
+        same = state(acc["scores"], acc["backs"], e["stop"], best(now["score"], now["start"], now["id"]))
+        return _let(F.when(e["stop"] > acc["stop"], opened).otherwise(same), within)
+
+    none, no_backs = F.array().cast("array<double>"), F.array().cast("array<struct<start:int,id:int>>")
+    start = state(none, no_backs, F.lit(0), best(F.lit(0.0), F.lit(-1), F.lit(-1)))
+    last = lambda acc: F.concat(acc["backs"], F.array(F.struct(acc["now"]["start"].alias("start"), acc["now"]["id"].alias("id"))))
+
+    def walk(backs: Column) -> Column:
+        size = F.size(backs) - 1
+        begin = F.struct(size.alias("want"), size.alias("at"), F.array().cast("array<int>").alias("ids"))
+        back = lambda acc, b: F.when(
+            (acc["at"] > 0) & (acc["want"] == acc["at"]),
+            F.struct(b["start"].alias("want"), (acc["at"] - 1).alias("at"), F.concat(acc["ids"], F.array(b["id"])).alias("ids")),
+        ).otherwise(F.struct(acc["want"].alias("want"), (acc["at"] - 1).alias("at"), acc["ids"].alias("ids")))
+        return F.aggregate(F.reverse(backs), begin, back, lambda acc: F.reverse(acc["ids"]))
+
+    return _let(F.aggregate(edges, start, step, last), walk)
+
+
+def with_bytes(ids: Column, pieces: Pieces) -> Column:
+    """Negative ids, which stand for characters, as the pieces of their bytes."""
+    octet = lambda x: F.element_at(F.array(*map(F.lit, pieces.bytes)), x.cast("int") + 1)
+
+    def spelled(point: Column) -> Column:
+        tail = lambda shift: F.lit(0x80) + F.shiftright(point, shift) % 64
+        return (
+            F.when(point < 0x80, F.array(point))
+            .when(point < 0x800, F.array(0xC0 + F.shiftright(point, 6), tail(0)))
+            .when(point < 0x10000, F.array(0xE0 + F.shiftright(point, 12), tail(6), tail(0)))
+            .otherwise(F.array(0xF0 + F.shiftright(point, 18), tail(12), tail(6), tail(0)))
+        )
+
+    whole = lambda found: F.flatten(F.transform(found, lambda i: F.when(i >= 0, F.array(i)).otherwise(F.transform(spelled(-1 - i), octet))))
+    return _let(ids, lambda found: F.when(F.exists(found, lambda i: i < 0), whole(found)).otherwise(found))
+
+
+#: Groups that a task may hold before it sorts instead; a group is a word with some dozens of edges.
+_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+
+
+def dictionary(docs: DataFrame, model: str, text: str = "text", groups: int = 50_000) -> tuple[DataFrame, str, int]:
     """(hash, n, ids) of every distinct word, where it is written, and the salt of its hashes."""
-    for salt in range(100):
-        words = lattice(distinct_words(docs, model, text, salt), _pieces(model)).select("hash", "n", viterbi(F.col("edges")).alias("ids"))
-        made, path = write(words, "encoded-words")
-        if made.groupBy("hash").count().where("count > 1").isEmpty():
-            return made, path, salt
+    spark, pieces = docs.sparkSession, _pieces(model)
+    before = spark.conf.get(_GROUPS)
+    spark.conf.set(_GROUPS, str(groups))
+    try:
+        for salt in range(100):
+            words = lattice(distinct_words(docs, model, text, salt), pieces)
+            made, path = write(words.select("hash", "n", with_bytes(viterbi(F.col("edges")), pieces).alias("ids")), "encoded-words")
+            if made.groupBy("hash").count().where("count > 1").isEmpty():
+                return made, path, salt
+    finally:
+        spark.conf.set(_GROUPS, before)
     raise ValueError("no hash keeps the words apart")
 
 
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=out[1:])
+    return out.astype(np.int32) if out[-1] < 2**31 else out
+
+
 class _Dictionary:
     """The frequent words as sorted hashes and ragged ids."""
 
@@ -214,10 +263,14 @@ class _Dictionary:
                 sizes.append(ids.value_lengths().to_numpy())
                 flat.append(ids.flatten().to_numpy().astype(np.int32))
         keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        at = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if sizes else np.zeros(1, np.int64)
+        at = _offsets(np.concatenate(sizes)) if sizes else np.zeros(1, np.int32)
+        flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
         order = np.argsort(keys)
-        self.keys, self.at = keys[order], np.concatenate(([0], np.cumsum((at[1:] - at[:-1])[order])))
-        self.flat = _gathered(np.concatenate(flat), at, order)[0] if flat else np.zeros(0, np.int32)
+        self.keys, self.at = keys[order], _offsets((at[1:] - at[:-1])[order])
+        self.flat = np.empty_like(flat)
+        for a in range(0, len(order), 1 << 16):
+            some = order[a : a + (1 << 16)]
+            self.flat[self.at[a] : self.at[a + len(some)]] = _gathered(flat, at, some)[0]
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each hash, or -1."""
@@ -234,40 +287,46 @@ def _dictionary(path: str) -> _Dictionary:
     return _LOADED["dictionary"]
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_000_000) -> DataFrame:
-    """The rows of ``docs`` as ``row``, with ids (array<int>), n_tokens and ids_crc32 (of 32-bit little-endian ids)."""
+def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_000_000, keep: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` as ``row`` (the columns of ``keep``, or all), with the ids of the text and facts about them.
+
+    ids (array<int>), n_tokens, ids_crc32 (of 32-bit little-endian ids), and round_trip: whether the ids, decoded, give
+    the text again.
+    """
     words, path, salt = dictionary(docs, model, text)
-    whole = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
-    rare = F.lit(None).cast("map<bigint,array<int>>")
+    whole = docs.select(F.struct(*(keep or ["*"])).alias("row"), F.col(text).cast("string").alias("text"))
     if words.count() <= most_words:
-        rows = whole.withColumn("rare", rare)
+        rows = whole.withColumn("rare", F.lit(None).cast("map<bigint,array<int>>"))
     else:
-        common, path = write(words.orderBy(F.desc("n"), "hash").limit(most_words), "common-words")
+        _, path = write(words.orderBy(F.desc("n"), "hash").limit(most_words), "common-words")
         rows = _with_rare(whole, words, path, model, salt)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, known = _pieces(model), _dictionary(path)
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            sizes, parts, sums = [], [], []
             for a, b in chunks(offsets):
-                _, _, _, hashes, first = pieces.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], salt)
+                part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                _, _, _, hashes, first = pieces.words(part, at, salt)
                 place = known.find(hashes)
-                flat, at = known.flat, known.at
+                flat, spans = known.flat, known.at
                 if (place < 0).any():
-                    place, flat, at = _with_own(batch.column(2).slice(a, b - a).to_pylist(), hashes, first, place, flat, at)
-                ids, size = _gathered(flat, at, place)
+                    place, flat, spans = _with_own(batch.column(2).slice(a, b - a).to_pylist(), hashes, first, place, flat, spans)
+                ids, size = _gathered(flat, spans, place)
                 edge = np.concatenate(([0], np.cumsum(size)))[first]
-                parts.append(ids)
-                sizes.append(np.diff(edge))
-                raw = ids.astype("<u4").tobytes()
-                sums += [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-            size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-            at = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(size.astype(np.int64)), pa.array(sums, pa.int64())], ["row", "ids", "n_tokens", "ids_crc32"])
+                raw, edges = ids.astype("<u4").tobytes(), edge.tolist()
+                sums = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+                texts = part.tobytes()
+                back = [
+                    pieces.decode(ids[x:y]) == texts[p:q].replace(MARK.encode(), b" ")
+                    for x, y, p, q in zip(edges[:-1], edges[1:], at[:-1].tolist(), at[1:].tolist(), strict=True)
+                ]
+                lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                columns = [batch.column(0).slice(a, b - a), lists, pa.array(np.diff(edge).astype(np.int64)), pa.array(sums, pa.int64()), pa.array(back, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "n_tokens", "ids_crc32", "round_trip"])
 
-    return rows.mapInArrow(work, whole.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long").add("ids_crc32", "long"))
+    schema = whole.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long")
+    return rows.mapInArrow(work, schema.add("ids_crc32", "long").add("round_trip", "boolean"))
 
 
 def _with_own(own: list, hashes: np.ndarray, first: np.ndarray, place: np.ndarray, flat: np.ndarray, at: np.ndarray):
@@ -317,8 +376,3 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
 
     return rows.mapInArrow(work, rows.select("row").schema.add("decoded", "string"))
 
-
-def same_text(text: str | Column, decoded: str | Column) -> Column:
-    """Whether a text came back: the word mark itself stands for a space."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" ")) == F.coalesce(decoded, F.lit(""))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,15 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+def share_code(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, whatever their folder is."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -152,14 +162,8 @@ def op6_quality(spark, sf_dir):
 
 @query
 def op2_pieces(spark, sf_dir):
-    model = tokenizer_path("piece_bpe_32k.model")
-    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
-    return found.select(
-        F.col("row.row.doc_id").alias("doc_id"),
-        F.col("row.n_tokens").alias("n_tokens"),
-        F.col("row.ids_crc32").alias("ids_crc32"),
-        pieces.same_text(F.col("row.row.text"), F.col("decoded")).alias("round_trip"),
-    )
+    found = pieces.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_tokens", "ids_crc32", "round_trip")
 
 
 def document_paths(documents: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from backsight.llm import decontaminate, pieces, quality, simhash, substrings
-from backsight.llm.queries import table, tokenizer_path
+from backsight.llm.queries import share_code, table, tokenizer_path
 from backsight.storage import settle
 
 
@@ -20,11 +20,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
+    share_code(spark)
     return simhash.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier document holds, too, are cut out; n_chars follows the text."""
+    share_code(spark)
     cut = substrings.without_repeats(docs)
     return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
@@ -36,14 +38,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of each document, and whether they decode to its text."""
-    model = tokenizer_path("piece_bpe_32k.model")
-    found = pieces.decode(pieces.encode(docs.select("doc_id", "text"), model), model)
-    return found.select(
-        F.col("row.row.doc_id").alias("doc_id"),
-        F.col("row.n_tokens").alias("n_tokens"),
-        F.col("row.ids").alias("ids"),
-        pieces.same_text(F.col("row.row.text"), F.col("decoded")).alias("round_trip"),
-    )
+    share_code(spark)
+    found = pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_tokens", "ids", "round_trip")
 
 
 STAGES = [

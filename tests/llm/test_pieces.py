@@ -51,13 +51,13 @@ def test_equals_plain_viterbi_and_comes_back(spark, most_words):
     model = pieces.Pieces(PATH)
     table = {p: (i, s) for p, i, s in model.normal}
     decoded = pieces.decode(pieces.encode(docs, PATH, most_words=most_words), PATH)
-    found = {r.row.row.doc_id: (list(r.row.ids), r.row.n_tokens, r.row.ids_crc32, r.decoded) for r in decoded.collect()}
+    found = {r.row.row.doc_id: (list(r.row.ids), r.row.n_tokens, r.row.ids_crc32, r.row.round_trip, r.decoded) for r in decoded.collect()}
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     assert len(found) == len(rows)
     for i, text in rows:
         ids = plain_viterbi(text, table, model.longest, model.fallback, model.bytes)
         expected = (text or "").replace("▁", " ")
-        assert found[i] == (ids, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), expected)
+        assert found[i] == (ids, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True, expected)
         assert library.decode(ids) == expected
 
 
