@@ -47,35 +47,39 @@ def _words(text: Column) -> Column:
 
 
 def segments(files: DataFrame, path: str, text: str) -> DataFrame:
-    """``files`` with a number for each row and its distinct segments as strings of words."""
+    """(number, path, segments): a number for each row and its distinct segments, words and their digest."""
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     lines = F.filter(F.split(value, "\n"), lambda x: x.rlike(ANCHOR))
     lines = F.when(value.rlike(ANCHOR), lines).otherwise(F.array().cast("array<string>"))
     whole = F.when(F.coalesce(F.col(path).rlike(LICENCE_FILE), F.lit(False)), F.array(value)).otherwise(F.array().cast("array<string>"))
     joined = F.transform(F.concat(lines, whole), lambda x: F.array_join(_words(x), " "))
-    kept = F.filter(F.array_distinct(joined), lambda x: x != "")
+    kept = F.transform(F.filter(F.array_distinct(joined), lambda x: x != ""), lambda x: F.struct(F.md5(x.cast("binary")).alias("key"), x.alias("words")))
     return files.select(F.monotonically_increasing_id().alias("number"), F.col(path).cast("string").alias("path"), kept.alias("segments"))
 
 
 def best_templates(distinct: DataFrame, templates: dict[str, list[str]], least: float) -> DataFrame:
-    """(segment, licence, score) of the distinct segments whose best cosine is ``least`` or more."""
+    """(id, licence, score) of the distinct segments (id, words) whose best cosine is ``least`` or more.
+
+    A segment's words stay in the partition of its id until they are joined to their frequencies.
+    """
     spark = distinct.sparkSession
     total = distinct.count()
-    terms = distinct.select("segment", F.explode(F.split("segment", " ")).alias("term")).groupBy("segment", "term").agg(F.count("*").alias("tf"))
+    placed = distinct.select("id", "words").repartition("id")
+    terms = placed.select("id", F.explode(F.split("words", " ")).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
     frequency = terms.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log((F.lit(float(total)) + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    weighted = terms.join(frequency, "term").select("segment", "term", (F.col("tf") * idf).alias("w"))
-    norms = weighted.groupBy("segment").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    weighted = terms.join(frequency, "term").select("id", "term", (F.col("tf") * idf).alias("w"))
+    norms = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     known = spark.createDataFrame([(name, f"{name}/{k}", t) for name, texts in sorted(templates.items()) for k, t in enumerate(texts)], "licence string, template string, text string")
     known = known.select("licence", "template", F.explode(_words(F.col("text"))).alias("term")).groupBy("licence", "template", "term").agg(F.count("*").alias("tf"))
     known = known.join(frequency, "term", "left").select("licence", "template", "term", (F.col("tf") * idf).alias("t"))
     # The templates are fixed values, so their words have a fixed bound.
     own = known.groupBy("template").agg(F.sqrt(F.sum(F.col("t") * F.col("t"))).alias("own"))
     known = known.join(F.broadcast(own), "template")
-    products = weighted.join(F.broadcast(known), "term").groupBy("segment", "licence", "template", "own").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
-    scored = products.join(norms, "segment").select("segment", "licence", F.round(F.col("dot") / (F.col("norm") * F.col("own")), 6).alias("score"))
-    scored = scored.where(F.col("score") >= least).groupBy("segment").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("best"))
-    return scored.select("segment", F.col("best.licence").alias("licence"), (-F.col("best.s")).alias("score"))
+    products = weighted.join(F.broadcast(known), "term").groupBy("id", "licence", "template", "own").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
+    scored = products.join(norms, "id").select("id", "licence", F.round(F.col("dot") / (F.col("norm") * F.col("own")), 6).alias("score"))
+    scored = scored.where(F.col("score") >= least).groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("best"))
+    return scored.select("id", F.col("best.licence").alias("licence"), (-F.col("best.s")).alias("score"))
 
 
 def _best(*group: str):
@@ -86,9 +90,11 @@ def _best(*group: str):
 def scan(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, list[str]] | None = None, least: float = 0.8) -> DataFrame:
     """(path, own_licence, own_score, licence, licensed_by): one row per row; ``licensed_by`` is the directory inherited from."""
     rows, _ = write(segments(files, path, text), "licence-segments")
-    each = rows.select("number", F.explode("segments").alias("segment"))
-    best, _ = write(best_templates(each.select("segment").distinct(), templates or TEMPLATES, least), "licence-templates")
-    own, _ = write(_best("number")(each.join(best, "segment")), "own-licences")
+    each = rows.select("number", F.explode("segments").alias("segment")).select("number", "segment.key", "segment.words")
+    distinct = each.groupBy("key").agg(F.min("words").alias("words")).withColumn("id", F.monotonically_increasing_id())
+    distinct, _ = write(distinct, "distinct-segments")
+    best, _ = write(best_templates(distinct, templates or TEMPLATES, least).join(distinct.select("id", "key"), "id"), "licence-templates")
+    own, _ = write(_best("number")(each.select("number", "key").join(best.select("key", "licence", "score"), "key")), "own-licences")
     marked = rows.select("number", "path").join(own, "number", "left")
     cut = F.regexp_replace("path", "[^/]*$", "")
     directories = _best("directory")(marked.where(F.col("path").rlike(LICENCE_FILE) & F.col("licence").isNotNull()).withColumn("directory", cut))
