@@ -41,7 +41,7 @@ class Encoder:
     Texts with other white space around a space, or with the text of a special token, are encoded in one piece.
     """
 
-    def __init__(self, path: str, most_known: int = 800_000):
+    def __init__(self, path: str, most_known: int = 1_200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most_known = Tokenizer.from_file(path), most_known
