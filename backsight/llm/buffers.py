@@ -33,7 +33,7 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, CHUNK_BYTES + 4096)
+        size = 1 << max(16, (n - 1).bit_length())
         made = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             column = np.full(size, base, np.uint64)

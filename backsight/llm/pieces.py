@@ -23,7 +23,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import sentencepiece
@@ -37,6 +36,8 @@ from backsight.llm.components import write
 
 MARK = "▁"
 BLOCK = 64
+#: Bytes of text that a worker takes at once.
+AT_ONCE = 1 << 19
 
 
 class Pieces:
@@ -112,25 +113,25 @@ def distinct_words(docs: DataFrame, model: str, text: str = "text", salt: int =
         pieces, held = _pieces(model), {}
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
-            for a, b in chunks(offsets):
+            for a, b in chunks(offsets, AT_ONCE):
                 codes, starts, ends, hashes, _ = pieces.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], salt)
                 if not len(starts):
                     continue
-                order, distinct = pd.factorize(hashes.view(np.int64))
-                count = np.bincount(order)
-                first = np.empty(len(distinct), np.int64)
-                first[order[::-1]] = np.arange(len(order))[::-1]
+                distinct, first, count = np.unique(hashes.view(np.int64), return_index=True, return_counts=True)
                 for h, k, n in zip(distinct.tolist(), first.tolist(), count.tolist(), strict=True):
                     if h in held:
                         held[h][1] += n
                     else:
                         held[h] = [codes[starts[k] : ends[k]].tobytes().decode("utf-32-le"), n]
-                if len(held) > 300_000:
+                if len(held) > 100_000:
                     yield _word_batch(held)
                     held = {}
         yield _word_batch(held)
 
-    counted = docs.select(F.col(text).cast("string")).mapInArrow(work, "hash long, word string, n long")
+    # A word has some dozens of edges, so the words are dealt to more partitions than their own size asks for.
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size >> 21, 20_000))
+    counted = docs.select(F.col(text).cast("string")).mapInArrow(work, "hash long, word string, n long").repartition(parts, "hash")
     return counted.groupBy("hash", "word").agg(F.sum("n").alias("n"))
 
 
@@ -276,7 +277,7 @@ class _Dictionary:
         """The place of each hash, or -1."""
         if not len(self.keys):
             return np.full(len(hashes), -1)
-        order, distinct = pd.factorize(hashes.view(np.int64))
+        distinct, order = np.unique(hashes.view(np.int64), return_inverse=True)
         place = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
         return np.where(self.keys[place] == distinct, place, -1)[order]
 
@@ -305,7 +306,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_
         pieces, known = _pieces(model), _dictionary(path)
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for a, b in chunks(offsets):
+            for a, b in chunks(offsets, AT_ONCE):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 _, _, _, hashes, first = pieces.words(part, at, salt)
                 place = known.find(hashes)
@@ -351,7 +352,7 @@ def _with_rare(whole: DataFrame, words: DataFrame, path: str, model: str, salt:
         pieces, known = _pieces(model), _dictionary(path)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
-            for a, b in chunks(offsets):
+            for a, b in chunks(offsets, AT_ONCE):
                 _, _, _, hashes, first = pieces.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], salt)
                 rare = np.flatnonzero(known.find(hashes) < 0)
                 row = a + np.searchsorted(first, rare, "right") - 1
