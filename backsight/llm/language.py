@@ -9,8 +9,9 @@ Calibration: documents kept out of the counts give, over bins of the margin betw
 the best one is right; a logistic curve through these bins turns a margin into ``score``. A prediction is ``accepted``
 if its score reaches the least bin score at which at least ``precision`` of the calibration documents were right.
 
-The model is broadcast and bounded: at most ``most_grams`` 4-grams per language; if there are more, the rarest counts
-are left out, one whole count after the other, until they fit.
+No count is left out. Up to ``most_grams`` 4-grams in all languages together, the model is broadcast. Beyond, the counts
+stay in tables: the distinct n-grams of the texts are joined to them, order by order, and give one row of bits per 4-gram;
+the most frequent of these rows are broadcast, and a text's other 4-grams, counted per text, are joined to theirs.
 
 Cases: a null text, or one without letters, is ``und`` with score 0; rows with a null language or a null id teach
 nothing; with no language learned every text is ``und``; with one, every text with letters is that one, score 1. Ties go
@@ -25,8 +26,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import SparkContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from backsight.llm.buffers import chunks, text_bytes
 from backsight.llm.components import write
@@ -94,21 +96,18 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def bounded_counts(counts: DataFrame, most_grams: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Sorted keys and counts per language: the counts themselves are bounded by ``most_grams`` before they are collected."""
-    counts, _ = write(counts, "gram-counts")
-    spread = counts.groupBy("lang", F.least("n", F.lit(1000)).alias("n")).count().collect()
+def bounded_counts(counts: DataFrame, most_grams: int) -> dict[str, tuple[np.ndarray, np.ndarray]] | None:
+    """Sorted keys and counts per language, or None if there are more than ``most_grams`` of them in all."""
+    if counts.count() > most_grams:
+        return None
+    found = counts.select("lang", "gram", "n").toArrow()
+    langs = np.array(found.column("lang").to_pylist(), object)
+    grams, n = found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.float64)
     model = {}
-    for lang in sorted({r["lang"] for r in spread}):
-        floor, left = 1, sum(r["count"] for r in spread if r["lang"] == lang)
-        while left > most_grams and floor < 1000:
-            left -= sum(r["count"] for r in spread if r["lang"] == lang and r["n"] == floor)
-            floor += 1
-        part = counts.where((F.col("lang") == lang) & (F.col("n") >= floor)).select("gram", "n")
-        part = (part.orderBy(F.desc("n"), "gram").limit(most_grams) if left > most_grams else part).toPandas()
-        keys = part["gram"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        model[lang] = (keys[order], part["n"].to_numpy(np.float64)[order])
+    for lang in sorted(set(langs)):
+        own = np.flatnonzero(langs == lang)
+        order = own[np.argsort(grams[own])]
+        model[lang] = (grams[order], n[order])
     return model
 
 
@@ -163,6 +162,111 @@ class Model:
                 out[a:b, k] = np.where(lettered, np.bincount(rows, bits[codes], minlength=b - a) / np.maximum(size, 1), np.nan)
         return out
 
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """(row, entropies) of ``rows`` (row, text)."""
+        shared = SparkContext._active_spark_context.broadcast(self)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                entropies = shared.value.entropies(*text_bytes(batch.column(1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(entropies)], ["row", "entropies"])
+
+        return rows.mapInArrow(work, rows.select("row").schema.add("entropies", ArrayType(DoubleType())))
+
+
+def _lists(table: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(table) + 1, dtype=np.int32) * table.shape[1], pa.int32()), pa.array(table.ravel()))
+
+
+def _ragged(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(values.astype(np.int64)))
+
+
+def _chance(discounts: Column):
+    """The interpolation in language k of one order, with ``own``, ``known`` and the shorter n-gram's probability."""
+
+    def one(less: Column, k: Column) -> Column:
+        at, own, d = F.try_element_at("known", k), F.coalesce(F.try_element_at("own", k), F.lit(0)), F.get(discounts, k)
+        return F.when(at.isNull(), less).otherwise(F.greatest(own - d, F.lit(0.0)) / at["total"] + d * at["kinds"] / at["total"] * less)
+
+    return one
+
+
+class TableModel:
+    """The same model with its counts in tables: nothing but discounts, a few numbers per language, reaches the driver."""
+
+    def __init__(self, counts: DataFrame, most_grams: int):
+        self.most_grams, self.levels = most_grams, []
+        self.langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+        names = F.create_map(*[x for k, lang in enumerate(self.langs) for x in (F.lit(lang), F.lit(k))])
+        level = counts.select(names[F.col("lang")].alias("k"), "gram", "n")
+        for order in range(ORDER, 0, -1):
+            level, _ = write(level, f"level-{order}")
+            kinds = {r["k"]: r for r in level.groupBy("k").agg(F.count("*").alias("all"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect()}
+            kinds = [kinds[k] for k in range(len(self.langs))]
+            discounts = [r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.5 for r in kinds]
+            by_gram = level.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("own"))
+            contexts = level.groupBy("k", F.shiftrightunsigned("gram", 16).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+            contexts = contexts.groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("k", F.struct("total", "kinds")))).alias("known"))
+            self.levels.append((by_gram, contexts, discounts))
+            if order > 1:
+                level = level.groupBy("k", F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1)).alias("gram")).agg(F.count("*").alias("n"))
+        self.unseen = [1.0 / (r["all"] + 1) for r in kinds]
+
+    def bits(self, asked: DataFrame) -> DataFrame:
+        """(gram, f, bits) of the 4-grams ``asked`` (gram, f): minus the logarithm of each probability, per language."""
+        lower = None
+        for order in range(1, ORDER + 1):
+            by_gram, contexts, discounts = self.levels[ORDER - order]
+            mask = F.lit((1 << 16 * order) - 1) if order < ORDER else F.lit(-1)
+            parts = asked if order == ORDER else asked.select(F.col("gram").bitwiseAND(mask).alias("gram")).distinct()
+            parts = parts.withColumn("context", F.shiftrightunsigned("gram", 16)).join(by_gram, "gram", "left").join(contexts, "context", "left")
+            if lower is None:
+                parts = parts.withColumn("less", F.array(*map(F.lit, self.unseen)))
+            else:
+                parts = parts.withColumn("shorter", F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))).join(lower, "shorter")
+            parts = parts.withColumn("p", F.transform("less", _chance(F.array(*map(F.lit, discounts)))))
+            if order < ORDER:
+                lower, _ = write(parts.select(F.col("gram").alias("shorter"), F.col("p").alias("less")), f"chances-{order}")
+        found, _ = write(parts.select("gram", "f", F.transform("p", lambda p: -F.log2(p)).alias("bits")), "gram-bits")
+        return found
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """(row, entropies) of ``rows`` (row, text)."""
+        asked, _ = write(count_grams(rows.where("text is not null").select(F.lit("").alias("lang"), "text")).select("gram", F.col("n").alias("f")), "asked-grams")
+        found, width = self.bits(asked), len(self.langs)
+        head = found.orderBy(F.desc("f"), "gram").limit(max(1, self.most_grams // width))
+        head = head.select("gram", *[F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(width)]).toArrow()
+        keys = head.column("gram").to_numpy()
+        order = np.argsort(keys)
+        shared = SparkContext._active_spark_context.broadcast((keys[order], [head.column(f"b{k}").to_numpy()[order] for k in range(width)]))
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, bits = shared.value
+            for batch in batches:
+                data, offsets = text_bytes(batch.column(1))
+                for a, b in chunks(offsets):
+                    grams, texts, _ = grams_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                    grams, sums = grams.view(np.int64), np.zeros((b - a, width))
+                    at = np.searchsorted(keys, grams)
+                    here = at < len(keys)
+                    here[here] = keys[at[here]] == grams[here]
+                    for k in range(width):
+                        sums[:, k] = np.bincount(texts[here], bits[k][at[here]], minlength=b - a)
+                    rest = pd.DataFrame({"text": texts[~here], "gram": grams[~here]}).groupby(["text", "gram"]).size()
+                    sizes = np.bincount(rest.index.get_level_values(0).to_numpy(np.int64), minlength=b - a)
+                    columns = [batch.column(0).slice(a, b - a), pa.array(np.bincount(texts, minlength=b - a)), _lists(sums)]
+                    columns += [_ragged(rest.index.get_level_values(1).to_numpy(np.int64), sizes), _ragged(rest.to_numpy(), sizes)]
+                    yield pa.RecordBatch.from_arrays(columns, ["row", "size", "sums", "grams", "times"])
+
+        schema = rows.select("row").schema.add("size", "long").add("sums", ArrayType(DoubleType())).add("grams", ArrayType(LongType())).add("times", ArrayType(LongType()))
+        parts, _ = write(rows.mapInArrow(work, schema).withColumn("number", F.monotonically_increasing_id()), "gram-parts")
+        rest = parts.select("number", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("number", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
+        rest = rest.join(found.select("gram", "bits"), "gram").groupBy("number")
+        rest = rest.agg(F.array(*[F.sum(F.get("bits", F.lit(k)) * F.col("times")) for k in range(width)]).alias("rest"))
+        whole = F.transform("sums", lambda x, k: F.when(F.col("size") > 0, (x + F.coalesce(F.get("rest", k), F.lit(0.0))) / F.col("size")).otherwise(F.lit(float("nan"))))
+        return parts.join(rest, "number", "left").select("row", whole.alias("entropies"))
+
 
 def _margins(entropies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the best language or -1, how much better than the second it is per character)."""
@@ -202,47 +306,52 @@ class Calibration:
         return 1 / (1 + np.exp(-np.clip(self.a + self.b * np.minimum(margins, 1e6), -30, 30)))
 
 
-def train(docs: DataFrame, most_grams: int = 2_000_000, precision: float = 0.99) -> tuple[Model, Calibration]:
+def _table(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def train(docs: DataFrame, most_grams: int = 2_000_000, precision: float = 0.99) -> tuple[Model | TableModel, Calibration]:
     """``docs``: (lang, text, calibrate). Rows with ``calibrate`` are scored, the others counted; none is left out."""
     known = docs.where("lang is not null and text is not null")
-    model = Model(bounded_counts(count_grams(known.where("not calibrate").select("lang", "text")), most_grams))
-    shared = SparkContext._active_spark_context.broadcast(model)
+    counts, _ = write(count_grams(known.where("not calibrate").select("lang", "text")), "gram-counts")
+    small = bounded_counts(counts, most_grams)
+    model = TableModel(counts, most_grams) if small is None else Model(small)
+    langs = model.langs
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right, total = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
         for batch in batches:
-            best, margins = _margins(shared.value.entropies(*text_bytes(batch.column(1))))
-            names = np.array([*shared.value.langs, None], object)[best]
+            best, margins = _margins(_table(batch.column(1), len(langs)))
+            names = np.array([*langs, None], object)[best]
             judged = best >= 0
             total += np.bincount(_bins(margins[judged]), minlength=BINS)
             right += np.bincount(_bins(margins[judged & (names == np.array(batch.column(0).to_pylist(), object))]), minlength=BINS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BINS)), pa.array(right), pa.array(total)], ["bin", "right", "total"])
 
-    bins = known.where("calibrate").select("lang", "text").mapInArrow(work, "bin long, right long, total long")
+    scored = model.scored(known.where("calibrate").select(F.struct("lang").alias("row"), "text"))
+    bins = scored.select("row.lang", "entropies").mapInArrow(work, "bin long, right long, total long")
     right, total = np.zeros(BINS), np.zeros(BINS)
     for r in bins.groupBy("bin").agg(F.sum("right"), F.sum("total")).collect():
         right[r[0]], total[r[0]] = r[1], r[2]
     return model, Calibration(right, total, precision)
 
 
-def predict(docs: DataFrame, model: Model, calibration: Calibration, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model | TableModel, calibration: Calibration, text: str = "text") -> DataFrame:
     """The rows of ``docs`` as ``row``, with lang_pred, score, accepted and the cross-entropy per character in bits."""
-    shared = SparkContext._active_spark_context.broadcast((model, calibration))
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
+    scored, langs = model.scored(docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))), model.langs
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, calibration = shared.value
         for batch in batches:
-            entropies = model.entropies(*text_bytes(batch.column(1)))
+            entropies = _table(batch.column(1), len(langs))
             best, margins = _margins(entropies)
-            names = np.array([*model.langs, "und"], object)[best]
+            names = np.array([*langs, "und"], object)[best]
             score = np.where(best >= 0, np.where(np.isinf(margins), 1.0, calibration.score(margins)), 0.0)
-            least = entropies[np.arange(len(best)), best] if len(model.langs) else np.full(len(best), np.nan)
+            least = entropies[np.arange(len(best)), best] if len(langs) else np.full(len(best), np.nan)
             columns = [batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array((best >= 0) & (score >= calibration.least)), pa.array(least, mask=np.isnan(least))]
             yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score", "accepted", "entropy"])
 
-    schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean").add("entropy", "double")
-    return rows.mapInArrow(work, schema)
+    schema = scored.select("row").schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean").add("entropy", "double")
+    return scored.mapInArrow(work, schema)
 
 
 def identify(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 5, most_grams: int = 2_000_000) -> DataFrame:

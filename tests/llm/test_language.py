@@ -53,6 +53,18 @@ def test_given_languages(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_no_count_is_left_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 300")
+    odd = [(-1, None, "de"), (-2, "12 3!", "en"), (-3, "qzx jkq wvx qqq", "fr"), (-4, "plain words", None), (None, "some text", "en")]
+    docs = docs.select("doc_id", "text", "lang").union(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    whole = {r.doc_id: r for r in language.identify(docs).collect()}
+    few = {r.doc_id: r for r in language.identify(docs, most_grams=40).collect()}
+    assert set(whole) == set(few) and len(whole) > 200
+    for k, r in whole.items():
+        assert (few[k].lang_pred, few[k].held_out, few[k].accepted) == (r.lang_pred, r.held_out, r.accepted)
+        assert math.isclose(few[k].score, r.score, rel_tol=1e-9)
+
+
 def test_odd_rows(spark):
     rows = [(i, f"le chat {i} est la" if i % 2 else f"the cat {i} is here", "fr" if i % 2 else "en", "clash") for i in range(60)]
     rows += [(70, None, "fr", ""), (71, "123 !", "en", ""), (72, "the cat", None, ""), (None, "le chat est", "fr", ""), (73, "𝒳𝒴", "en", ""), (0, rows[0][1], "en", "")]
