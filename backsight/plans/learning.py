@@ -12,7 +12,7 @@ from ..operators import backups as S
 from ..operators.ordering import ROWS_PER_CHUNK, numbered
 from ..operators.policies import eps_greedy_policy, policy_changes
 from ..storage import settle
-from .loop import kept, placed, placement_of, repeat
+from .loop import NotSettled, kept, placed, placement_of, repeat, until_stable
 
 Lookup = Callable[[DataFrame], DataFrame]
 
@@ -74,6 +74,44 @@ def expected_sarsa(steps: DataFrame, q: DataFrame, policy: DataFrame, gamma: flo
     return sweep(S.next_state_statistics(steps, gamma), q, PAIR, "q", S.expectation_lookup(policy), rates)
 
 
+def settled_values(statistics: DataFrame, q: DataFrame, tolerance: float) -> DataFrame:
+    """Sweeps at rate one until no value moves by ``tolerance`` or more; raises ``NotSettled``.
+
+    A pair without steps gets itself as its target, so that a sweep reads the table once.
+    """
+    idle = q.join(statistics.select(*PAIR).distinct(), PAIR, "left_anti").select(
+        *PAIR, F.col("state").alias("src_state"), F.col("action").alias("src_action"),
+        F.lit(0.0).alias("gain"), F.lit(1.0).alias("weight"), F.lit(1).cast("long").alias("visits"),
+    )
+    statistics, placement = kept(statistics.select(*idle.columns).unionByName(idle), PAIR)
+
+    def step(current: DataFrame) -> DataFrame:
+        return S.mean_targets(statistics, S.pair_lookup(current), PAIR).withColumnRenamed("target", "q")
+
+    try:
+        return until_stable(q, step, PAIR, "q", tolerance, placement)[0]
+    finally:
+        statistics.unpersist()
+
+
+def settled_sarsa(steps: DataFrame, q: DataFrame, policy: DataFrame, gamma: float, seed: int, tolerance: float) -> DataFrame:
+    """The fixed point of Sarsa with one next action per step; its draw depends on the step alone, not on the round."""
+    draw = uniform(seed, "segment", "episode", "step_count")
+    return settled_values(S.sarsa_statistics(S.with_next_action(steps, policy, draw), gamma), q, tolerance)
+
+
+def settled_expected_sarsa(steps: DataFrame, q: DataFrame, policy: DataFrame, gamma: float, tolerance: float) -> DataFrame:
+    """The fixed point of expected Sarsa: each following state counts with the policy's share of each of its pairs."""
+    statistics = settle(S.next_state_statistics(steps, gamma), "statistics")
+    nothing = F.lit(None).cast("long")
+    own = statistics.select(*PAIR, nothing.alias("src_state"), nothing.alias("src_action"), "gain", F.lit(0.0).alias("weight"), "visits")
+    shares = policy.select(F.col("state").alias("src_state"), F.col("action").alias("src_action"), "policy")
+    ahead = statistics.join(shares, "src_state").select(
+        *PAIR, "src_state", "src_action", F.lit(0.0).alias("gain"), (F.col("weight") * F.col("policy")).alias("weight"), F.lit(0).cast("long").alias("visits")
+    )
+    return settled_values(own.unionByName(ahead), q, tolerance)
+
+
 def tree_backup(
     steps: DataFrame, q: DataFrame, policy: DataFrame, gamma: float, n: int, rates: Sequence[float]
 ) -> DataFrame:
@@ -177,3 +215,14 @@ def generalised_policy_iteration(
             policy = following
         used.append((eps, rounds, unchanged))
     return q, policy, used
+
+
+def settled_policy_iteration(
+    evaluate: Callable[[DataFrame, DataFrame], DataFrame], q: DataFrame, policy: DataFrame, eps_schedule: Sequence[float], max_rounds: int = 50
+) -> tuple[DataFrame, DataFrame]:
+    """Policy iteration to an unchanged policy at every eps; raises ``NotSettled`` after ``max_rounds``."""
+    q, policy, used = generalised_policy_iteration(evaluate, q, policy, eps_schedule, max_rounds)
+    for eps, rounds, unchanged in used:
+        if not unchanged:
+            raise NotSettled(f"the policy at eps {eps:g} still changes after {rounds} rounds")
+    return q, policy

@@ -316,16 +316,17 @@ def e10(spark, sf_dir):
     return planning.prioritised_q_iteration(C.model(spark, sf_dir), GAMMA, 0.05, per_round=80)[0]
 
 
+EVALUATED = 1e-10
+
+
 @query("e11_policy_iteration_sarsa")
 def e11_sarsa(spark, sf_dir):
     steps = C.transitions(spark, sf_dir)
 
     def evaluate(q, policy):
-        return learning.sarsa(steps, q, GAMMA, [1.0] * 4, policy, SEED)
+        return learning.settled_sarsa(steps, q, policy, GAMMA, SEED, EVALUATED)
 
-    q, policy, _ = learning.generalised_policy_iteration(
-        evaluate, zero_q(spark, sf_dir), C.uniform(spark, sf_dir), [0.2, 0.0], max_rounds=3
-    )
+    q, policy = learning.settled_policy_iteration(evaluate, zero_q(spark, sf_dir), C.uniform(spark, sf_dir), [0.2, 0.0])
     return q.join(policy, ["state", "action"])
 
 
@@ -334,11 +335,9 @@ def e11(spark, sf_dir):
     steps = C.transitions(spark, sf_dir)
 
     def evaluate(q, policy):
-        return learning.expected_sarsa(steps, q, policy, GAMMA, [1.0] * 4)
+        return learning.settled_expected_sarsa(steps, q, policy, GAMMA, EVALUATED)
 
-    q, policy, _ = learning.generalised_policy_iteration(
-        evaluate, zero_q(spark, sf_dir), C.uniform(spark, sf_dir), [0.2, 0.0], max_rounds=3
-    )
+    q, policy = learning.settled_policy_iteration(evaluate, zero_q(spark, sf_dir), C.uniform(spark, sf_dir), [0.2, 0.0])
     return q.join(policy, ["state", "action"])
 
 
