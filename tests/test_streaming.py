@@ -106,3 +106,22 @@ def test_arm_estimates_over_batches(spark):
     key = ("context", "arm")
     for column in ("n", "estimate"):
         assert as_dict(arms.select(*key, column), *key) == pytest.approx(as_dict(whole.select(*key, column), *key))
+
+
+def test_registered_streams_do_not_depend_on_the_number_of_files(spark, tmp_path, monkeypatch):
+    import __spark_entry__  # noqa: F401
+    from workloads import bandits, streams
+
+    rows = [(1, n, 0, float(n)) for n in range(1, 1201)]
+    path = str(tmp_path / "pulls")
+    spark.createDataFrame(rows, "context LONG, pull_no LONG, arm LONG, reward DOUBLE").repartition(1200, "pull_no").write.option("maxRecordsPerFile", 1).parquet(path)
+    pulls = spark.read.parquet(path)
+    assert len(pulls.inputFiles()) > 1000
+    monkeypatch.setattr(streams.C, "pulls", lambda spark, sf_dir: pulls)
+    expected = {(r.context, r.arm): (r.n, r.estimate) for r in N.constant_step_estimates(pulls, bandits.LR).collect()}
+    found = {(r.context, r.arm): (r.n, r.estimate) for r in streams.i4(spark, "").collect()}
+    assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k], rel=1e-9) for k in found)
+    batches = []
+    stream = streams.stream_of(spark, pulls).writeStream.foreachBatch(lambda batch, number: batches.append(batch.count()))
+    stream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert batches == [1200]

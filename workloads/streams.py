@@ -23,8 +23,9 @@ def folder_of(table):
     return table.inputFiles()[0].rsplit("/", 1)[0]
 
 
-def stream_of(spark, table, files_per_batch: int = 1000):
-    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder_of(table))
+def stream_of(spark, table):
+    """All files of a written table in one micro-batch, however many there are."""
+    return spark.readStream.schema(table.schema).parquet(folder_of(table))
 
 
 def by_day(table):
@@ -114,11 +115,24 @@ ORACLES["i3_stream_q_learning"] = statement(
 )
 
 
+BATCHES = 4
+
+
 @query("i4_stream_arms")
 def i4(spark, sf_dir):
+    """Pulls arrive in ranges of their number, one range a micro-batch: an arm's estimate depends on their order."""
     pulls = C.pulls(spark, sf_dir)
-    start = spark.createDataFrame([], ARMS)
-    return _folded(spark, stream_of(spark, pulls), start, ARMS, T.fold_arms(bandits.LR), "stream-arms")
+    last = pulls.agg(F.max("pull_no")).first()[0] or 1
+    arrived, checkpoint = new_path(spark, "arrived-pulls"), new_path(spark, "checkpoint")
+    table = T.VersionedTable(spark, new_path(spark, "stream-arms"), ARMS)
+    table.write(spark.createDataFrame([], ARMS), -1)
+    for k in range(BATCHES):
+        above, upto = last * k // BATCHES, last * (k + 1) // BATCHES
+        pulls.where((F.col("pull_no") > above) & (F.col("pull_no") <= upto)).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(pulls.schema).parquet(arrived)
+        run = T.run_batches(stream, table, T.fold_arms(bandits.LR), checkpoint)
+        run.awaitTermination()
+    return table.read(run.lastProgress["batchId"])
 
 
 ORACLES["i4_stream_arms"] = ORACLES["f1_arm_estimates"]
