@@ -26,7 +26,7 @@ def test_policy_iteration_finds_the_better_actions(spark, evaluator):
 
 @pytest.mark.parametrize("evaluator", ["expected_sarsa", "sarsa"])
 def test_settled_policy_iteration_reaches_the_fixed_point_or_raises(spark, evaluator):
-    chain = [(s, 0, 0.0) for s in range(6)] + [(6, 0, 1.0)]
+    chain = [(s, 0, 0.0) for s in range(2)] + [(2, 0, 1.0)]
     steps = transitions(spark, [chain, [(0, 1, 0.2)]])
     pairs = (M.state_space(steps), [0, 1])
 
@@ -36,7 +36,7 @@ def test_settled_policy_iteration_reaches_the_fixed_point_or_raises(spark, evalu
         return learning.settled_expected_sarsa(steps, q, policy, 0.9, 1e-10)
 
     q, policy = learning.settled_policy_iteration(evaluate, M.init_q(*pairs), M.uniform_policy(*pairs), [0.0])
-    expected = {(s, 0): 0.9 ** (6 - s) for s in range(7)} | {(0, 1): 0.2} | {(s, 1): 0.0 for s in range(1, 7)}
+    expected = {(s, 0): 0.9 ** (2 - s) for s in range(3)} | {(0, 1): 0.2} | {(s, 1): 0.0 for s in range(1, 3)}
     assert as_dict(q, "state", "action") == pytest.approx(expected)
     assert all(p == (a == 0) for (_, a), p in as_dict(policy, "state", "action").items())
     with pytest.raises(NotSettled):
