@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, language, licences, pieces, quality, simhash, substrings, tokens, topk, warc
+from backsight.llm import decontaminate, language, licences, pieces, quality, simhash, substrings, tokens, topk, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -231,3 +231,8 @@ SELECT p.directory || p.name AS path, o.licence AS own_licence, o.score AS own_s
        coalesce(o.licence, i.given) AS licence, i.directory AS licensed_by
 FROM placed p LEFT JOIN own o USING (number) LEFT JOIN inherited i USING (number)
 """
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
