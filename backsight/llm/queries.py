@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, language, licences, pieces, quality, simhash, substrings, tokens, topk, warc, whitening
+from backsight.llm import decontaminate, forest, language, licences, pieces, quality, simhash, substrings, tokens, topk, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -233,6 +233,46 @@ FROM placed p LEFT JOIN own o USING (number) LEFT JOIN inherited i USING (number
 """
 
 
+@query
+def op12_minhash_forest(spark, sf_dir):
+    return forest.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+ORACLES["op12_minhash_forest"] = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, s FROM (
+    SELECT r, array_to_string(w[i:i + 1], ' ') AS s
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w), 2))) AS i FROM doc_words WHERE len(w) > 0))),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+digests AS (SELECT r, md5(string_agg(s, ' ' ORDER BY s)) AS digest, count(*) AS n FROM shingles GROUP BY r),
+nodes AS (SELECT digest, any_value(n) AS n, min(r) AS node FROM digests GROUP BY digest),
+members AS MATERIALIZED (
+  SELECT node, n, s, row_number() OVER (PARTITION BY node ORDER BY df, s) AS place
+  FROM nodes JOIN shingles ON r = node JOIN (SELECT s, count(*) AS df FROM shingles GROUP BY s) USING (s)),
+-- two sets that link share one of their 1 + n / 5 rarest members
+rare AS MATERIALIZED (SELECT * FROM members WHERE place <= n // 5 + 1),
+candidates AS MATERIALIZED (
+  SELECT DISTINCT x.node AS a, y.node AS b FROM rare x JOIN rare y USING (s)
+  WHERE x.node < y.node AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)),
+common AS (
+  SELECT a, b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c
+  FROM candidates JOIN members x ON x.node = a JOIN members y ON y.node = b AND y.s = x.s GROUP BY a, b),
+links AS MATERIALIZED (
+  SELECT a, b FROM common WHERE 100 * c >= 80 * (na + nb - c) UNION ALL SELECT b, a FROM common WHERE 100 * c >= 80 * (na + nb - c)),
+reach AS (SELECT node AS a, node AS b FROM nodes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least_ids AS (SELECT node, min(doc_id) AS id FROM nodes JOIN digests USING (digest) JOIN doc_words USING (r) GROUP BY node),
+named AS (SELECT a AS node, min(id) AS component_id FROM reach JOIN least_ids ON node = b GROUP BY a)
+SELECT doc_id, coalesce(d.n, 0)::BIGINT AS n_shingles, coalesce(component_id, CASE WHEN d.n IS NULL THEN doc_id END) AS component_id,
+       coalesce(doc_id = coalesce(component_id, CASE WHEN d.n IS NULL THEN doc_id END), false) AS kept
+FROM doc_words LEFT JOIN digests d USING (r) LEFT JOIN nodes o USING (digest) LEFT JOIN named USING (node)
+"""
+
+
 @query
 def op13_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
