@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backsight.llm import decontaminate, forest, language, licences, pieces, quality, simhash, substrings, tokens, topk, warc, whitening
+from backsight.llm import conversations, decontaminate, forest, language, licences, pieces, quality, simhash, substrings, tokens, topk, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -276,3 +276,8 @@ FROM doc_words LEFT JOIN digests d USING (r) LEFT JOIN nodes o USING (digest) LE
 @query
 def op13_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_conversations(spark, sf_dir):
+    return conversations.repair(table(spark, sf_dir, "conversations"))
