@@ -6,9 +6,10 @@ node's signature has 96 MinHash bytes. The forest is 16 sorted orders of the nod
 bytes, dealt by ranges, so that no group of like signatures is tied to one task. In an order, the nodes that share a
 prefix are a region, and the depth of a region adapts to how crowded it is: a node is compared with the neighbours whose
 longest common prefix with it is longest, ``near`` on either side, and never with less than two bytes in common. Pairs whose signatures
-agree in so few bytes that a similarity of ``percent`` is out of reach by six deviations go no further; all others are confirmed on
-their full sets: first the most similar neighbour of each node, then, once these links are components, the pairs between
-different components.
+lie four and a half deviations below a similarity of ``percent`` go no further (1 in 300,000 of those just similar enough); all
+others are confirmed on their full sets. First come the most similar neighbours of the nodes; once these links are
+components, the orders are read again for all pairs between different components, so that a crowd that is linked already
+gives no more rows.
 
 Regions that stay crowded at a depth of 12 bytes are the ones where neighbours are not all there is. Where such a region still holds
 several components, its nodes outside the largest one are compared with all its nodes, in blocks, on full sets; a task
@@ -36,7 +37,7 @@ from backsight.llm.buffers import BYTE_CODES, CHUNK_BYTES, WHITE, mixed, run_has
 from backsight.llm.components import components, write
 
 HASHES, ORDERS, FULL, LEAST_DEPTH = 96, 16, 12, 2
-SHINGLE, PERCENT, NEAR, BLOCK = 5, 80, 8, 512
+SHINGLE, PERCENT, NEAR, BLOCK = 5, 80, 6, 512
 _RANDOM = np.random.default_rng(20_240)
 _FACTORS = _RANDOM.integers(1, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -59,9 +60,9 @@ _ORDER_TABLE = _orders()
 
 
 def least_agreement(percent: int) -> int:
-    """Bytes that two signatures must share to stay: six deviations below what the similarity lets expect."""
+    """Bytes that two signatures must share to stay: four and a half deviations below what the similarity lets expect."""
     s = percent / 100
-    return max(0, int(HASHES * s - 6 * np.sqrt(HASHES * s * (1 - s))))
+    return max(0, int(HASHES * s - 4.5 * np.sqrt(HASHES * s * (1 - s))))
 
 
 def _slices(data: np.ndarray) -> Iterator[np.ndarray]:
@@ -188,38 +189,67 @@ def sets_of(docs: DataFrame, nodes: DataFrame, doc: str, text: str, shingle: int
     return found.join(nodes, ["n_shingles", "hi", "lo"]).select("node", "members").dropDuplicates(["node"])
 
 
-def forest(nodes: DataFrame, near: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b, agree) with a < b, and rows of crowded regions (a, null, null, region)."""
+def forest(nodes: DataFrame, near: int, out: str, scan) -> DataFrame:
+    """The orders of ``nodes`` (node, n_shingles, signature, root), each row ``scan``ned together with its neighbours.
+
+    ``scan(rows, start, end, first, last)`` gets the columns tree, key, node, n and root of some rows in order, and which
+    rows to compare with those that follow them; ``first`` and ``last`` say whether the task's rows begin or end here.
+    """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, HASHES)
+            prints = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, HASHES)
             for number, order in enumerate(_ORDER_TABLE):
-                keys = np.ascontiguousarray(prints[:, order])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(prints), number, np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()), batch.column(0), batch.column(1)], ["tree", "key", "node", "n"])
+                keys = [k.tobytes() for k in np.ascontiguousarray(prints[:, order])]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(prints), number, np.int32)), pa.array(keys, pa.binary()), *batch.columns[:3]], ["tree", "key", "node", "n", "root"])
 
-    agreement = least_agreement(percent)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, key, node, n = np.zeros(0, np.int32), np.zeros((0, HASHES), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        done = 0  # rows before this one were compared with all that follow them
-        first = True
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [np.zeros(0, np.int32), np.zeros((0, HASHES), np.uint8), *(np.zeros(0, np.int64) for _ in range(3))]
+        done, first = 0, True  # rows before ``done`` were compared with all that follow them
         for batch, last in _with_last(batches):
-            more = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, HASHES)
-            tree, key = np.concatenate((tree, batch.column(0).to_numpy())), np.concatenate((key, more))
-            node, n = np.concatenate((node, batch.column(2).to_numpy())), np.concatenate((n, batch.column(3).to_numpy()))
-            yield from _compare(tree, key, node, n, done, len(node) if last else max(len(node) - near, done), near, agreement, percent)
-            # a run of one full prefix stays until it has ended; only its members are needed then
-            yield from _crowded(tree, key, node, done, first, last, near)
-            first = False
-            keep = max(0, len(node) - 2 * near)
-            tree, key, node, n, done = tree[keep:], key[keep:], node[keep:], n[keep:], max(len(node) - near, done) - keep
-
-    rows = nodes.select("node", "n_shingles", "signature").mapInArrow(deal, "tree int, key binary, node long, n long")
-    count = nodes.count()
-    parts = max(1, -(-count * ORDERS // 100_000), min(rows.sparkSession.sparkContext.defaultParallelism, count * ORDERS // 2_000))
+            more = [batch.column(k).to_numpy() if k != 1 else np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, HASHES) for k in range(5)]
+            rows = [np.concatenate(pair) for pair in zip(rows, more, strict=True)]
+            size = len(rows[0])
+            end = size if last else max(size - near, done)
+            yield from scan(rows, done, end, first, last)
+            keep = max(0, size - 2 * near)
+            rows, done, first = [column[keep:] for column in rows], end - keep, False
+
     order = ["tree", "key", "node"]
-    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(pairs, "a long, b long, agree int, region binary")
+    dealt = nodes.select("node", F.col("n_shingles").alias("n"), "root", "signature").mapInArrow(deal, "tree int, key binary, node long, n long, root long")
+    count = nodes.count() * ORDERS
+    parts = max(1, -(-count // 100_000), min(nodes.sparkSession.sparkContext.defaultParallelism, count // 2_000))
+    return dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(work, out)
+
+
+def nearest(nodes: DataFrame, near: int, percent: int) -> DataFrame:
+    """(a, b): for each node that has a candidate of another root the most similar one, by signature."""
+    agreement = least_agreement(percent)
+
+    def scan(rows, start, end, first, last) -> Iterator[pa.RecordBatch]:
+        found = list(_compare(rows, start, end, near, agreement, percent))
+        if found:
+            a, b, agree = (np.concatenate(x) for x in zip(*found, strict=True))
+            node, other, agree = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((agree, agree))
+            order = np.lexsort((other, -agree, node))
+            best = order[np.concatenate(([True], np.diff(node[order]) != 0))] if len(order) else order
+            yield pa.RecordBatch.from_arrays([pa.array(x[best]) for x in (node, other, agree.astype(np.int32))], ["node", "other", "agree"])
+
+    rows = forest(nodes, near, "node long, other long, agree int", scan)
+    best = rows.groupBy("node").agg(F.max_by("other", F.struct("agree", -F.col("other"))).alias("other"))
+    return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def between(nodes: DataFrame, near: int, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different roots, and rows (a, null, region, root) of crowded regions that hold several roots."""
+    agreement = least_agreement(percent)
+
+    def scan(rows, start, end, first, last) -> Iterator[pa.RecordBatch]:
+        for a, b, _ in _compare(rows, start, end, near, agreement, percent):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.binary()), pa.nulls(len(a), pa.int64())], ["a", "b", "region", "root"])
+        yield from _crowded(rows, first, last, near)
+
+    return forest(nodes, near, "a long, b long, region binary, root long", scan)
 
 
 def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
@@ -233,28 +263,23 @@ def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
         yield held, True
 
 
-def _compare(tree, key, node, n, start, end, near, agreement, percent) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows start..end with the neighbours after them."""
-    rows = np.arange(start, end)
-    common = None
+def _compare(rows, start, end, near, agreement, percent) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(node, node, agreeing bytes) of rows start..end with neighbours of another root after them."""
+    tree, key, node, n, root = rows
+    at, common = np.arange(start, end), None
     for step in range(1, near + 1):
-        rows = rows[rows + step < len(node)]
-        if not len(rows):
-            return
-        link = _common_prefix(tree, key, rows + step - 1)
-        common = link if common is None else np.minimum(common[: len(rows)], link)
-        alive = common >= LEAST_DEPTH
-        rows, common = rows[alive], common[alive]
-        if not len(rows):
+        at = at[at + step < len(node)]
+        link = _common_prefix(tree, key, at + step - 1)
+        common = link if common is None else np.minimum(common[: len(at)], link)
+        at, common = at[common >= LEAST_DEPTH], common[common >= LEAST_DEPTH]
+        if not len(at):
             return
-        small, large = np.minimum(n[rows], n[rows + step]), np.maximum(n[rows], n[rows + step])
-        fits = 100 * small >= percent * large
-        some = rows[fits]
-        agree = (key[some] == key[some + step]).sum(axis=1, dtype=np.int32)
+        small, large = np.minimum(n[at], n[at + step]), np.maximum(n[at], n[at + step])
+        some = at[(100 * small >= percent * large) & (root[at] != root[at + step])]
+        agree = (key[some] == key[some + step]).sum(axis=1)
         close = agree >= agreement
-        a, b = node[some[close]], node[some[close] + step]
-        nothing = pa.nulls(len(a), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree[close]), nothing], ["a", "b", "agree", "region"])
+        if close.any():
+            yield node[some[close]], node[some[close] + step], agree[close]
 
 
 def _common_prefix(tree, key, rows) -> np.ndarray:
@@ -264,20 +289,21 @@ def _common_prefix(tree, key, rows) -> np.ndarray:
     return np.where(tree[rows] == tree[rows + 1], length, 0)
 
 
-def _crowded(tree, key, node, start, first, last, near) -> Iterator[pa.RecordBatch]:
-    """Rows from ``start`` on in runs of one full prefix of more than ``near`` rows, or that may go on in another task."""
-    if not len(node):
-        return
-    same = _common_prefix(tree, key, np.arange(len(node) - 1)) >= FULL
-    run = np.concatenate(([0], np.cumsum(~same)))
-    long_ = np.bincount(run)[run] > near
-    if first:
-        long_ |= run == 0
-    if last:
-        long_ |= run == run[-1]
-    rows = np.flatnonzero(long_)
-    region = [bytes([t]) + k.tobytes() for t, k in zip(tree[rows].tolist(), key[rows, :FULL], strict=True)]
-    yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32()), pa.array(region, pa.binary())], ["a", "b", "agree", "region"])
+def _crowded(rows, first, last, near) -> Iterator[pa.RecordBatch]:
+    """Rows in runs of one full prefix of more than ``near`` rows that hold several roots, as far as these rows tell.
+
+    Runs at the ends of what is seen here may go on elsewhere, and stay whatever their length and roots.
+    """
+    tree, key, node, _, root = rows
+    run = np.concatenate(([0], np.cumsum(_common_prefix(tree, key, np.arange(len(node) - 1)) < FULL)))
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(run) > 0)))
+    sizes = np.diff(np.append(starts, len(run)))
+    chosen = (sizes > near) & (np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts))
+    for end, open_ in ((0, first), (-1, last)):
+        chosen[end] |= open_ or sizes[end] > near
+    some = np.flatnonzero(chosen[run])
+    region = [bytes([t]) + k.tobytes() for t, k in zip(tree[some].tolist(), key[some, :FULL], strict=True)]
+    yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.nulls(len(some), pa.int64()), pa.array(region, pa.binary()), pa.array(root[some])], ["a", "b", "region", "root"])
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -348,33 +374,28 @@ def across(region_rows: DataFrame, sets: DataFrame, nodes: DataFrame, percent: i
 
 def links(docs: DataFrame, nodes: DataFrame, doc: str, text: str, shingle: int, percent: int, near: int) -> DataFrame:
     """(node, root): the component of each node that has a link."""
-    found, _ = write(forest(nodes, near, percent), "forest")
-    pairs, _ = write(found.where("b is not null").groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates")
-    regions = found.where("region is not null").select("region", F.col("a").alias("node")).distinct()
-    crowded = regions.join(regions.groupBy("region").count().where(F.col("count") > near + 1).select("region"), "region")
-    crowded, _ = write(crowded, "crowded-regions")
-    some = pairs.select("a").union(pairs.select("b")).union(crowded.select("node")).distinct().withColumnRenamed("a", "node")
-    sets, _ = write(sets_of(docs, nodes.join(some, "node"), doc, text, shingle), "sets")
-
-    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "agree").union(pairs.select("b", "a", "agree"))
-    best = ends.groupBy("node").agg(F.max_by("other", F.struct("agree", -F.col("other"))).alias("other"))
-    first = best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    first, _ = write(nearest(nodes.withColumn("root", F.col("node")), near, percent), "nearest")
+    # every node that has a candidate at all is in these pairs
+    some = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
+    sets, _ = write(sets_of(docs, nodes.join(some, "node", "left_semi"), doc, text, shingle), "sets")
     known, _ = write(confirmed(first, sets, percent), "links")
     rooted, _ = write(components(known), "components")
 
-    def labelled(table: DataFrame, column: str, out: str) -> DataFrame:
-        label = rooted.select(F.col("node").alias(column), F.col("root").alias("_root"))
-        return table.join(label, column, "left").withColumn(out, F.coalesce("_root", column)).drop("_root")
-
-    open_ = labelled(labelled(pairs, "a", "_x"), "b", "_y").where("_x <> _y").select("a", "b").join(first, ["a", "b"], "left_anti")
-    more, _ = write(confirmed(open_, sets, percent), "links")
+    labelled = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found, _ = write(between(labelled, near, percent), "between")
+    pairs = found.where("b is not null").select("a", "b").distinct()
+    more, _ = write(confirmed(pairs, sets, percent), "links")
     if not more.isEmpty():
         known = known.union(more)
         rooted, _ = write(components(known), "components")
-    rows = labelled(crowded, "node", "root")
-    mixed_ = rows.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("region")
-    rows, _ = write(rows.join(mixed_, "region"), "mixed-regions")
+    crowds = found.where("region is not null").select("region", F.col("a").alias("node")).distinct()
+    rows = crowds.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rows.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where((F.col("x") < F.col("y")) & (F.col("n") > near + 1))
+    rows, _ = write(rows.join(several.select("region"), "region", "left_semi"), "mixed-regions")
     if not rows.isEmpty():
+        lone = nodes.join(rows.select("node").distinct(), "node", "left_semi").join(sets, "node", "left_anti")
+        if not lone.isEmpty():  # crowded, but without a candidate so far
+            sets = sets.union(write(sets_of(docs, lone, doc, text, shingle), "sets")[0])
         last, _ = write(across(rows, sets, nodes, percent), "links")
         if not last.isEmpty():
             rooted, _ = write(components(known.union(last)), "components")
