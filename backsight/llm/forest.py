@@ -241,15 +241,19 @@ def nearest(nodes: DataFrame, near: int, percent: int) -> DataFrame:
 
 
 def between(nodes: DataFrame, near: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different roots, and rows (a, null, region, root) of crowded regions that hold several roots."""
+    """Candidate pairs (a, b) with their roots x and y, and rows (a, null, x, null, region) of crowded regions with several roots."""
     agreement = least_agreement(percent)
 
     def scan(rows, start, end, first, last) -> Iterator[pa.RecordBatch]:
+        roots = {}
         for a, b, _ in _compare(rows, start, end, near, agreement, percent):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.binary()), pa.nulls(len(a), pa.int64())], ["a", "b", "region", "root"])
+            roots = roots or dict(zip(rows[2].tolist(), rows[4].tolist(), strict=True))
+            a, b = np.minimum(a, b), np.maximum(a, b)
+            x, y = (pa.array([roots[n] for n in column.tolist()], pa.int64()) for column in (a, b))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), x, y, pa.nulls(len(a), pa.binary())], ["a", "b", "x", "y", "region"])
         yield from _crowded(rows, first, last, near)
 
-    return forest(nodes, near, "a long, b long, region binary, root long", scan)
+    return forest(nodes, near, "a long, b long, x long, y long, region binary", scan)
 
 
 def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
@@ -303,7 +307,7 @@ def _crowded(rows, first, last, near) -> Iterator[pa.RecordBatch]:
         chosen[end] |= open_ or sizes[end] > near
     some = np.flatnonzero(chosen[run])
     region = [bytes([t]) + k.tobytes() for t, k in zip(tree[some].tolist(), key[some, :FULL], strict=True)]
-    yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.nulls(len(some), pa.int64()), pa.array(region, pa.binary()), pa.array(root[some])], ["a", "b", "region", "root"])
+    yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.nulls(len(some), pa.int64()), pa.array(root[some]), pa.nulls(len(some), pa.int64()), pa.array(region, pa.binary())], ["a", "b", "x", "y", "region"])
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -314,22 +318,22 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, ends: tuple[str, str] = ("a", "b")) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough, as their columns ``ends``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            good = [_linked(np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64), percent) for i in range(len(batch))]
+            one, two = batch.column(2), batch.column(3)
+            good = [_linked(np.frombuffer(one[i].as_buffer(), np.uint64), np.frombuffer(two[i].as_buffer(), np.uint64), percent) for i in range(len(batch))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("one")), "a")
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("two")), "b")
+    return both.select(F.col(ends[0]).alias("a"), F.col(ends[1]).alias("b"), "one", "two").mapInArrow(work, "a long, b long")
 
 
 def across(region_rows: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Links between components inside crowded regions: the nodes outside the largest component against all, in blocks.
+    """Links (a, b) of roots inside crowded regions: the nodes outside the largest component against all, in blocks.
 
     ``region_rows`` has (region, node, root). A task holds one block of nodes and streams the others past it.
     """
@@ -364,7 +368,7 @@ def across(region_rows: DataFrame, sets: DataFrame, nodes: DataFrame, percent: i
                 for k in np.flatnonzero((prints == mark).sum(axis=1) >= agreement).tolist():
                     if top(own[k][1]) != top(root) and _linked(own[k][2], values, percent):
                         joined[top(own[k][1])] = top(root)
-                        out.append((own[k][0], node))
+                        out.append((own[k][1], root))
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(2)], ["a", "b"])
             out = []
 
@@ -383,23 +387,27 @@ def links(docs: DataFrame, nodes: DataFrame, doc: str, text: str, shingle: int,
 
     labelled = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found, _ = write(between(labelled, near, percent), "between")
-    pairs = found.where("b is not null").select("a", "b").distinct()
-    more, _ = write(confirmed(pairs, sets, percent), "links")
+    pairs = found.where("b is not null").drop("region").distinct()
+    # from here on links are between roots, so that a crowd counts once
+    more, _ = write(confirmed(pairs, sets, percent, ("x", "y")).distinct(), "links")
+    crowds = found.where("region is not null").select("region", F.col("a").alias("node"), F.col("x").alias("root")).distinct()
     if not more.isEmpty():
-        known = known.union(more)
-        rooted, _ = write(components(known), "components")
-    crowds = found.where("region is not null").select("region", F.col("a").alias("node")).distinct()
-    rows = crowds.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rows.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where((F.col("x") < F.col("y")) & (F.col("n") > near + 1))
-    rows, _ = write(rows.join(several.select("region"), "region", "left_semi"), "mixed-regions")
+        crowds = _again(crowds, components(more))
+    several = crowds.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where((F.col("x") < F.col("y")) & (F.col("n") > near + 1))
+    rows, _ = write(crowds.join(several.select("region"), "region", "left_semi"), "mixed-regions")
     if not rows.isEmpty():
         lone = nodes.join(rows.select("node").distinct(), "node", "left_semi").join(sets, "node", "left_anti")
         if not lone.isEmpty():  # crowded, but without a candidate so far
             sets = sets.union(write(sets_of(docs, lone, doc, text, shingle), "sets")[0])
-        last, _ = write(across(rows, sets, nodes, percent), "links")
-        if not last.isEmpty():
-            rooted, _ = write(components(known.union(last)), "components")
-    return rooted
+        last, _ = write(across(rows, sets, nodes, percent).distinct(), "links")
+        more = more.union(last)
+    return rooted if more.isEmpty() else _again(labelled.select("node", "root"), components(more))
+
+
+def _again(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``rows`` with roots replaced by the root of what they are joined with."""
+    to = joined.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    return rows.join(to, "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, near: int = NEAR) -> DataFrame:
