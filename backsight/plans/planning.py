@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import bellman as B
-from ..operators import priorities as PQ
 from ..operators.models import init_q, init_v, state_space
 from ..operators.policies import eps_greedy_over_all_actions, greedy_policy, policy_changes
 from ..storage import settle
 from .loop import NotSettled, checked, kept, placed, repeat, until_stable
+from .prioritised import ROWS_PER_BLOCK, prioritised_values
 
 
 def evaluate_policy(
@@ -182,92 +182,12 @@ def visited_value_iteration(
     return v, policy, batch
 
 
-def prioritised_value_iteration(
-    model: DataFrame, gamma: float, tolerance: float, per_round: int, max_rounds: int = 1_000
-) -> tuple[DataFrame, int]:
-    """Back up the states with the largest pending change first; a change of a state queues its predecessors."""
-    model, placement = kept(model, ["state"])
-    edges, _ = kept(model.filter(~F.col("done")).select("state", "next_state").distinct(), ["state"])
-
-    def backup(popped: DataFrame, v: DataFrame) -> DataFrame:
-        return B.optimal_backup(model.join(popped, "state", "left_semi"), v, gamma)
-
-    def pending(moved: DataFrame) -> DataFrame:
-        entries = edges.join(moved.withColumnRenamed("state", "next_state"), "next_state")
-        return entries.groupBy("state").agg(F.max("change").alias("priority"))
-
-    try:
-        start = init_v(state_space(model))
-        return _by_priority(start, ["state"], "v", backup, pending, tolerance, per_round, max_rounds, placement)
-    finally:
-        edges.unpersist()
-        model.unpersist()
-
+def prioritised_value_iteration(model: DataFrame, gamma: float, tolerance: float, rows_per_block: int = ROWS_PER_BLOCK, max_rounds: int = 10_000) -> tuple[DataFrame, int]:
+    """Values at the fixed point by prioritised sweeps over blocks of states, and the number of rounds."""
+    return prioritised_values(model, gamma, tolerance, rows_per_block, max_rounds)
 
-def prioritised_q_iteration(
-    model: DataFrame, gamma: float, tolerance: float, per_round: int, max_rounds: int = 1_000
-) -> tuple[DataFrame, int]:
-    """The same on (state, action) pairs: a popped pair is set to its expected target."""
-    keys = ["state", "action"]
-    model, placement = kept(model, keys)
-    edges, _ = kept(model.filter(~F.col("done")).groupBy(*keys, "next_state").agg(F.sum("probability").alias("share")), keys)
 
-    def backup(popped: DataFrame, q: DataFrame) -> DataFrame:
-        return B.q_from_v(model.join(popped, keys, "left_semi"), B.best_value(q), gamma)
-
-    def pending(moved: DataFrame) -> DataFrame:
-        # a state's best value cannot move by more than its pairs moved
-        states = moved.groupBy(F.col("state").alias("next_state")).agg(F.max("change").alias("change"))
-        return edges.join(states, "next_state").groupBy(*keys).agg(
-            (F.lit(gamma) * F.sum(F.col("share") * F.col("change"))).alias("priority")
-        )
-
-    try:
-        start = model.select(*keys).distinct().withColumn("q", F.lit(0.0))
-        return _by_priority(start, keys, "q", backup, pending, tolerance, per_round, max_rounds, placement)
-    finally:
-        edges.unpersist()
-        model.unpersist()
-
-
-def _by_priority(
-    start: DataFrame,
-    keys: list[str],
-    value: str,
-    backup: Callable[[DataFrame, DataFrame], DataFrame],
-    pending: Callable[[DataFrame], DataFrame],
-    tolerance: float,
-    per_round: int,
-    max_rounds: int,
-    placement: str,
-) -> tuple[DataFrame, int]:
-    """Rounds over one table (keys, value, priority): pop the largest, back them up, queue whom the change concerns.
-
-    Value table and queue share the table, so a round is one written table. A popped item leaves the queue (priority
-    null) unless its own change queues it again; the largest priority is kept.
-    """
-    board = settle(start.withColumn("priority", F.lit(float("inf"))), "board")
-    rounds = 0
-    while rounds < max_rounds and not board.filter(F.col("priority").isNotNull()).isEmpty():
-        rounds += 1
-        here = placed(board, placement)
-        queue = here.filter(F.col("priority").isNotNull()).select(*keys, "priority")
-        popped = placed(PQ.pop(queue, keys, per_round)[0].select(*keys), placement)
-        fresh = placed(backup(popped, here.select(*keys, value)), placement).withColumnRenamed(value, "_fresh")
-        backed = settle(
-            here.join(popped.withColumn("_popped", F.lit(True)), keys, "left").join(fresh, keys, "left"), "backed"
-        )
-        there = placed(backed, placement)
-        moved = there.withColumn("change", F.abs(F.col("_fresh") - F.col(value))).filter(F.col("change") >= tolerance)
-        entries = pending(moved.select(*keys, "change")).filter(F.col("priority") >= tolerance)
-        board = settle(
-            there.join(placed(entries.withColumnRenamed("priority", "_entry"), placement), keys, "left").select(
-                *keys,
-                F.coalesce("_fresh", value).alias(value),
-                F.greatest(F.when(F.col("_popped").isNull(), F.col("priority")), F.col("_entry")).alias("priority"),
-            ),
-            "board",
-        )
-    if not board.filter(F.col("priority").isNotNull()).isEmpty():
-        raise NotSettled(f"the queue is not empty after {rounds} rounds")
-    return board.select(*keys, value), rounds
+def prioritised_q_iteration(model: DataFrame, gamma: float, tolerance: float, rows_per_block: int = ROWS_PER_BLOCK, max_rounds: int = 10_000) -> tuple[DataFrame, int]:
+    """The same on (state, action) pairs: the expected targets of all pairs under the values that the sweeps reach."""
+    v, rounds = prioritised_values(model, gamma, tolerance, rows_per_block, max_rounds)
+    return B.q_from_v(model, settle(v, "values"), gamma), rounds

@@ -1,6 +1,7 @@
 """Odd input gets a defined answer or a clear error."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from backsight.functions.draws import uniform
 from backsight.operators import backups, linear, online
@@ -64,7 +65,8 @@ def test_loops_that_do_not_settle_raise(spark):
     with pytest.raises(NotSettled):
         planning.value_iteration(model, 0.99, 1e-300, max_rounds=4)
     with pytest.raises(NotSettled):
-        planning.prioritised_value_iteration(model, 0.99, 1e-12, per_round=1, max_rounds=2)
+        twice = model.unionByName(model.withColumn("action", F.lit(1).cast("long")))
+        planning.prioritised_value_iteration(twice, 0.99, 1e-12, rows_per_block=1, max_rounds=2)
     assert (placement_of(10), placement_of(10**9)) == (BROADCAST, SHUFFLE)
 
 

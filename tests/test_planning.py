@@ -87,12 +87,22 @@ def chain(spark):
     return spark.createDataFrame(rows, "state LONG, action LONG, probability DOUBLE, next_state LONG, reward DOUBLE, done BOOLEAN")
 
 
-def test_prioritised_methods_reach_the_fixed_point(spark):
+@pytest.mark.parametrize("rows_per_block", [200_000, 4, 1])
+def test_prioritised_methods_reach_the_fixed_point(spark, rows_per_block):
+    """One block; several; every state with more rows than a block is backed up by aggregation."""
     model = chain(spark)
-    v, rounds = planning.prioritised_value_iteration(model, 0.5, 1e-9, per_round=2)
-    assert as_dict(v, "state") == pytest.approx({0: 1.0, 1: 0.5, 2: 0.25, 3: 0.125}) and rounds >= 4
-    q, _ = planning.prioritised_q_iteration(model, 0.5, 1e-4, per_round=8)
-    assert as_dict(B.best_value(q), "state") == pytest.approx({0: 1.0, 1: 0.5, 2: 0.25, 3: 0.125}, abs=1e-3)
+    v, rounds = planning.prioritised_value_iteration(model, 0.5, 1e-6, rows_per_block)
+    assert as_dict(v, "state") == pytest.approx({0: 1.0, 1: 0.5, 2: 0.25, 3: 0.125}, abs=1e-5) and (rounds == 1) == (rows_per_block == 200_000)
+    q, _ = planning.prioritised_q_iteration(model, 0.5, 1e-6)
+    assert as_dict(q, "state", "action")[(3, 1)] == pytest.approx(0.5 * 0.1 + 0.5 * 0.5 * 0.125)
+    assert as_dict(B.best_value(q), "state") == pytest.approx({0: 1.0, 1: 0.5, 2: 0.25, 3: 0.125})
+
+
+def test_prioritised_blocks_agree_with_value_iteration(spark):
+    model = slip_grid(spark)
+    v, rounds = planning.prioritised_value_iteration(model, GAMMA, 2e-3, rows_per_block=120)
+    close(as_dict(v, "state"), SLIP_GRID_OPTIMAL_V, 4e-2)
+    assert rounds > 1
 
 
 def test_visited_states_only(spark):

@@ -125,3 +125,40 @@ def test_registered_streams_do_not_depend_on_the_number_of_files(spark, tmp_path
     stream = streams.stream_of(spark, pulls).writeStream.foreachBatch(lambda batch, number: batches.append(batch.count()))
     stream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     assert batches == [1200]
+
+
+@pytest.mark.parametrize("merge_every", [8, 2])
+def test_a_log_equals_whole_versions(spark, merge_every):
+    steps = transitions(spark, random_episodes(6, 30))
+    path = files(steps, 3, ["event_id"])
+    feed = spark.readStream.schema(steps.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    schema = "state LONG, action LONG, q DOUBLE"
+    whole, log = T.VersionedTable(spark, new_path(spark, "whole"), schema), T.KeyedLog(spark, new_path(spark, "log"), schema, ["state", "action"], merge_every)
+    for table, fold in ((whole, T.fold_q_learning(0.9, 0.5)), (log, T.changed_q(0.9, 0.5))):
+        table.write(spark.createDataFrame([], schema), -1)
+        run = T.run_batches(feed, table, fold, new_path(spark, "cp"))
+        run.awaitTermination()
+    last = run.lastProgress["batchId"]
+    assert last == 2
+    expected = as_dict(whole.read(last), "state", "action")
+    assert as_dict(log.read(last), "state", "action") == pytest.approx(expected)
+    # a batch that runs again replaces its own rows; those after it are not read meanwhile
+    again = spark.read.schema(steps.schema).parquet(steps_files(spark, path)[1])
+    log.write(T.changed_q(0.9, 0.5)(log.read(0), again), 1)
+    assert as_dict(log.read(1), "state", "action") == pytest.approx(as_dict(whole.read(1), "state", "action"))
+    assert as_dict(log.read(last), "state", "action") == pytest.approx(expected)
+
+
+def test_counts_of_a_log(spark):
+    steps = transitions(spark, random_episodes(8, 20))
+    schema = "state LONG, action LONG, next_state LONG, experience_count LONG, reward_sum DOUBLE"
+    log = T.KeyedLog(spark, new_path(spark, "log"), schema, ["state", "action", "next_state"], 2)
+    log.write(spark.createDataFrame([], schema), -1)
+    for k in range(3):
+        log.write(T.changed_counts(log.read(k - 1), steps.filter(F.col("event_id") % 3 == k)), k)
+    found, whole = T.model_of_counts(log.read(2)), M.empirical_model(steps)
+    key = ("state", "action", "next_state")
+    for column in ("reward", "experience_count", "probability"):
+        assert as_dict(found.select(*key, column), *key) == pytest.approx(as_dict(whole.select(*key, column), *key))
+    written = spark.read.parquet(log.folder(0)).count(), spark.read.parquet(log.folder(2)).count()
+    assert written[1] < log.read(2).count() or written[0] == log.read(0).count()

@@ -15,7 +15,7 @@ from . import bandits, common as C
 from .common import EVENT_ACTIONS, GAMMA, ORACLES, query
 from .sqltext import r, statement
 
-MODEL_COUNTS = "state LONG, action LONG, next_state LONG, reward DOUBLE, experience_count LONG, probability DOUBLE, done BOOLEAN"
+COUNTS = "state LONG, action LONG, next_state LONG, experience_count LONG, reward_sum DOUBLE"
 ARMS = "context LONG, arm LONG, n LONG, estimate DOUBLE"
 
 
@@ -28,11 +28,21 @@ def stream_of(spark, table):
     return spark.readStream.schema(table.schema).parquet(folder_of(table))
 
 
-def by_day(table):
-    """The same steps in one file per day, in time order of their names."""
-    path = new_path(table.sparkSession, "days")
-    table.withColumn("day", F.dayofmonth("ts")).repartition("day").write.partitionBy("day").parquet(path)
-    return path
+BATCHES = 4
+
+
+def in_date_order(steps, table, fold):
+    """Steps arrive in ranges of their time, one range a micro-batch, however many files there are."""
+    spark = steps.sparkSession
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = steps.agg(F.min(at), F.max(at)).first()
+    number = F.floor((at - first) * BATCHES / ((last or 0) - (first or 0) + 1))
+    arrived, checkpoint = new_path(spark, "arrived-steps"), new_path(spark, "checkpoint")
+    for k in range(BATCHES):
+        steps.where(number == k).write.mode("append").parquet(arrived)
+        run = T.run_batches(spark.readStream.schema(steps.schema).parquet(arrived), table, fold, checkpoint)
+        run.awaitTermination()
+    return table.read(run.lastProgress["batchId"])
 
 
 @query("i1_stream_transitions")
@@ -81,20 +91,11 @@ def i2(spark, sf_dir):
 ORACLES["i2_stream_model"] = ORACLES["a3_empirical_model"]
 
 
-def _folded(spark, stream, start, schema, fold, label):
-    table = T.VersionedTable(spark, new_path(spark, label), schema)
-    table.write(start, -1)
-    run = T.run_batches(stream, table, fold, new_path(spark, "checkpoint"))
-    run.awaitTermination()
-    return table.read(run.lastProgress["batchId"])
-
-
 @query("i2_stream_model_upsert")
 def i2_upsert(spark, sf_dir):
-    steps = C.transitions(spark, sf_dir)
-    days = spark.readStream.schema(steps.schema).option("maxFilesPerTrigger", 10).parquet(by_day(steps))
-    start = spark.createDataFrame([], MODEL_COUNTS)
-    return _folded(spark, days, start, MODEL_COUNTS, T.fold_model, "stream-model")
+    log = T.KeyedLog(spark, new_path(spark, "stream-counts"), COUNTS, ["state", "action", "next_state"])
+    log.write(spark.createDataFrame([], COUNTS), -1)
+    return T.model_of_counts(in_date_order(C.transitions(spark, sf_dir), log, T.changed_counts))
 
 
 ORACLES["i2_stream_model_upsert"] = ORACLES["a3_empirical_model"]
@@ -102,20 +103,26 @@ ORACLES["i2_stream_model_upsert"] = ORACLES["a3_empirical_model"]
 
 @query("i3_stream_q_learning")
 def i3(spark, sf_dir):
-    steps = C.transitions(spark, sf_dir)
-    start = M.init_q(C.states(spark, sf_dir), EVENT_ACTIONS)
-    return _folded(spark, stream_of(spark, steps), start, ACTION_VALUES, T.fold_q_learning(GAMMA, 0.5), "stream-q")
+    log = T.KeyedLog(spark, new_path(spark, "stream-q"), ACTION_VALUES, ["state", "action"])
+    log.write(M.init_q(C.states(spark, sf_dir), EVENT_ACTIONS), -1)
+    return in_date_order(C.transitions(spark, sf_dir), log, T.changed_q(GAMMA, 0.5))
 
 
-# all files arrive in one micro-batch: one sweep from zero
+# one sweep for each range of the time, which reads what the ranges before it learned
+Q_BATCH = """
+SELECT state, action, q + 0.5 * (coalesce(target, q) - q) AS q FROM {prev} LEFT JOIN (
+  SELECT t.state, t.action, avg(t.reward + {g} * CASE WHEN t.done THEN 0 ELSE coalesce(b.v, 0) END) AS target
+  FROM dated t LEFT JOIN (SELECT state, max(q) AS v FROM {prev} GROUP BY state) b ON t.next_state = b.state
+  WHERE t.batch = {i} GROUP BY t.state, t.action) USING (state, action)"""
 ORACLES["i3_stream_q_learning"] = statement(
-    f"SELECT state, action, {r('0.5 * coalesce(avg_reward, 0)', 'q')} FROM pairs LEFT JOIN "
-    "(SELECT state, action, avg(reward) AS avg_reward FROM transitions GROUP BY ALL) USING (state, action)",
-    "transitions", "pairs",
-)
-
-
-BATCHES = 4
+    f"SELECT state, action, {r('q', 'q')} FROM q{BATCHES}", "transitions", "pairs",
+    extra=[
+        ("dated", "SELECT t.*, (epoch_us(ts) - low) * 4 // (high - low + 1) AS batch FROM transitions t, "
+                  "(SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM transitions)"),
+        ("q0", "SELECT state, action, 0.0::DOUBLE AS q FROM pairs"),
+        *[(f"q{k + 1}", Q_BATCH.format(prev=f"q{k}", g=GAMMA, i=k)) for k in range(BATCHES)],
+    ],
+)
 
 
 @query("i4_stream_arms")

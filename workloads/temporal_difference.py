@@ -12,6 +12,7 @@ from backsight.plans import learning, planning
 
 from . import common as C
 from .common import EVENT_ACTIONS, GAMMA, ORACLES, query
+from .planning_and_returns import TIGHT
 from .sqltext import r, statement, uniform_draw, v_sweeps
 from .tables_and_policies import INTERVALS
 
@@ -313,7 +314,10 @@ ORACLES["e9_dyna_q"] = statement(q_result("q4"), "transitions", "pairs", extra=_
 
 @query("e10_prioritised_dyna_q")
 def e10(spark, sf_dir):
-    return planning.prioritised_q_iteration(C.model(spark, sf_dir), GAMMA, 0.05, per_round=80)[0]
+    return planning.prioritised_q_iteration(C.model(spark, sf_dir), GAMMA, TIGHT)[0]
+
+
+ORACLES["e10_prioritised_dyna_q"] = ORACLES["c11_q_value_iteration"]
 
 
 EVALUATED = 1e-10
