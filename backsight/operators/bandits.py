@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ordering import join_on
 from .policies import eps_greedy_policy
 from .scans import MAX_SPAN, compose_maps
 
@@ -23,7 +24,7 @@ def arm_maps(pulls: DataFrame, lr: float, span: int = MAX_SPAN) -> DataFrame:
         "context", "arm", "pull_no", F.lit(1.0 - lr).alias("scale"), (F.lit(float(lr)) * F.col("reward")).alias("shift")
     )
     counts = pulls.groupBy("context", "arm").agg(F.count("*").alias("n"))
-    return compose_maps(maps, ["context", "arm"], "pull_no", "scale", "shift", span).join(counts, ["context", "arm"])
+    return join_on(compose_maps(maps, ["context", "arm"], "pull_no", "scale", "shift", span), counts, ["context", "arm"])
 
 
 def constant_step_estimates(pulls: DataFrame, lr: float, start: float = 0.0, span: int = MAX_SPAN) -> DataFrame:
@@ -73,9 +74,6 @@ def reward_curves(pulls: DataFrame, span: int = MAX_SPAN) -> DataFrame:
         "context", "_piece", F.coalesce(F.sum("_part").over(before), F.lit(0.0)).alias("_offset")
     )
     means = pulls.groupBy("context", "arm").agg(F.avg("reward").alias("expected_reward"))
-    return (
-        rows.withColumn("_local", F.sum("reward").over(inside))
-        .join(offsets, ["context", "_piece"])
-        .join(means, ["context", "arm"])
-        .select("context", "pull_no", "arm", (F.col("_local") + F.col("_offset")).alias("cumulative_reward"), "expected_reward")
-    )
+    local = rows.withColumn("_local", F.sum("reward").over(inside))
+    found = join_on(join_on(local, offsets, ["context", "_piece"]), means, ["context", "arm"])
+    return found.select("context", "pull_no", "arm", (F.col("_local") + F.col("_offset")).alias("cumulative_reward"), "expected_reward")

@@ -117,3 +117,11 @@ def test_bad_pulls_are_refused(spark):
     bad = spark.createDataFrame([(1, 1, 7, 0.5)], "context LONG, pull_no LONG, arm LONG, reward DOUBLE")
     with pytest.raises(Exception, match="an arm outside"):
         A.learned_preferences(bad, 3, A.RULES["greedy"]).collect()
+
+
+def test_a_null_context_is_a_context(spark):
+    rows = [(c, n, n % 2, float(n)) for c in (None, 1) for n in range(1, 6)]
+    pulls = spark.createDataFrame(rows, "context LONG, pull_no LONG, arm LONG, reward DOUBLE")
+    for frame in (N.constant_step_estimates(pulls, 0.1, span=2), N.reward_curves(pulls, span=2).drop("pull_no")):
+        found = [tuple(r)[1:] for r in frame.collect() if r.context is None]
+        assert found and sorted(found) == sorted(tuple(r)[1:] for r in frame.collect() if r.context == 1)
