@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import uniform
 from ..storage import settle
+from .ordering import join_on
 from .policies import cumulative, first_best
 
 BUCKETS = 32  # a draw is looked up in 1/32 of a pair's outcomes
@@ -117,16 +118,22 @@ def best_by_rollout(
 
 
 def score_policy(starts: DataFrame, model: DataFrame, policy: DataFrame, depth: int, count: int, seed: int) -> DataFrame:
-    """Undiscounted reward of whole rollouts under the policy: mean and spread per start state."""
+    """Undiscounted reward of whole rollouts under the policy: mean and spread per start state.
+
+    A start state that the policy lacks has no rollouts: 0 of them, mean and spread null.
+    """
     rows = rollout_rows(starts.select(F.col("state").alias("start"), F.lit(-1).cast("long").alias("first")), count)
     choices = settle(_policy_intervals(policy), "choices")
     opening = rows.withColumn("_v", uniform(seed, F.lit("opening"), "start", "rollout"))
     hit = (F.col("start") == F.col("_ps")) & (F.col("_v") >= F.col("lo")) & (F.col("_v") < F.col("hi"))
     rows = opening.join(choices, hit).select("start", F.col("_pa").alias("first"), "rollout")
     totals = simulate(rows, model, policy, 1.0, depth, seed)
-    return totals.groupBy("start").agg(
+    scores = totals.groupBy("start").agg(
         F.avg("total").alias("mean_reward"), F.stddev("total").alias("spread"), F.count("*").alias("rollouts")
     )
+    every = starts.select(F.col("state").alias("start")).distinct()
+    found = join_on(every, scores, ["start"], "left")
+    return found.select("start", "mean_reward", "spread", F.coalesce("rollouts", F.lit(0).cast("long")).alias("rollouts"))
 
 
 # --- tree search ------------------------------------------------------------------------------------------------

@@ -73,3 +73,5 @@ def test_policy_score(spark):
     found = {r.start: r for r in G.score_policy(model.select("state").distinct(), model, right, 3, 5, 1).collect()}
     assert [found[s].mean_reward for s in range(1, 6)] == [0.0, 0.0, 1.0, 1.0, 1.0]
     assert found[5].spread == 0.0 and found[5].rollouts == 5
+    some = G.score_policy(model.select("state").distinct(), model, right.where("state < 5"), 3, 5, 1).collect()
+    assert {(r.mean_reward, r.rollouts) for r in some if r.start == 5} == {(None, 0)} and len(some) == len(found)
