@@ -6,8 +6,7 @@ node's signature has 96 MinHash bytes. The forest is 16 sorted orders of the nod
 bytes, dealt by ranges, so that no group of like signatures is tied to one task. In an order, the nodes that share a
 prefix are a region, and the depth of a region adapts to how crowded it is: a node is compared with the neighbours whose
 longest common prefix with it is longest, ``near`` on either side, and never with less than two bytes in common. Pairs whose signatures
-lie four and a half deviations below a similarity of ``percent`` go no further (1 in 300,000 of those just similar enough); all
-others are confirmed on their full sets. First come the most similar neighbours of the nodes; once these links are
+lie six deviations below a similarity of ``percent`` go no further (1 in 10**9 of those just similar enough); all others are confirmed on their full sets. First come the most similar neighbours of the nodes; once these links are
 components, the orders are read again for all pairs between different components, so that a crowd that is linked already
 gives no more rows.
 
@@ -37,7 +36,7 @@ from backsight.llm.buffers import BYTE_CODES, CHUNK_BYTES, WHITE, mixed, run_has
 from backsight.llm.components import components, write
 
 HASHES, ORDERS, FULL, LEAST_DEPTH = 96, 16, 12, 2
-SHINGLE, PERCENT, NEAR, BLOCK = 5, 80, 6, 512
+SHINGLE, PERCENT, NEAR, BLOCK = 5, 80, 8, 512
 _RANDOM = np.random.default_rng(20_240)
 _FACTORS = _RANDOM.integers(1, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -60,9 +59,9 @@ _ORDER_TABLE = _orders()
 
 
 def least_agreement(percent: int) -> int:
-    """Bytes that two signatures must share to stay: four and a half deviations below what the similarity lets expect."""
+    """Bytes that two signatures must share to stay: six deviations below what the similarity lets expect."""
     s = percent / 100
-    return max(0, int(HASHES * s - 4.5 * np.sqrt(HASHES * s * (1 - s))))
+    return max(0, int(HASHES * s - 6 * np.sqrt(HASHES * s * (1 - s))))
 
 
 def _slices(data: np.ndarray) -> Iterator[np.ndarray]:
