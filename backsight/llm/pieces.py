@@ -35,7 +35,10 @@ from backsight.llm.buffers import chunks, mixed, run_hashes, text_bytes
 from backsight.llm.components import write
 
 MARK = "▁"
+#: Characters that a long word is cut into, first and then, and edges that are folded at once.
+PART = 8192
 BLOCK = 64
+SLICE = 256
 #: Bytes of text that a worker takes at once.
 AT_ONCE = 1 << 19
 
@@ -141,16 +144,24 @@ def _word_batch(held: dict) -> pa.RecordBatch:
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(hash, word, n, edges): the edges (stop, start, score, ids) of each word, in order of their ends."""
+    """(hash, second, n, edges): the edges (stop, start, score, ids) of each word, in order of their ends.
+
+    Rows are keyed by the word's hash and a second hash of it; no row carries the word itself beyond its first cuts.
+    """
     table = words.sparkSession.createDataFrame([(p, i, float(s)) for p, i, s in pieces.normal], "piece string, id int, score double")
     span = pieces.longest
-    # Long words are exploded in blocks with an overlap, so that no substring is cut from a long string.
-    blocks = words.select("hash", "word", "n", F.explode(F.sequence(F.lit(0), F.floor((F.length("word") - 1) / BLOCK).cast("int"))).alias("block"))
-    blocks = blocks.select("hash", "word", "n", "block", F.substring("word", F.col("block") * BLOCK + 1, F.lit(BLOCK + span - 1)).alias("part"))
-    starts = blocks.select("hash", "word", "n", "block", "part", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(BLOCK)) - 1)).alias("at"))
+    key = [F.col("hash"), F.col("second"), F.col("n")]
+    # Long words are cut twice with an overlap, so that the work is in proportion to their length and no substring is cut
+    # from a long string.
+    numbers = lambda of, size: F.explode(F.sequence(F.lit(0), F.floor((of - 1) / size).cast("int")))
+    parts = words.select("hash", F.xxhash64("word").alias("second"), "n", "word", F.length("word").alias("long")).select("*", numbers(F.col("long"), PART).alias("number"))
+    parts = parts.select(*key, (F.col("number") * PART).alias("from"), F.least(F.lit(PART), F.col("long") - F.col("number") * PART).alias("own"), F.substring("word", F.col("number") * PART + 1, F.lit(PART + span - 1)).alias("word"))
+    blocks = parts.select(*key, "from", "own", "word", numbers(F.col("own"), BLOCK).alias("block"))
+    blocks = blocks.select(*key, (F.col("from") + F.col("block") * BLOCK).alias("from"), F.least(F.lit(BLOCK), F.col("own") - F.col("block") * BLOCK).alias("own"), F.substring("word", F.col("block") * BLOCK + 1, F.lit(BLOCK + span - 1)).alias("part"))
+    starts = blocks.select(*key, "from", "part", F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("at"))
     sizes = F.explode(F.sequence(F.lit(1), F.least(F.lit(span), F.length("part") - F.col("at"))))
-    cuts = starts.select("hash", "word", "n", "part", "at", (F.col("block") * BLOCK + F.col("at")).alias("start"), sizes.alias("size"))
-    cuts = cuts.select("hash", "word", "n", "start", "size", F.substring("part", F.col("at") + 1, F.col("size")).alias("piece"))
+    cuts = starts.select(*key, "part", "at", (F.col("from") + F.col("at")).alias("start"), sizes.alias("size"))
+    cuts = cuts.select(*key, "start", "size", F.substring("part", F.col("at") + 1, F.col("size")).alias("piece"))
     found = cuts.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
     edge = F.struct(
         (F.col("start") + F.col("size")).alias("stop"),
@@ -159,7 +170,7 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
         # A character that no piece spells: its code point, as a negative number.
         F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
     )
-    return found.groupBy("hash", "word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    return found.groupBy(*key).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def _let(value: Column, body) -> Column:
@@ -167,18 +178,22 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def viterbi(edges: Column) -> Column:
+def viterbi(edges: Column, span: int) -> Column:
     """The ids on the best path, as a fold over edges in order of their ends and a fold back.
 
-    The state holds what is settled, position by position: scores, and the start and id of the best last edge.
+    Every position has an edge of one character, so ends are consecutive, and an edge starts at most ``span`` positions
+    before its end: the state holds the scores of the last ``span`` settled positions, and the start and id of the best
+    last edge of each position. Edges are folded in slices, whose positions are joined slice by slice, so that the state
+    that is copied at each position stays small and the work is in proportion to the length.
     """
     best = lambda score, start, id: F.struct(score.alias("score"), start.alias("start"), id.alias("id"))  # noqa: E731, A002
     state = lambda scores, backs, stop, now: F.struct(scores.alias("scores"), backs.alias("backs"), stop.alias("stop"), now.alias("now"))
+    none, no_backs = F.array().cast("array<double>"), F.array().cast("array<struct<start:int,id:int>>")
 
     def step(acc: Column, e: Column) -> Column:
         def within(s: Column) -> Column:
             return _let(
-                F.element_at(s["scores"], e["start"] + 1) + e["score"],
+                F.element_at(s["scores"], e["start"] - e["stop"]) + e["score"],
                 lambda score: F.when(score > s["now"]["score"], state(s["scores"], s["backs"], e["stop"], best(score, e["start"], e["id"]))).otherwise(
                     state(s["scores"], s["backs"], e["stop"], best(s["now"]["score"], s["now"]["start"], s["now"]["id"]))
                 ),
@@ -186,24 +201,37 @@ def viterbi(edges: Column) -> Column:
 
         now = acc["now"]
         back = F.struct(now["start"].alias("start"), now["id"].alias("id"))
-        opened = state(F.concat(acc["scores"], F.array(now["score"])), F.concat(acc["backs"], F.array(back)), e["stop"], best(F.lit(float("-inf")), F.lit(-1), F.lit(-1)))
+        recent = F.when(F.size(acc["scores"]) < span, acc["scores"]).otherwise(F.slice(acc["scores"], 2, span - 1))
+        opened = state(F.concat(recent, F.array(now["score"])), F.concat(acc["backs"], F.array(back)), e["stop"], best(F.lit(float("-inf")), F.lit(-1), F.lit(-1)))
         same = state(acc["scores"], acc["backs"], e["stop"], best(now["score"], now["start"], now["id"]))
         return _let(F.when(e["stop"] > acc["stop"], opened).otherwise(same), within)
 
-    none, no_backs = F.array().cast("array<double>"), F.array().cast("array<struct<start:int,id:int>>")
-    start = state(none, no_backs, F.lit(0), best(F.lit(0.0), F.lit(-1), F.lit(-1)))
-    last = lambda acc: F.concat(acc["backs"], F.array(F.struct(acc["now"]["start"].alias("start"), acc["now"]["id"].alias("id"))))
+    def part(acc: Column, first: Column) -> Column:
+        begin = state(acc["scores"], no_backs, acc["stop"], best(acc["now"]["score"], acc["now"]["start"], acc["now"]["id"]))
+        done = F.aggregate(F.slice(edges, first, SLICE), begin, step)
+        return _let(done, lambda s: state(s["scores"], F.concat(acc["backs"], F.array(s["backs"])), s["stop"], best(s["now"]["score"], s["now"]["start"], s["now"]["id"])))
 
-    def walk(backs: Column) -> Column:
-        size = F.size(backs) - 1
-        begin = F.struct(size.alias("want"), size.alias("at"), F.array().cast("array<int>").alias("ids"))
+    start = state(none, F.array().cast("array<array<struct<start:int,id:int>>>"), F.lit(0), best(F.lit(0.0), F.lit(-1), F.lit(-1)))
+    last = lambda acc: F.concat(acc["backs"], F.array(F.array(F.struct(acc["now"]["start"].alias("start"), acc["now"]["id"].alias("id")))))
+    firsts = F.sequence(F.lit(1), F.size(edges), F.lit(SLICE))
+
+    def walk(slices: Column) -> Column:
+        path = lambda want, at, ids: F.struct(want.alias("want"), at.alias("at"), ids.alias("ids"))
+        no_ids = F.array().cast("array<int>")
         back = lambda acc, b: F.when(
-            (acc["at"] > 0) & (acc["want"] == acc["at"]),
-            F.struct(b["start"].alias("want"), (acc["at"] - 1).alias("at"), F.concat(acc["ids"], F.array(b["id"])).alias("ids")),
-        ).otherwise(F.struct(acc["want"].alias("want"), (acc["at"] - 1).alias("at"), acc["ids"].alias("ids")))
-        return F.aggregate(F.reverse(backs), begin, back, lambda acc: F.reverse(acc["ids"]))
+            (acc["at"] > 0) & (acc["want"] == acc["at"]), path(b["start"], acc["at"] - 1, F.concat(acc["ids"], F.array(b["id"])))
+        ).otherwise(path(acc["want"], acc["at"] - 1, acc["ids"]))
+
+        def through(acc: Column, backs: Column) -> Column:
+            done = F.aggregate(F.reverse(backs), path(acc["want"], acc["at"], no_ids), back)
+            return _let(done, lambda s: path(s["want"], s["at"], F.concat(acc["ids"], F.array(s["ids"]))))
+
+        # The first entry stands for position 0, before all edges.
+        size = F.aggregate(slices, F.lit(-1), lambda n, x: n + F.size(x))
+        begin = path(size, size, F.array().cast("array<array<int>>"))
+        return F.aggregate(F.reverse(slices), begin, through, lambda acc: F.reverse(F.flatten(acc["ids"])))
 
-    return _let(F.aggregate(edges, start, step, last), walk)
+    return _let(F.aggregate(firsts, start, part, last), walk)
 
 
 def with_bytes(ids: Column, pieces: Pieces) -> Column:
@@ -235,7 +263,7 @@ def dictionary(docs: DataFrame, model: str, text: str = "text", groups: int = 50
     try:
         for salt in range(100):
             words = lattice(distinct_words(docs, model, text, salt), pieces)
-            made, path = write(words.select("hash", "n", with_bytes(viterbi(F.col("edges")), pieces).alias("ids")), "encoded-words")
+            made, path = write(words.select("hash", "n", with_bytes(viterbi(F.col("edges"), pieces.longest), pieces).alias("ids")), "encoded-words")
             if made.groupBy("hash").count().where("count > 1").isEmpty():
                 return made, path, salt
     finally:

@@ -64,3 +64,13 @@ def test_equals_plain_viterbi_and_comes_back(spark, most_words):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pieces.decode(pieces.encode(empty, PATH), PATH).collect() == []
+
+
+def test_long_words(spark):
+    rng = random.Random(2)
+    rows = ["e" * 100_000, "".join(rng.choice("abest") for _ in range(30_000)), "=" * 8_193, "e" * 8_192, "e" * 64, "e" * 65]
+    model = pieces.Pieces(PATH)
+    table = {p: (i, s) for p, i, s in model.normal}
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.row.doc_id: (list(r.ids), r.round_trip) for r in pieces.encode(docs, PATH).collect()}
+    assert found == {i: (plain_viterbi(t, table, model.longest, model.fallback, model.bytes), True) for i, t in enumerate(rows)}
