@@ -7,13 +7,16 @@ the callers use 128-bit digests or the bytes themselves.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
+#: Powers that a worker keeps; longer texts make their own and drop them.
+KEPT_POWERS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = []
 
@@ -32,15 +35,16 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        made = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            column = np.full(size, base, np.uint64)
-            column[0] = 1
-            made.append(np.multiply.accumulate(column))
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        column = np.full(-(-n >> 16) << 16, base, np.uint64)
+        column[0] = 1
+        made.append(np.multiply.accumulate(column))
+    if len(made[0]) <= KEPT_POWERS:
         _POWERS[:] = made
-    return _POWERS[0], _POWERS[1]
+    return made[0], made[1]
 
 
 def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -52,6 +56,15 @@ def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def give_back() -> None:
+    """Free memory goes back to the system: workers outlive a task, and the next stage may need the room elsewhere."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        return
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, nulls as empty texts, and the offsets of its rows."""
     if isinstance(column, pa.ChunkedArray):

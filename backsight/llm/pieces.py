@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from backsight.llm import files
-from backsight.llm.buffers import chunks, mixed, run_hashes, text_bytes
+from backsight.llm.buffers import chunks, give_back, mixed, run_hashes, text_bytes
 from backsight.llm.components import write
 
 MARK = "▁"
@@ -130,6 +130,8 @@ def distinct_words(docs: DataFrame, model: str, text: str = "text", salt: int =
                     yield _word_batch(held)
                     held = {}
         yield _word_batch(held)
+        held.clear()
+        give_back()
 
     # A word has some dozens of edges, so the words are dealt to more partitions than their own size asks for.
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
@@ -353,6 +355,11 @@ def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_
                 lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 columns = [batch.column(0).slice(a, b - a), lists, pa.array(np.diff(edge).astype(np.int64)), pa.array(sums, pa.int64()), pa.array(back, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "n_tokens", "ids_crc32", "round_trip"])
+        # The worker outlives its task: the dictionary goes, the piece table stays.
+        del known
+        _LOADED.pop("dictionary_path", None)
+        _LOADED.pop("dictionary", None)
+        give_back()
 
     schema = whole.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long")
     return rows.mapInArrow(work, schema.add("ids_crc32", "long").add("round_trip", "boolean"))

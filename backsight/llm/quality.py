@@ -25,7 +25,7 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from backsight.llm.buffers import BYTE_CODES, WHITE, chunks, mixed, run_hashes, text_bytes, words_of
+from backsight.llm.buffers import BYTE_CODES, WHITE, chunks, give_back, mixed, run_hashes, text_bytes, words_of
 from backsight.llm.components import write
 
 #: English insults, as a heuristic; further words are learned from the votes.
@@ -149,6 +149,7 @@ def votes(docs: DataFrame, labels: DataFrame | None, doc: str = "doc_id", text:
                 words[0] += ["".join(x) for x in found[:, :split]]
                 words[1] += ["".join(x) for x in found[:, split:]]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(w, pa.string()) for w in words)], ["doc_id", "quality", "toxic"])
+        give_back()
 
     found = rows.mapInArrow(work, f"doc_id {dict(rows.dtypes)['doc_id']}, quality string, toxic string")
     if labels is None:
@@ -311,6 +312,7 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text", least: float = 0.
                 n[a:b], p[a:b] = texts.n, shared.value.probabilities(texts)
             columns = [batch.column(0), pa.array(n), pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array((p >= least).any(axis=1))]
             yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "p_low_quality", "p_toxic", "rejected"])
+        give_back()
 
     schema = rows.select("row").schema.add("n_words", "long").add("p_low_quality", "double").add("p_toxic", "double").add("rejected", "boolean")
     return rows.mapInArrow(work, schema)
