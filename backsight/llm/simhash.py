@@ -278,7 +278,7 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", most_t
     """
     marked, named = named_components(docs, doc, text, most_together)
     ids = named.where("component_id is not null").select(F.col("component_id").alias("_kept")).distinct()
-    kept = docs.join(ids, docs[doc] == F.col("_kept"), "left_semi")
+    kept = docs.join(ids, docs[doc] == ids["_kept"], "left_semi")
     rows, known, different = marked.agg(F.count("*"), F.count("doc_id"), F.count_distinct("doc_id")).first()
     if known > different:
         kept = kept.dropDuplicates([doc])
