@@ -77,12 +77,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of whole rows of about ``size`` bytes; a longer text is a range of its own."""
+    """Ranges of whole rows of about ``size`` bytes; a longer text is a range of its own. Then free memory goes back."""
     first, rows = 0, len(offsets) - 1
     while first < rows:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         yield first, last
         first = last
+    give_back()
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

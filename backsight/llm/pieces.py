@@ -130,12 +130,10 @@ def distinct_words(docs: DataFrame, model: str, text: str = "text", salt: int =
                     yield _word_batch(held)
                     held = {}
         yield _word_batch(held)
-        held.clear()
-        give_back()
 
     # A word has some dozens of edges, so the words are dealt to more partitions than their own size asks for.
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size >> 21, 20_000))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size >> 20, 20_000))
     counted = docs.select(F.col(text).cast("string")).mapInArrow(work, "hash long, word string, n long").repartition(parts, "hash")
     return counted.groupBy("hash", "word").agg(F.sum("n").alias("n"))
 

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from backsight.llm.buffers import give_back
 from backsight.llm.components import components, write
 
 SEED, SHINGLE, BITS, LINK = 42, 3, 64, 2
@@ -62,6 +63,7 @@ def with_fingerprints(rows: DataFrame) -> DataFrame:
         for batch in batches:
             found = np.array([fingerprint(x.as_py()) for x in batch.column(1).cast(pa.binary())], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], [kept[0].name, "fp"])
+            give_back()
 
     return rows.mapInArrow(work, kept.add("fp", "long"))
 
