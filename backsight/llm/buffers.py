@@ -14,6 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Arrow keeps what its own pool once took; the system's allocator can give it back.
+pa.set_memory_pool(pa.system_memory_pool())
+
 CHUNK_BYTES = 1 << 19
 #: Powers that a worker keeps; longer texts make their own and drop them.
 KEPT_POWERS = 1 << 20

@@ -285,7 +285,7 @@ class _Dictionary:
         listed = [f.path for f in system.get_file_info(files.fs.FileSelector(folder)) if f.path.endswith(".parquet")]
         keys, sizes, flat = [], [], []
         for part in listed:
-            table = pq.read_table(part, columns=["hash", "ids"], filesystem=system).combine_chunks()
+            table = pq.read_table(part, columns=["hash", "ids"], filesystem=system, use_threads=False, pre_buffer=False).combine_chunks()
             if len(table):
                 ids = table["ids"].combine_chunks()
                 keys.append(table["hash"].to_numpy())

@@ -21,8 +21,8 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 
 
 def share_code(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it, and get batches of at most 8 MB."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    """Python workers find this package where the driver found it, and get batches of at most 4 MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
