@@ -10,7 +10,7 @@ from backsight.sources import logs
 from backsight.sources.schemas import ACTION_VALUES
 from backsight.storage import new_path
 from backsight.streaming import tables as T
-from backsight.streaming.transitions import stream_transitions
+from backsight.streaming.transitions import keyed_state, stream_transitions
 from golden import START, as_dict, random_episodes, transitions
 
 
@@ -40,16 +40,83 @@ def test_transitions_from_an_unordered_stream(spark):
     stream = spark.readStream.schema(shuffled.schema).option("maxFilesPerTrigger", 1).parquet(path).drop("o")
     out = new_path(spark, "out")
     linked = stream_transitions(stream, 24, "3 days")
-    run = (
-        linked.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "cp"))
-        .trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
+    with keyed_state(spark):
+        run = (
+            linked.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "cp"))
+            .trigger(availableNow=True).start()
+        )
+        run.awaitTermination()
     found = spark.read.schema(linked.schema).parquet(out).filter("segment <> 9")
     expected = logs.build_transitions(log).select(found.columns)
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
 
 
+EVENT = "segment LONG, ts TIMESTAMP_NTZ, event_id LONG, state LONG, action LONG, reward DOUBLE"
+
+
+def linked_in_batches(spark, batches, **options):
+    """The rows of a stream that gets each of ``batches`` in a run of its own, and the checkpoint with its state."""
+    arrived, out, checkpoint = new_path(spark, "feed"), new_path(spark, "out"), new_path(spark, "cp")
+    for rows in batches:
+        spark.createDataFrame(rows, EVENT).write.mode("append").parquet(arrived)
+        linked = stream_transitions(spark.readStream.schema(EVENT).parquet(arrived), **options)
+        with keyed_state(spark):
+            run = linked.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            run.awaitTermination()
+    return spark.read.schema(linked.schema).parquet(out), checkpoint
+
+
+def left(spark, checkpoint, name):
+    with keyed_state(spark):
+        return spark.read.format("statestore").option("stateVarName", name).load(checkpoint).collect()
+
+
+def test_a_hot_segment_late_rows_nulls_and_state_that_goes(spark, monkeypatch):
+    monkeypatch.setattr("backsight.streaming.transitions.HELD", 7)  # events of a slot lie in many parts
+    rng = random.Random(5)
+    rows, at = [], START
+    for event in range(600):
+        at += dt.timedelta(minutes=rng.choice([0, 1, 5, 30, 300]), seconds=rng.randrange(60), microseconds=rng.randrange(10**6))
+        hot = rng.random() < 0.8
+        rows.append((1 if hot else rng.choice([2, None]), at, event, rng.choice([0, 1, None]), rng.choice([0, None]), rng.choice([0.5, None])))
+    rows += [rows[40], rows[41], rows[41]]  # repeated events
+    rows.sort(key=lambda r: r[1])
+    expected = logs.build_transitions(spark.createDataFrame(rows, EVENT), 4)
+    end = (9, at + dt.timedelta(days=60), 999, 0, 0, 0.0)
+    late = [(1, rows[0][1], 5000, 7, 7, 7.0), (3, rows[5][1], 5001, 7, 7, 7.0)]
+    nothing = [(1, None, 5002, 7, 7, 7.0)]
+    for index in range(0, 600, 10):  # out of order within ten events
+        part = rows[index : index + 10]
+        rng.shuffle(part)
+        rows[index : index + 10] = part
+    batches = [rows[:250] + nothing, rows[250:450] + late, rows[450:] + [end]]
+    found, checkpoint = linked_in_batches(spark, batches, gap_hours=4, delay="2 days", slot_hours=1)
+    found = found.filter("segment is null or segment <> 9")
+    columns = [c for c in found.columns if c != "event_id"]
+    assert sorted(map(tuple, found.select(columns).collect()), key=str) == sorted(map(tuple, expected.select(columns).collect()), key=str)
+    # after the gap only the number of its episodes is left of a segment; the last event still waits
+    assert [row.key.segment for row in left(spark, checkpoint, "slots")] == [9]
+    assert [row.key.segment for row in left(spark, checkpoint, "events")] == [9]
+    progress = left(spark, checkpoint, "progress")
+    assert {row.key.segment for row in progress} == {1, 2, None}
+    assert {row.value.at for row in progress} == {None}
+
+
+def test_a_segment_is_forgotten(spark):
+    hour = dt.timedelta(hours=1)
+    rows = [(s, START + n * hour, n, n, 0, 1.0) for s, n in ((1, 0), (1, 1), (1, 40), (2, 0), (2, 130))]
+    batches = [rows, [(9, START + 120 * hour, 90, 0, 0, 0.0)], [(1, START + 130 * hour, 130, 5, 0, 1.0)], [(9, START + 300 * hour, 91, 0, 0, 0.0)]]
+    kept, _ = linked_in_batches(spark, batches, gap_hours=10)
+    gone, checkpoint = linked_in_batches(spark, batches, gap_hours=10, forget_hours=60)
+    number = lambda df: {(r.segment, r.event_id): (r.episode, r.step_count, r.next_state) for r in df.filter("segment < 9").collect()}
+    first = {(1, 0): (1, 0, 1), (1, 1): (1, 1, None), (1, 40): (2, 0, None), (2, 0): (1, 0, None)}
+    assert number(kept) == first | {(1, 130): (3, 0, None), (2, 130): (2, 0, None)}
+    assert number(gone) == first | {(1, 130): (1, 0, None), (2, 130): (1, 0, None)}
+    assert left(spark, checkpoint, "progress") == []  # the last event still waits
+    with pytest.raises(ValueError):
+        stream_transitions(spark.createDataFrame(rows, EVENT), gap_hours=10, forget_hours=10)
+
+
 def test_model_q_and_arms_over_several_batches(spark):
     steps = transitions(spark, random_episodes(5, 30))
     path = files(steps, 3, ["event_id"])

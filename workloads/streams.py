@@ -9,7 +9,7 @@ from backsight.sources import logs
 from backsight.sources.schemas import ACTION_VALUES
 from backsight.storage import new_path
 from backsight.streaming import tables as T
-from backsight.streaming.transitions import stream_transitions
+from backsight.streaming.transitions import keyed_state, stream_transitions
 
 from . import bandits, common as C
 from .common import EVENT_ACTIONS, GAMMA, ORACLES, query
@@ -31,15 +31,20 @@ def stream_of(spark, table):
 BATCHES = 4
 
 
+def time_ranges(rows):
+    """Rows cut into ranges of their time."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    number = F.coalesce(F.floor((at - first) * BATCHES / ((last or 0) - (first or 0) + 1)), F.lit(0))
+    return [rows.where(number == k) for k in range(BATCHES)]
+
+
 def in_date_order(steps, table, fold):
     """Steps arrive in ranges of their time, one range a micro-batch, however many files there are."""
     spark = steps.sparkSession
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    first, last = steps.agg(F.min(at), F.max(at)).first()
-    number = F.floor((at - first) * BATCHES / ((last or 0) - (first or 0) + 1))
     arrived, checkpoint = new_path(spark, "arrived-steps"), new_path(spark, "checkpoint")
-    for k in range(BATCHES):
-        steps.where(number == k).write.mode("append").parquet(arrived)
+    for part in time_ranges(steps):
+        part.write.mode("append").parquet(arrived)
         run = T.run_batches(spark.readStream.schema(steps.schema).parquet(arrived), table, fold, checkpoint)
         run.awaitTermination()
     return table.read(run.lastProgress["batchId"])
@@ -47,15 +52,18 @@ def in_date_order(steps, table, fold):
 
 @query("i1_stream_transitions")
 def i1(spark, sf_dir):
-    events = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
-    log = logs.event_log(events.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-    out = new_path(spark, "stream-transitions")
-    stream = stream_transitions(log)
-    run = (
-        stream.writeStream.format("parquet").option("checkpointLocation", new_path(spark, "checkpoint"))
-        .option("path", out).trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
+    """Events arrive in four ranges of their time; a run reads one and goes on with the state of the runs before it."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    arrived, out, checkpoint = (new_path(spark, label) for label in ("arrived-events", "stream-transitions", "checkpoint"))
+    for part in time_ranges(events):
+        part.write.mode("append").parquet(arrived)
+        stream = stream_transitions(logs.event_log(spark.readStream.schema(events.schema).parquet(arrived)))
+        with keyed_state(spark):
+            run = (
+                stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+                .option("path", out).trigger(availableNow=True).start()
+            )
+            run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out).drop("ts")
 
 
