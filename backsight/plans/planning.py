@@ -69,6 +69,24 @@ def evaluate_policy_in_blocks(
         weighted.unpersist()
 
 
+def evaluate_policy_in_place(
+    model: DataFrame, policy: DataFrame, gamma: float, tolerance: float, rows_per_block: int = ROWS_PER_BLOCK, max_rounds: int = 10_000
+) -> tuple[DataFrame, int]:
+    """In-place evaluation to a tolerance: (state, v) and the number of rounds.
+
+    Under a fixed policy the model is a chain, one folded row per (state, next_state). Blocks of its states are solved in
+    their tasks and overwrite their values; a block that reads a changed value is solved again, the most stale ones first
+    (``plans/prioritised.py``). Values end within tolerance / (1 - gamma) of the fixed point, or ``NotSettled`` is raised.
+    States without a row in ``policy`` have no value, as in ``evaluate_policy``.
+    """
+    weighted = _policy_weighted(model, policy).where("weight > 0")
+    chain = weighted.select(
+        "state", F.lit(0).cast("long").alias("action"), "next_state", "done", F.col("weight").alias("probability"),
+        (F.col("gain") / F.col("weight")).alias("reward"),
+    )
+    return prioritised_values(chain, gamma, tolerance, rows_per_block, max_rounds)
+
+
 def solve_policy_value(
     model: DataFrame, policy: DataFrame, gamma: float, tolerance: float, max_rounds: int = 1_000
 ) -> tuple[DataFrame, DataFrame]:
@@ -141,11 +159,10 @@ def policy_iteration(
     """Evaluate, improve, stop when no probability changes; returns v, policy and the number of rounds."""
     model, placement = kept(model, ["state"])
     policy = settle(policy, "policy")
-    v = init_v(state_space(model))
     rounds = 0
     try:
         for rounds in range(1, max_rounds + 1):
-            v, _ = evaluate_policy(model, v, checked(policy), gamma, tolerance)
+            v, _ = evaluate_policy_in_place(model, checked(policy), gamma, tolerance)
             improved = settle(greedy_policy(B.q_from_v(model, placed(v, placement), gamma)), "policy")
             unchanged = policy_changes(policy, checked(improved)).isEmpty()
             policy = improved

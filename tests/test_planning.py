@@ -60,6 +60,25 @@ def test_blocks_see_the_blocks_before_them(spark):
     assert as_dict(together, "state") == {0: 1.0, 1: 0.0, 2: 0.0}
 
 
+@pytest.mark.parametrize("rows_per_block", [200_000, 40, 1])
+def test_in_place_evaluation_reaches_the_fixed_point(spark, rows_per_block):
+    """One block; several; every state with more rows than a block, on a chain, where an unused action is no outcome."""
+    model = chain(spark) if rows_per_block == 1 else slip_grid(spark)
+    policy = uniform(spark, model)
+    if rows_per_block == 1:
+        policy = policy.withColumn("policy", (F.col("action") == 1).cast("double"))
+        v, rounds = planning.evaluate_policy_in_place(model, policy, 0.5, 1e-7, rows_per_block)
+        # leaves with 0.1 at a half, else stays: v = 0.05 + 0.25 v
+        assert as_dict(v, "state") == pytest.approx({0: 0.0, 1: 0.2 / 3, 2: 0.2 / 3, 3: 0.2 / 3}, abs=1e-6) and rounds > 1
+    else:
+        v, rounds = planning.evaluate_policy_in_place(model, policy, GAMMA, 1e-5, rows_per_block)
+        close(as_dict(v, "state"), SLIP_GRID_UNIFORM_V, 1e-3)
+        assert (rounds == 1) == (rows_per_block == 200_000)
+    if rows_per_block == 40:
+        with pytest.raises(planning.NotSettled):
+            planning.evaluate_policy_in_place(model, policy, GAMMA, 1e-5, rows_per_block, max_rounds=1)
+
+
 def test_optimal_methods_agree(spark):
     model = slip_grid(spark)
     v, _ = planning.value_iteration(model, GAMMA, 1e-6)

@@ -154,6 +154,14 @@ ORACLES["c6_policy_evaluation_in_blocks"] = statement(
 )
 
 
+@query("c6_policy_evaluation_in_place")
+def c6_in_place(spark, sf_dir):
+    return planning.evaluate_policy_in_place(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA, TIGHT)[0]
+
+
+ORACLES["c6_policy_evaluation_in_place"] = ORACLES["c5_policy_evaluation"]
+
+
 @query("c7_linear_system_left")
 def c7_left(spark, sf_dir):
     return B.linear_system(C.model(spark, sf_dir), C.uniform(spark, sf_dir), GAMMA)[0]
