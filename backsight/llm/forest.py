@@ -7,8 +7,8 @@ bytes, dealt by ranges, so that no group of like signatures is tied to one task.
 prefix are a region, and the depth of a region adapts to how crowded it is: a node is compared with the neighbours whose
 longest common prefix with it is longest, ``near`` on either side, and never with less than two bytes in common. Pairs whose signatures
 lie six deviations below a similarity of ``percent`` go no further (1 in 10**9 of those just similar enough); all others are confirmed on their full sets. First come the most similar neighbours of the nodes; once these links are
-components, the orders are read again for all pairs between different components, so that a crowd that is linked already
-gives no more rows.
+components, the orders are read again for all pairs between different components. These pairs are never rows: a node comes
+with its set once for each order in which it has such a neighbour, and the task that has both compares them.
 
 Regions that stay crowded at a depth of 12 bytes are the ones where neighbours are not all there is. Where such a region still holds
 several components, its nodes outside the largest one are compared with all its nodes, in blocks, on full sets; a task
@@ -229,7 +229,7 @@ def nearest(nodes: DataFrame, near: int, percent: int) -> DataFrame:
         found = list(_compare(rows, start, end, near, agreement, percent))
         if found:
             a, b, agree = (np.concatenate(x) for x in zip(*found, strict=True))
-            node, other, agree = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((agree, agree))
+            node, other, agree = rows[2][np.concatenate((a, b))], rows[2][np.concatenate((b, a))], np.concatenate((agree, agree))
             order = np.lexsort((other, -agree, node))
             best = order[np.concatenate(([True], np.diff(node[order]) != 0))] if len(order) else order
             yield pa.RecordBatch.from_arrays([pa.array(x[best]) for x in (node, other, agree.astype(np.int32))], ["node", "other", "agree"])
@@ -239,20 +239,82 @@ def nearest(nodes: DataFrame, near: int, percent: int) -> DataFrame:
     return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
+_FOUND = "block long, place int, tree int, node long, root long, region binary"
+
+
 def between(nodes: DataFrame, near: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) with their roots x and y, and rows (a, null, x, null, region) of crowded regions with several roots."""
+    """(block, place, tree, node, root, null) of nodes that have a candidate of another root in an order, and rows
+    (null, null, null, node, root, region) of crowded regions with several roots.
+
+    A block is what a task compares at once; both nodes of a candidate pair are in one block, at most ``near`` places apart.
+    """
     agreement = least_agreement(percent)
 
     def scan(rows, start, end, first, last) -> Iterator[pa.RecordBatch]:
-        roots = {}
-        for a, b, _ in _compare(rows, start, end, near, agreement, percent):
-            roots = roots or dict(zip(rows[2].tolist(), rows[4].tolist(), strict=True))
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            x, y = (pa.array([roots[n] for n in column.tolist()], pa.int64()) for column in (a, b))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), x, y, pa.nulls(len(a), pa.binary())], ["a", "b", "x", "y", "region"])
+        pairs = [np.concatenate((a, b)) for a, b, _ in _compare(rows, start, end, near, agreement, percent)]
+        if pairs:
+            some = np.unique(np.concatenate(pairs))
+            block = int(rows[2][start]) * ORDERS + int(rows[0][start])  # the first row's own key names the block
+            columns = [np.full(len(some), block, np.int64), some.astype(np.int32), *(rows[k][some] for k in (0, 2, 4))]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(some), pa.binary())], ["block", "place", "tree", "node", "root", "region"])
         yield from _crowded(rows, first, last, near)
 
-    return forest(nodes, near, "a long, b long, x long, y long, region binary", scan)
+    return forest(nodes, near, _FOUND, scan)
+
+
+def joined_in_blocks(found: DataFrame, nodes: DataFrame, sets: DataFrame, near: int, percent: int) -> DataFrame:
+    """Links (a, b) of roots: the candidates in the blocks of ``found``, confirmed on their full sets.
+
+    A task streams the nodes of its blocks in order and holds ``near`` of them besides a batch; it returns only links that
+    join components, so pairs are never rows.
+    """
+    agreement = least_agreement(percent)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, top = None, _Tops()
+        for batch in batches:
+            more = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+            old = 0 if rows is None else len(rows[0])
+            rows = more if rows is None else [np.concatenate(pair) for pair in zip(rows, more, strict=True)]
+            block, place, tree, root, n, signature, members = rows
+            prints = np.frombuffer(b"".join(signature), np.uint8).reshape(-1, HASHES)
+            starts = np.take_along_axis(prints, _ORDER_TABLE[tree, :LEAST_DEPTH], axis=1)
+            pairs = []
+            for step in range(1, near + 1):
+                at = np.arange(max(0, old - step), len(block) - step)
+                at = at[(block[at] == block[at + step]) & (place[at + step] - place[at] <= near) & (tree[at] == tree[at + step]) & (root[at] != root[at + step])]
+                at = at[_alike(n, at, step, percent) & (starts[at] == starts[at + step]).all(axis=1)]
+                agree = (prints[at] == prints[at + step]).sum(axis=1)
+                pairs += [(-g, a, a + step) for g, a in zip(agree.tolist(), at.tolist(), strict=True) if g >= agreement]
+            out = []
+            for _, a, b in sorted(pairs):  # the most similar first, so that fewer have to be looked at
+                x, y = int(root[a]), int(root[b])
+                if top.of(x) != top.of(y) and _linked(np.frombuffer(members[a], np.uint64), np.frombuffer(members[b], np.uint64), percent):
+                    top.join(x, y)
+                    out.append((x, y))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(2)], ["a", "b"])
+            rows = [column[max(0, len(block) - near) :] for column in rows]
+
+    full = found.join(nodes.select("node", F.col("n_shingles").alias("n"), "signature"), "node").join(sets, "node")
+    size = found.join(nodes, "node").agg(F.count("*"), F.sum("n_shingles")).first()
+    parts = max(1, -(-size[0] // 20_000), (size[1] or 0) >> 20, min(nodes.sparkSession.sparkContext.defaultParallelism, size[0] // 500))
+    dealt = full.select("block", "place", "tree", "root", "n", "signature", "members").repartition(parts, "block").sortWithinPartitions("block", "place")
+    return dealt.mapInArrow(work, "a long, b long")
+
+
+class _Tops:
+    """Which roots are joined so far."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def of(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.up[self.of(x)] = self.of(y)
 
 
 def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
@@ -267,7 +329,7 @@ def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
 
 
 def _compare(rows, start, end, near, agreement, percent) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(node, node, agreeing bytes) of rows start..end with neighbours of another root after them."""
+    """(place, place, agreeing bytes) of rows start..end with neighbours of another root after them."""
     tree, key, node, n, root = rows
     at, common = np.arange(start, end), None
     for step in range(1, near + 1):
@@ -277,12 +339,16 @@ def _compare(rows, start, end, near, agreement, percent) -> Iterator[tuple[np.nd
         at, common = at[common >= LEAST_DEPTH], common[common >= LEAST_DEPTH]
         if not len(at):
             return
-        small, large = np.minimum(n[at], n[at + step]), np.maximum(n[at], n[at + step])
-        some = at[(100 * small >= percent * large) & (root[at] != root[at + step])]
+        some = at[_alike(n, at, step, percent) & (root[at] != root[at + step])]
         agree = (key[some] == key[some + step]).sum(axis=1)
         close = agree >= agreement
         if close.any():
-            yield node[some[close]], node[some[close] + step], agree[close]
+            yield some[close], some[close] + step, agree[close]
+
+
+def _alike(n, at, step, percent) -> np.ndarray:
+    """Whether the sizes of two sets allow the similarity."""
+    return 100 * np.minimum(n[at], n[at + step]) >= percent * np.maximum(n[at], n[at + step])
 
 
 def _common_prefix(tree, key, rows) -> np.ndarray:
@@ -306,7 +372,8 @@ def _crowded(rows, first, last, near) -> Iterator[pa.RecordBatch]:
         chosen[end] |= open_ or sizes[end] > near
     some = np.flatnonzero(chosen[run])
     region = [bytes([t]) + k.tobytes() for t, k in zip(tree[some].tolist(), key[some, :FULL], strict=True)]
-    yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.nulls(len(some), pa.int64()), pa.array(root[some]), pa.nulls(len(some), pa.int64()), pa.array(region, pa.binary())], ["a", "b", "x", "y", "region"])
+    none = [pa.nulls(len(some), kind) for kind in (pa.int64(), pa.int32(), pa.int32())]
+    yield pa.RecordBatch.from_arrays([*none, pa.array(node[some]), pa.array(root[some]), pa.array(region, pa.binary())], ["block", "place", "tree", "node", "root", "region"])
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -317,8 +384,8 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, ends: tuple[str, str] = ("a", "b")) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, as their columns ``ends``."""
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,7 +395,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, ends: tuple[str,
 
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("one")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("two")), "b")
-    return both.select(F.col(ends[0]).alias("a"), F.col(ends[1]).alias("b"), "one", "two").mapInArrow(work, "a long, b long")
+    return both.select("a", "b", "one", "two").mapInArrow(work, "a long, b long")
 
 
 def across(region_rows: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -347,17 +414,12 @@ def across(region_rows: DataFrame, sets: DataFrame, nodes: DataFrame, percent: i
     passing = rows.select("region", F.explode(F.sequence(F.lit(0).cast("long"), F.col("loose_blocks") - 1)).alias("own"), block("all_blocks").alias("other"), F.lit(1).alias("side"), *columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own, prints, joined, out = None, [], None, {}, []
-
-        def top(x: int) -> int:
-            while joined.get(x, x) != x:
-                x = joined[x]
-            return x
+        now, own, prints, top, out = None, [], None, _Tops(), []
 
         for batch in batches:
             for region, mine, other, side, node, root, members, signature in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (region, mine, other) != now:
-                    now, own, prints, joined = (region, mine, other), [], None, {}
+                    now, own, prints, top = (region, mine, other), [], None, _Tops()
                 values, mark = np.frombuffer(members, np.uint64), np.frombuffer(signature, np.uint8)
                 if side == 0:
                     own.append((node, root, values, mark))
@@ -365,8 +427,8 @@ def across(region_rows: DataFrame, sets: DataFrame, nodes: DataFrame, percent: i
                 if prints is None:
                     prints = np.array([o[3] for o in own], np.uint8).reshape(-1, HASHES)
                 for k in np.flatnonzero((prints == mark).sum(axis=1) >= agreement).tolist():
-                    if top(own[k][1]) != top(root) and _linked(own[k][2], values, percent):
-                        joined[top(own[k][1])] = top(root)
+                    if top.of(own[k][1]) != top.of(root) and _linked(own[k][2], values, percent):
+                        top.join(own[k][1], root)
                         out.append((own[k][1], root))
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(2)], ["a", "b"])
             out = []
@@ -377,30 +439,39 @@ def across(region_rows: DataFrame, sets: DataFrame, nodes: DataFrame, percent: i
 
 def links(docs: DataFrame, nodes: DataFrame, doc: str, text: str, shingle: int, percent: int, near: int) -> DataFrame:
     """(node, root): the component of each node that has a link."""
-    first, _ = write(nearest(nodes.withColumn("root", F.col("node")), near, percent), "nearest")
+    total = nodes.count()
+    first, _ = write(nearest(nodes.withColumn("root", F.col("node")), near, percent), "nearest", total)
     # every node that has a candidate at all is in these pairs
     some = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
     sets, _ = write(sets_of(docs, nodes.join(some, "node", "left_semi"), doc, text, shingle), "sets")
     known, _ = write(confirmed(first, sets, percent), "links")
-    rooted, _ = write(components(known), "components")
+    rooted, _ = write(components(known), "components", total)
 
     labelled = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found, _ = write(between(labelled, near, percent), "between")
-    pairs = found.where("b is not null").drop("region").distinct()
+    blocks = found.where("block is not null").drop("region")
+    sets = _with_lone(docs, nodes, blocks, sets, doc, text, shingle)
     # from here on links are between roots, so that a crowd counts once
-    more, _ = write(confirmed(pairs, sets, percent, ("x", "y")).distinct(), "links")
-    crowds = found.where("region is not null").select("region", F.col("a").alias("node"), F.col("x").alias("root")).distinct()
+    more, _ = write(joined_in_blocks(blocks, nodes, sets, near, percent), "links")
+    crowds = found.where("region is not null").select("region", "node", "root").distinct()
+    rooted = labelled.select("node", "root")
     if not more.isEmpty():
-        crowds = _again(crowds, components(more))
+        joined = components(more)
+        crowds, rooted = _again(crowds, joined), _again(rooted, joined)
     several = crowds.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where((F.col("x") < F.col("y")) & (F.col("n") > near + 1))
-    rows, _ = write(crowds.join(several.select("region"), "region", "left_semi"), "mixed-regions")
+    rows, _ = write(crowds.join(several.select("region"), "region", "left_semi"), "mixed-regions", found.count())
     if not rows.isEmpty():
-        lone = nodes.join(rows.select("node").distinct(), "node", "left_semi").join(sets, "node", "left_anti")
-        if not lone.isEmpty():  # crowded, but without a candidate so far
-            sets = sets.union(write(sets_of(docs, lone, doc, text, shingle), "sets")[0])
-        last, _ = write(across(rows, sets, nodes, percent).distinct(), "links")
-        more = more.union(last)
-    return rooted if more.isEmpty() else _again(labelled.select("node", "root"), components(more))
+        sets = _with_lone(docs, nodes, rows, sets, doc, text, shingle)
+        last, _ = write(across(rows, sets, nodes, percent), "links")
+        if not last.isEmpty():
+            rooted = _again(rooted, components(last))
+    return rooted
+
+
+def _with_lone(docs: DataFrame, nodes: DataFrame, rows: DataFrame, sets: DataFrame, doc: str, text: str, shingle: int) -> DataFrame:
+    """``sets``, and those of nodes in ``rows`` that are not among them: without a candidate when the first ones were read."""
+    lone = nodes.join(rows.select("node").distinct(), "node", "left_semi").join(sets, "node", "left_anti")
+    return sets if lone.isEmpty() else sets.union(write(sets_of(docs, lone, doc, text, shingle), "sets")[0])
 
 
 def _again(rows: DataFrame, joined: DataFrame) -> DataFrame:
@@ -414,11 +485,11 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", sh
     rows, _ = write(marked(docs, doc, text, shingle), "marked")
     keys = ["n_shingles", "hi", "lo"]
     nodes = rows.where("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
-    nodes, _ = write(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes, _ = write(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes", rows.count())
     rooted = links(docs, nodes, doc, text, shingle, percent, near)
     named = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node")).select(*keys, "root", "first_id")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named, _ = write(named.join(least, "root").select(*keys, "component_id"), "named")
+    named, _ = write(named.join(least, "root").select(*keys, "component_id"), "named", rows.count())
     found = rows.drop("signature").join(named, keys, "left")
     return found.select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")

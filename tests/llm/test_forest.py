@@ -99,3 +99,44 @@ def test_recall_of_the_orders(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     kept = forest.near_duplicates(frame, shingle=1, near=4).agg(F.sum(F.col("kept").cast("int"))).first()[0]
     assert 1200 - kept >= 0.99 * 600
+
+
+def test_candidates_of_a_crowd_are_no_rows_of_pairs(spark):
+    """A crowd of different roots, alike but not enough: a row for each node and order, not one for each pair."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, forest.HASHES, np.uint8)
+    prints = [np.where(rng.random(forest.HASHES) < 0.85, base, rng.integers(0, 256, forest.HASHES, np.uint8)) for _ in range(300)]
+    nodes = spark.createDataFrame([(k, 100, bytearray(p.astype(np.uint8).tobytes()), k) for k, p in enumerate(prints)], "node long, n_shingles long, signature binary, root long")
+    assert 300 < forest.between(nodes, 8, 80).count() <= forest.ORDERS * 300
+
+
+def test_neighbours_in_different_batches(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(60)]
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    rows = []
+    for k in range(200):
+        w = list(base)
+        for _ in range(rng.choice([3, 6, 9, 12])):
+            w[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(w)))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        assert found(spark, rows, 1) == plain(rows, 1)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_components_equal_a_plain_search(spark):
+    rng = random.Random(2)
+    links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(130)]
+    links += [(500, 501), (501, 500), (500, 501), (502, 502), (None, 3), (600, 601)]
+    label = {x: x for pair in links for x in pair if x is not None and None not in pair and pair[0] != pair[1]}
+    for _ in label:
+        for a, b in links:
+            if a in label and b in label:
+                label[a] = label[b] = min(label[a], label[b])
+    frame = spark.createDataFrame(links, "a long, b long")
+    assert sorted(map(tuple, components(frame).collect())) == sorted(label.items())
+    assert components(frame.where("a = 502")).collect() == []
