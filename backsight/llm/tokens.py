@@ -89,31 +89,28 @@ class Encoder:
         if len(self.rest) + len(self.first) > self.most_known:
             self.first, self.rest = {}, {}
         pieces = [x.split(" ") if self.by_space and not self._in_one_piece(x) else None for x in texts]
-        found: list[list | None] = []
+        found: list[tuple[list, list]] = []  # ids of the words so far, and which words are new
         new_first, new = {}, {}
         for p in pieces:
-            ids = None
-            if p:
-                ids = list(map(self.rest.get, p))
-                ids[0] = self.first.get(p[0])
-                if None in ids:
-                    missing = [k for k, x in enumerate(ids) if x is None]
-                    if missing[0] == 0:
-                        new_first[p[0]] = None
-                        del missing[0]
-                    new.update((p[k], None) for k in missing)
-            found.append(ids)
+            if p is None:
+                found.append(([], []))
+                continue
+            ids = list(map(self.rest.get, p))
+            ids[0] = self.first.get(p[0])
+            missing = [k for k, x in enumerate(ids) if x is None]
+            for k in missing:
+                (new if k else new_first)[p[k]] = None
+            found.append((ids, missing))
         self.first.update(zip(new_first, self._ids(list(new_first)), strict=True))
         self.rest.update(zip(new, self._ids_after_spaces(list(new)), strict=True))
         whole = iter(self._ids([x for x, p in zip(texts, pieces, strict=True) if p is None]))
         out = []
-        for p, ids in zip(pieces, found, strict=True):
+        for p, (ids, missing) in zip(pieces, found, strict=True):
             if p is None:
                 out.append(next(whole))
                 continue
-            if None in ids:
-                ids = list(map(self.rest.get, p))
-                ids[0] = self.first[p[0]]
+            for k in missing:  # only these are looked up again
+                ids[k] = self.rest[p[k]] if k else self.first[p[0]]
             out.append(b"".join(ids))
         return out
 

@@ -61,3 +61,25 @@ def test_random_access_and_damage(tmp_path, monkeypatch):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.checked(tokens.read_ids(tokens.write_ids(empty, PATH))).collect() == []
+
+
+def test_known_words_are_looked_up_once():
+    class Counted(dict):
+        looked = 0
+
+        def get(self, key, default=None):
+            Counted.looked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            Counted.looked += 1
+            return super().__getitem__(key)
+
+    coder = tokens.Encoder(PATH)
+    known = [f"word{k}" for k in range(500)]
+    coder.encode([" ".join(["first", *known])])
+    coder.first, coder.rest = Counted(coder.first), Counted(coder.rest)
+    text = " ".join(["first", *known, "novel", "another"])
+    plain = coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert coder.encode([text, text]) == 2 * [np.array(plain, "<u4").tobytes()]
+    assert Counted.looked < 2 * 510  # two new words do not make the others be looked up again
