@@ -39,6 +39,8 @@ MARK = "▁"
 PART = 8192
 BLOCK = 64
 SLICE = 256
+#: Distinct words that a task holds before it sends them.
+MOST_HELD = 250_000
 #: Bytes of text that a worker takes at once.
 AT_ONCE = 1 << 19
 
@@ -113,7 +115,7 @@ def distinct_words(docs: DataFrame, model: str, text: str = "text", salt: int =
     """(hash, word, n): every word of every text with its number of occurrences; tasks send each word a few times only."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, held = _pieces(model), {}
+        pieces, held, room = _pieces(model), [], 0
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for a, b in chunks(offsets, AT_ONCE):
@@ -121,15 +123,16 @@ def distinct_words(docs: DataFrame, model: str, text: str = "text", salt: int =
                 if not len(starts):
                     continue
                 distinct, first, count = np.unique(hashes.view(np.int64), return_index=True, return_counts=True)
-                for h, k, n in zip(distinct.tolist(), first.tolist(), count.tolist(), strict=True):
-                    if h in held:
-                        held[h][1] += n
-                    else:
-                        held[h] = [codes[starts[k] : ends[k]].tobytes().decode("utf-32-le"), n]
-                if len(held) > 100_000:
-                    yield _word_batch(held)
-                    held = {}
-        yield _word_batch(held)
+                held.append((distinct, _strings(codes, starts[first], ends[first]), count))
+                room += len(distinct)
+                if room > 2 * MOST_HELD:
+                    held = [_merged(held)]
+                    room = len(held[0][0])
+                    if room > MOST_HELD:
+                        yield _word_batch(held[0])
+                        held, room = [], 0
+        if held:
+            yield _word_batch(_merged(held))
 
     # A word has some dozens of edges, so the words are dealt to more partitions than their own size asks for.
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
@@ -138,9 +141,29 @@ def distinct_words(docs: DataFrame, model: str, text: str = "text", salt: int =
     return counted.groupBy("hash", "word").agg(F.sum("n").alias("n"))
 
 
-def _word_batch(held: dict) -> pa.RecordBatch:
-    values = list(held.values())
-    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([v[0] for v in values], pa.string()), pa.array([v[1] for v in values], pa.int64())], ["hash", "word", "n"])
+def _strings(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The runs of code points as strings, without a Python object for each."""
+    sizes = ends - starts
+    stops = np.cumsum(sizes)
+    chosen = codes[np.repeat(starts - (stops - sizes), sizes) + np.arange(stops[-1])]
+    data = chosen.tobytes().decode("utf-32-le").encode()
+    width = 1 + (chosen > 0x7F) + (chosen > 0x7FF) + (chosen > 0xFFFF)
+    at = np.concatenate(([0], np.cumsum(width)))[np.concatenate(([0], stops))]
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data))
+
+
+def _merged(held: list[tuple]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(hashes, words, numbers) of several such, each word once; a hash stands for one word, as it does for a text."""
+    if len(held) == 1:
+        return held[0]
+    hashes, first, place = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+    counts = np.zeros(len(hashes), np.int64)
+    np.add.at(counts, place, np.concatenate([h[2] for h in held]))
+    return hashes, pa.concat_arrays([h[1] for h in held]).take(pa.array(first)), counts
+
+
+def _word_batch(words: tuple[np.ndarray, pa.Array, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(words[0]), words[1].cast(pa.string()), pa.array(words[2].astype(np.int64))], ["hash", "word", "n"])
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -191,20 +214,15 @@ def viterbi(edges: Column, span: int) -> Column:
     none, no_backs = F.array().cast("array<double>"), F.array().cast("array<struct<start:int,id:int>>")
 
     def step(acc: Column, e: Column) -> Column:
-        def within(s: Column) -> Column:
-            return _let(
-                F.element_at(s["scores"], e["start"] - e["stop"]) + e["score"],
-                lambda score: F.when(score > s["now"]["score"], state(s["scores"], s["backs"], e["stop"], best(score, e["start"], e["id"]))).otherwise(
-                    state(s["scores"], s["backs"], e["stop"], best(s["now"]["score"], s["now"]["start"], s["now"]["id"]))
-                ),
-            )
-
         now = acc["now"]
-        back = F.struct(now["start"].alias("start"), now["id"].alias("id"))
+        reached = lambda scores: F.element_at(scores, e["start"] - e["stop"]) + e["score"]
+        last = lambda scores: best(reached(scores), e["start"], e["id"])
+        # The first edge that ends at a position is its best so far; most of the others leave the state as it is.
         recent = F.when(F.size(acc["scores"]) < span, acc["scores"]).otherwise(F.slice(acc["scores"], 2, span - 1))
-        opened = state(F.concat(recent, F.array(now["score"])), F.concat(acc["backs"], F.array(back)), e["stop"], best(F.lit(float("-inf")), F.lit(-1), F.lit(-1)))
-        same = state(acc["scores"], acc["backs"], e["stop"], best(now["score"], now["start"], now["id"]))
-        return _let(F.when(e["stop"] > acc["stop"], opened).otherwise(same), within)
+        back = F.struct(now["start"].alias("start"), now["id"].alias("id"))
+        opened = _let(F.concat(recent, F.array(now["score"])), lambda scores: state(scores, F.concat(acc["backs"], F.array(back)), e["stop"], last(scores)))
+        better = state(acc["scores"], acc["backs"], acc["stop"], last(acc["scores"]))
+        return F.when(e["stop"] > acc["stop"], opened).when(reached(acc["scores"]) > now["score"], better).otherwise(acc)
 
     def part(acc: Column, first: Column) -> Column:
         begin = state(acc["scores"], no_backs, acc["stop"], best(acc["now"]["score"], acc["now"]["start"], acc["now"]["id"]))

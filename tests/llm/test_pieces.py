@@ -74,3 +74,31 @@ def test_long_words(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     found = {r.row.doc_id: (list(r.ids), r.round_trip) for r in pieces.encode(docs, PATH).collect()}
     assert found == {i: (plain_viterbi(t, table, model.longest, model.fallback, model.bytes), True) for i, t in enumerate(rows)}
+
+
+def test_a_task_sends_a_word_once(spark):
+    """Many texts of a task hold the same and other words: each distinct word is a row, counted over all of them."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdefgh日🎉é") for _ in range(8)) for _ in range(40_000)]
+    texts = [" ".join(rng.choices(vocabulary, k=4000)) for _ in range(80)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    sent = pieces.distinct_words(docs, PATH)
+    model = pieces.Pieces(PATH)
+    expected = {}
+    for t in texts:
+        codes, starts, ends, _, _ = model.words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), 0)
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            word = codes[a:b].tobytes().decode("utf-32-le")
+            expected[word] = expected.get(word, 0) + 1
+    assert {r.word: r.n for r in sent.collect()} == expected
+
+
+def test_merging_words_keeps_each_once():
+    def made(words, counts):
+        codes = np.array([ord(c) for w in words for c in w], np.uint32)
+        ends = np.cumsum([len(w) for w in words])
+        strings = pieces._strings(codes, np.concatenate(([0], ends[:-1])), ends)
+        return np.array([hash(w) for w in words], np.int64), strings, np.array(counts)
+
+    batch = pieces._word_batch(pieces._merged([made(["a", "日本", "🎉é"], [1, 2, 3]), made(["🎉é", "x" * 300], [4, 5])]))
+    assert {r["word"]: r["n"] for r in batch.to_pylist()} == {"a": 1, "日本": 2, "🎉é": 7, "x" * 300: 5}
