@@ -40,7 +40,7 @@ PART = 8192
 BLOCK = 64
 SLICE = 256
 #: Distinct words that a task holds before it sends them.
-MOST_HELD = 250_000
+MOST_HELD = 100_000
 #: Bytes of text that a worker takes at once.
 AT_ONCE = 1 << 19
 
