@@ -10,8 +10,9 @@ their hash; explode, join and grouping keep that partitioning.
 The best path has the greatest sum of piece scores, ties go to the longer last piece. For a model of kind BPE, whose
 scores are the negated ranks of its merges, this is the best segmentation by rank sum, not the order of merges.
 
-The dictionary of encoded words lies in the shared folder; tasks load its ``most_words`` most frequent words as sorted
-hash arrays. Words beyond these are joined to the texts that hold them. The hash is redrawn if two words share one.
+The dictionary of encoded words lies in the shared folder; its ``most_words`` most frequent words are written in order of
+their hashes, and tasks load them as arrays. Words beyond these are joined to the texts that hold them. The hash is
+redrawn if two words share one.
 
 Cases: null and empty texts have no ids; the word mark itself in a text decodes to a space, as in the model's own
 library; repeated rows are encoded alone; other columns, whatever their names, are kept in ``row``.
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 from backsight.llm import files
 from backsight.llm.buffers import chunks, give_back, mixed, run_hashes, text_bytes
 from backsight.llm.components import write
+from backsight.storage import drop_path
 
 MARK = "▁"
 #: Characters that a long word is cut into, first and then, and edges that are folded at once.
@@ -296,28 +298,25 @@ def _offsets(sizes: np.ndarray) -> np.ndarray:
 
 
 class _Dictionary:
-    """The frequent words as sorted hashes and ragged ids."""
+    """The frequent words as sorted hashes and ragged ids, read in order into arrays of their final size."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int, ids: int, kind: type):
         system, folder = files.opened(path)
-        listed = [f.path for f in system.get_file_info(files.fs.FileSelector(folder)) if f.path.endswith(".parquet")]
-        keys, sizes, flat = [], [], []
-        for part in listed:
-            table = pq.read_table(part, columns=["hash", "ids"], filesystem=system, use_threads=False, pre_buffer=False).combine_chunks()
-            if len(table):
-                ids = table["ids"].combine_chunks()
-                keys.append(table["hash"].to_numpy())
-                sizes.append(ids.value_lengths().to_numpy())
-                flat.append(ids.flatten().to_numpy().astype(np.int32))
-        keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        at = _offsets(np.concatenate(sizes)) if sizes else np.zeros(1, np.int32)
-        flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        order = np.argsort(keys)
-        self.keys, self.at = keys[order], _offsets((at[1:] - at[:-1])[order])
-        self.flat = np.empty_like(flat)
-        for a in range(0, len(order), 1 << 16):
-            some = order[a : a + (1 << 16)]
-            self.flat[self.at[a] : self.at[a + len(some)]] = _gathered(flat, at, some)[0]
+        self.keys, self.flat = np.empty(words, np.int64), np.empty(ids, kind)
+        self.at = np.zeros(words + 1, np.int32 if ids < 2**31 else np.int64)
+        # The files of a sorted table are named in its order.
+        row = 0
+        for part in sorted(f.path for f in system.get_file_info(files.fs.FileSelector(folder)) if f.path.endswith(".parquet")):
+            with system.open_input_file(part) as source:
+                for batch in pq.ParquetFile(source, pre_buffer=False).iter_batches(1 << 16, columns=["hash", "ids"], use_threads=False):
+                    lists, end = batch.column("ids"), row + len(batch)
+                    self.keys[row:end] = batch.column("hash").to_numpy()
+                    self.at[row + 1 : end + 1] = self.at[row] + np.cumsum(lists.value_lengths().to_numpy())
+                    self.flat[self.at[row] : self.at[end]] = lists.flatten().to_numpy()
+                    row = end
+        if row != words or self.at[-1] != ids or not (self.keys[1:] > self.keys[:-1]).all():
+            raise ValueError("the written words are not whole or not in order")
+        give_back()
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each hash, or -1."""
@@ -328,12 +327,19 @@ class _Dictionary:
         return np.where(self.keys[place] == distinct, place, -1)[order]
 
 
-def _dictionary(path: str) -> _Dictionary:
-    if _LOADED.get("dictionary_path") != path:
-        _LOADED.update(dictionary_path=path, dictionary=_Dictionary(path))
+def _dictionary(written: tuple) -> _Dictionary:
+    if _LOADED.get("dictionary_of") != written:
+        _LOADED.update(dictionary_of=written, dictionary=_Dictionary(*written))
     return _LOADED["dictionary"]
 
 
+def _sorted(words: DataFrame, model: str) -> tuple:
+    """The words, written in order of their hashes: what ``_dictionary`` needs to load them without sorting or copying."""
+    made, path = write(words.select("hash", "ids").orderBy("hash"), "sorted-words")
+    count, ids = made.agg(F.count("*"), F.sum(F.size("ids").cast("long"))).first()
+    return path, count, ids or 0, np.uint16 if len(_pieces(model).spelled_at) <= 1 << 16 else np.int32
+
+
 def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_000_000, keep: list[str] | None = None) -> DataFrame:
     """The rows of ``docs`` as ``row`` (the columns of ``keep``, or all), with the ids of the text and facts about them.
 
@@ -343,13 +349,15 @@ def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_
     words, path, salt = dictionary(docs, model, text)
     whole = docs.select(F.struct(*(keep or ["*"])).alias("row"), F.col(text).cast("string").alias("text"))
     if words.count() <= most_words:
+        written = _sorted(words, model)
+        drop_path(docs.sparkSession, path)
         rows = whole.withColumn("rare", F.lit(None).cast("map<bigint,array<int>>"))
     else:
-        _, path = write(words.orderBy(F.desc("n"), "hash").limit(most_words), "common-words")
-        rows = _with_rare(whole, words, path, model, salt)
+        written = _sorted(words.orderBy(F.desc("n"), "hash").limit(most_words), model)
+        rows = _with_rare(whole, words, written, model, salt)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = _pieces(model), _dictionary(path)
+        pieces, known = _pieces(model), _dictionary(written)
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for a, b in chunks(offsets, AT_ONCE):
@@ -360,6 +368,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_
                 if (place < 0).any():
                     place, flat, spans = _with_own(batch.column(2).slice(a, b - a).to_pylist(), hashes, first, place, flat, spans)
                 ids, size = _gathered(flat, spans, place)
+                ids = ids.astype(np.int32)
                 edge = np.concatenate(([0], np.cumsum(size)))[first]
                 raw, edges = ids.astype("<u4").tobytes(), edge.tolist()
                 sums = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
@@ -368,12 +377,12 @@ def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_
                     pieces.decode(ids[x:y]) == texts[p:q].replace(MARK.encode(), b" ")
                     for x, y, p, q in zip(edges[:-1], edges[1:], at[:-1].tolist(), at[1:].tolist(), strict=True)
                 ]
-                lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids))
                 columns = [batch.column(0).slice(a, b - a), lists, pa.array(np.diff(edge).astype(np.int64)), pa.array(sums, pa.int64()), pa.array(back, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "n_tokens", "ids_crc32", "round_trip"])
         # The worker outlives its task: the dictionary goes, the piece table stays.
         del known
-        _LOADED.pop("dictionary_path", None)
+        _LOADED.pop("dictionary_of", None)
         _LOADED.pop("dictionary", None)
         give_back()
 
@@ -384,7 +393,11 @@ def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_
 def _with_own(own: list, hashes: np.ndarray, first: np.ndarray, place: np.ndarray, flat: np.ndarray, at: np.ndarray):
     """Words that the dictionary lacks are taken from their row's own map."""
     extra, where = [], {}
-    place = place.copy()
+    place, found = place.copy(), place >= 0
+    # Of the dictionary only the words that occur here are copied.
+    used, place[found] = np.unique(place[found], return_inverse=True)
+    flat, size = _gathered(flat, at, used)
+    at = _offsets(size)
     row = np.searchsorted(first, np.flatnonzero(place < 0), "right") - 1
     for k, r in zip(np.flatnonzero(place < 0).tolist(), row.tolist(), strict=True):
         h = int(hashes[k : k + 1].view(np.int64)[0])
@@ -393,14 +406,14 @@ def _with_own(own: list, hashes: np.ndarray, first: np.ndarray, place: np.ndarra
             extra.append(dict(own[r])[h])
         place[k] = where[h]
     sizes = np.cumsum([len(x) for x in extra])
-    return place, np.concatenate((flat, np.concatenate(extra).astype(np.int32))), np.concatenate((at, at[-1] + sizes))
+    return place, np.concatenate((flat, np.concatenate(extra).astype(flat.dtype))), np.concatenate((at, at[-1] + sizes))
 
 
-def _with_rare(whole: DataFrame, words: DataFrame, path: str, model: str, salt: int) -> DataFrame:
+def _with_rare(whole: DataFrame, words: DataFrame, written: tuple, model: str, salt: int) -> DataFrame:
     """Each row with a map of its words that the common dictionary lacks, found by a join on the word's hash."""
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = _pieces(model), _dictionary(path)
+        pieces, known = _pieces(model), _dictionary(written)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for a, b in chunks(offsets, AT_ONCE):

@@ -1,8 +1,11 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 
@@ -102,3 +105,29 @@ def test_merging_words_keeps_each_once():
 
     batch = pieces._word_batch(pieces._merged([made(["a", "日本", "🎉é"], [1, 2, 3]), made(["🎉é", "x" * 300], [4, 5])]))
     assert {r["word"]: r["n"] for r in batch.to_pylist()} == {"a": 1, "日本": 2, "🎉é": 7, "x" * 300: 5}
+
+
+def test_dictionary_is_loaded_in_place(tmp_path):
+    """The peak of a load is near the size of what is kept; unsorted or missing words are refused."""
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(-(2**63), 2**63 - 1, 300_000))
+    sizes = rng.integers(1, 6, len(keys))
+    ids = rng.integers(0, 65_536, sizes.sum())
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    for k, (a, b) in enumerate([(0, 100_000), (100_000, 100_000), (100_000, 170_000), (170_000, len(keys))]):
+        lists = pa.ListArray.from_arrays(pa.array((at[a : b + 1] - at[a]).astype(np.int32)), pa.array(ids[at[a] : at[b]].astype(np.int32)))
+        pq.write_table(pa.table({"hash": keys[a:b], "ids": lists}), tmp_path / f"part-{k:05d}.parquet")
+    tracemalloc.start()
+    known = pieces._Dictionary(str(tmp_path), len(keys), len(ids), np.uint16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.25 * (known.keys.nbytes + known.at.nbytes + known.flat.nbytes)
+    chosen = rng.permutation(len(keys))[:1000]
+    place = known.find(np.concatenate((keys[chosen], [0])).view(np.uint64))
+    assert place.tolist() == [*chosen.tolist(), -1]
+    assert (pieces._gathered(known.flat, known.at, place[:-1])[0] == np.concatenate([ids[at[c] : at[c + 1]] for c in chosen])).all()
+    with pytest.raises(ValueError):
+        pieces._Dictionary(str(tmp_path), len(keys) + 1, len(ids), np.uint16)
+    (tmp_path / "part-00000.parquet").rename(tmp_path / "part-00009.parquet")
+    with pytest.raises(ValueError):
+        pieces._Dictionary(str(tmp_path), len(keys), len(ids), np.uint16)
