@@ -63,10 +63,10 @@ def scan(
     shares of at most about ``most_bytes``; with more windows the texts are scanned once per share, and no row is shuffled.
     """
     rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"), F.lit(None).cast("array<struct<first:int,last:int,items:array<string>>>").alias("hits"))
-    for patterns in _shares(windows_of(benchmark, window), most_bytes):
-        rows = rows.mapInArrow(_scanner(patterns), rows.schema)
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(
+    return _scanned(
+        rows,
+        _shares(windows_of(benchmark, window), most_bytes),
         _summary(share),
         f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<{SPAN}>",
     )
@@ -75,15 +75,21 @@ def scan(
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, text: str = "text", most_bytes: int = 32 << 20) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
     whole = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"), F.lit(None).cast("array<struct<first:int,last:int,items:array<string>>>").alias("hits"))
-    for patterns in _shares(windows_of(benchmark, window), most_bytes):
-        whole = whole.mapInArrow(_scanner(patterns), whole.schema)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bad = [f[2] > 0 and share * f[2] >= f[1] for f in (_facts(*x) for x in _texts_and_hits(batch))]
             yield batch.select(["row"]).filter(pa.array([not x for x in bad], pa.bool_()))
 
-    return whole.mapInArrow(clean, whole.select("row").schema).select("row.*")
+    return _scanned(whole, _shares(windows_of(benchmark, window), most_bytes), clean, whole.select("row").schema).select("row.*")
+
+
+def _scanned(rows: DataFrame, shares: Iterator[list[tuple[bytes, list[str]]]], then, schema) -> DataFrame:
+    """The rows scanned once per share, then through ``then`` in the worker of the last scan: a second one would stay."""
+    *scans, last = [_scanner(patterns) for patterns in shares] or [iter]
+    for each in scans:
+        rows = rows.mapInArrow(each, rows.schema)
+    return rows.mapInArrow(lambda batches: then(last(batches)), schema)
 
 
 def _shares(windows: DataFrame, most_bytes: int) -> Iterator[list[tuple[bytes, list[str]]]]:

@@ -52,3 +52,14 @@ def test_empty_tables(spark):
     row = decontaminate.scan(docs, none).first()
     assert (row.n_words, row.n_hit, row.contaminated, row.spans) == (2, 0, False, [])
     assert decontaminate.without_contaminated(docs.limit(0), none).collect() == []
+
+
+def test_a_task_takes_one_worker(spark):
+    """One share of windows: the scan and what follows it are one Python step, and each further share is one more."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    steps = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    for made in (decontaminate.scan, decontaminate.without_contaminated):
+        assert [steps(made(docs, bench.limit(0))), steps(made(docs, bench))] == [1, 1]
+    shares = len(list(decontaminate._shares(decontaminate.windows_of(bench, 4), 40)))
+    assert shares > 1 and steps(decontaminate.scan(docs, bench, 4, most_bytes=40)) == shares
