@@ -11,8 +11,8 @@ The best path has the greatest sum of piece scores, ties go to the longer last p
 scores are the negated ranks of its merges, this is the best segmentation by rank sum, not the order of merges.
 
 The dictionary of encoded words lies in the shared folder; its ``most_words`` most frequent words are written in order of
-their hashes, and tasks load them as arrays. Words beyond these are joined to the texts that hold them. The hash is
-redrawn if two words share one.
+their hashes, and tasks load them as arrays. Rarer words, and those as frequent as the first of these, are joined to the
+texts that hold them. The hash is redrawn if two words share one.
 
 Cases: null and empty texts have no ids; the word mark itself in a text decodes to a space, as in the model's own
 library; repeated rows are encoded alone; other columns, whatever their names, are kept in ``row``.
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -340,6 +340,14 @@ def _sorted(words: DataFrame, model: str) -> tuple:
     return path, count, ids or 0, np.uint16 if len(_pieces(model).spelled_at) <= 1 << 16 else np.int32
 
 
+def _common(words: DataFrame, most: int) -> DataFrame:
+    """The words that occur as often as the least bound that leaves at most ``most``; only the few different numbers are ranked."""
+    numbers = words.groupBy("n").agg(F.count("*").alias("words"))
+    running = numbers.select("n", F.sum("words").over(Window.orderBy(F.desc("n"))).alias("so_far"))
+    bound = running.where(F.col("so_far") <= most).agg(F.min("n")).first()[0]
+    return words.where(F.col("n") >= F.lit(bound).cast("long"))
+
+
 def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_000_000, keep: list[str] | None = None) -> DataFrame:
     """The rows of ``docs`` as ``row`` (the columns of ``keep``, or all), with the ids of the text and facts about them.
 
@@ -353,7 +361,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", most_words: int = 8_
         drop_path(docs.sparkSession, path)
         rows = whole.withColumn("rare", F.lit(None).cast("map<bigint,array<int>>"))
     else:
-        written = _sorted(words.orderBy(F.desc("n"), "hash").limit(most_words), model)
+        written = _sorted(_common(words, most_words), model)
         rows = _with_rare(whole, words, written, model, salt)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -131,3 +131,11 @@ def test_dictionary_is_loaded_in_place(tmp_path):
     (tmp_path / "part-00000.parquet").rename(tmp_path / "part-00009.parquet")
     with pytest.raises(ValueError):
         pieces._Dictionary(str(tmp_path), len(keys), len(ids), np.uint16)
+
+
+@pytest.mark.parametrize(("most", "expected"), [(2, [1]), (3, [1, 2, 3]), (4, [1, 2, 3]), (5, [1, 2, 3, 4, 5]), (0, [])])
+def test_common_words_are_not_ranked(spark, most, expected):
+    words = spark.createDataFrame([(1, 9), (2, 5), (3, 5), (4, 1), (5, 1)], "hash long, n long")
+    found = pieces._common(words, most)
+    assert sorted(r.hash for r in found.collect()) == expected
+    assert "Limit" not in found._jdf.queryExecution().optimizedPlan().toString()
