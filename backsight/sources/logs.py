@@ -71,7 +71,8 @@ def build_transitions(log: DataFrame, gap_hours: int = 24, rows_per_chunk: int =
             .withColumn("_episodes_before", F.coalesce("_episodes_before", F.lit(0)))
             .withColumn("_first_starts", F.coalesce("_first_starts", F.lit(True)))
             .withColumn("_open_steps", F.coalesce("_open_steps", F.lit(0)))
-            .withColumn("_next_state", F.coalesce("_next_state", "_border_state"))
+            # the next state may itself be null; only a range's last row takes it from the range after
+            .withColumn("_next_state", F.when(F.col("_row") == F.col("_chunk_size"), F.col("_border_state")).otherwise(F.col("_next_state")))
             .withColumn("_next_ts", F.coalesce("_next_ts", "_border_ts"))
         )
     in_open = F.col("_start_row").isNull()
@@ -124,6 +125,7 @@ def _chunk_borders(local: DataFrame, gap_hours: int) -> DataFrame:
         F.col("episodes_before").alias("_episodes_before"),
         F.col("opens").alias("_first_starts"),
         open_before.alias("_open_steps"),
+        F.col("size").alias("_chunk_size"),
         F.col("border_ts").alias("_border_ts"),
         F.col("border_state").alias("_border_state"),
     )

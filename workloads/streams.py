@@ -9,7 +9,7 @@ from backsight.sources import logs
 from backsight.sources.schemas import ACTION_VALUES
 from backsight.storage import new_path
 from backsight.streaming import tables as T
-from backsight.streaming.transitions import keyed_state, stream_transitions
+from backsight.streaming.linking import TransitionLog, run_linked
 
 from . import bandits, common as C
 from .common import EVENT_ACTIONS, GAMMA, ORACLES, query
@@ -54,17 +54,14 @@ def in_date_order(steps, table, fold):
 def i1(spark, sf_dir):
     """Events arrive in four ranges of their time; a run reads one and goes on with the state of the runs before it."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    arrived, out, checkpoint = (new_path(spark, label) for label in ("arrived-events", "stream-transitions", "checkpoint"))
+    arrived, checkpoint = new_path(spark, "arrived-events"), new_path(spark, "checkpoint")
+    table = TransitionLog(spark, new_path(spark, "stream-transitions"))
+    table.start()
     for part in time_ranges(events):
         part.write.mode("append").parquet(arrived)
-        stream = stream_transitions(logs.event_log(spark.readStream.schema(events.schema).parquet(arrived)))
-        with keyed_state(spark):
-            run = (
-                stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-                .option("path", out).trigger(availableNow=True).start()
-            )
-            run.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out).drop("ts")
+        run = run_linked(logs.event_log(spark.readStream.schema(events.schema).parquet(arrived)), table, checkpoint)
+        run.awaitTermination()
+    return table.read(run.lastProgress["batchId"]).drop("ts")
 
 
 # what the watermark (latest event - 1 hour, in milliseconds) has made certain
